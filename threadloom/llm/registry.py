@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality, url_filter
+from . import language_id, licenses, packing, quality, token_counts, url_filter
 
 QUERIES = {
+    "op2_token_counts": token_counts.op2_token_counts,
+    "op4_packing": packing.op4_packing,
+    "op6_language_id": language_id.op6_language_id,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op8_license_scan": licenses.op8_license_scan,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
