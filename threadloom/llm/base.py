@@ -57,3 +57,8 @@ def importable(spark: SparkSession) -> None:
         shutil.copytree(root / "threadloom", base / "threadloom", ignore=shutil.ignore_patterns("__pycache__"))
         sc.addPyFile(shutil.make_archive(str(pathlib.Path(d, "threadloom")), "zip", base))
     sc._threadloom_sent = True
+
+
+def guarded(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a written table of narrow rows, to be broadcast if it has at most ``rows`` rows; else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

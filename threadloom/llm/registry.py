@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, licenses, packing, quality, token_counts, url_filter
+from . import decontamination, language_id, licenses, packing, quality, token_counts, url_filter
 
 QUERIES = {
     "op2_token_counts": token_counts.op2_token_counts,
@@ -10,11 +10,13 @@ QUERIES = {
     "op6_language_id": language_id.op6_language_id,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_license_scan": licenses.op8_license_scan,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
 ORACLE = {
     "op7_url_filter": url_filter.sql,
+    "op9_decontamination": decontamination.sql,
     "op10_quality_rules": quality.sql,
 }
 
