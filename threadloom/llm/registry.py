@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, licenses, packing, quality, token_counts, url_filter
+from . import decontamination, language_id, licenses, line_dedup, packing, quality, token_counts, url_filter
 
 QUERIES = {
     "op2_token_counts": token_counts.op2_token_counts,
     "op4_packing": packing.op4_packing,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_language_id": language_id.op6_language_id,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_license_scan": licenses.op8_license_scan,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_line_dedup": line_dedup.sql,
     "op7_url_filter": url_filter.sql,
     "op9_decontamination": decontamination.sql,
     "op10_quality_rules": quality.sql,
