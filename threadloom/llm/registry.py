@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, licenses, line_dedup, packing, quality, token_counts, url_filter
+from . import decontamination, language_id, licenses, line_dedup, minhash, packing, quality, token_counts, url_filter
 
 QUERIES = {
+    "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_token_counts": token_counts.op2_token_counts,
     "op4_packing": packing.op4_packing,
     "op5_line_dedup": line_dedup.op5_line_dedup,
