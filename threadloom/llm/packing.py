@@ -9,8 +9,7 @@ close full. At the end of a task the last sequence is split at powers of two, wh
 Each task packs the documents that it reads, so nothing is shuffled, memory is bounded by the pool, and a task that
 runs again on another executor gives the same rows. Sequence ids are the task's partition and a running number.
 
-Ids come from a worker's cache of pre-token chunks: the tokenizer never merges across the boundaries at which the text is
-split here, and misses are encoded by the library. Texts that hold a special string are encoded in whole.
+Ids are those of the ``tokenizers`` file. Given the same vocabulary as ranks, ``tiktoken`` finds them some four times faster.
 
 Defined results: a null text is empty and has the end id alone; repeated rows are packed each by itself; other columns are
 not looked at.
@@ -18,7 +17,6 @@ not looked at.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,39 +34,43 @@ MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 2048, 256, 2048
 #: Pieces that wait for a place, at most.
 POOL = 512
 END_ID = 1
-CACHE_SIZE = 300_000
-#: Unicode's White_Space, as the tokenizer's pattern has it (Python's \\s holds four control characters more).
-WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNK = re.compile(f" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
+#: Letters without a break beyond which a text goes to the library whose merges take n log n.
+UNBROKEN = 2000
 
-_caches: dict = {}
+_ranked: dict = {}
 
 
 class Encoder:
-    """Ids of a text as little-endian 32-bit bytes, through a cache of chunks."""
+    """Ids of a text as little-endian 32-bit bytes.
 
-    def __init__(self, path: str, size: int = CACHE_SIZE):
-        self.tok, self.size = tokenizer(path), size
-        self.cache: dict[str, bytes] = _caches.setdefault(path, {})
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+    ``ranks`` names the same vocabulary for the faster library; it gives the same ids but reads special strings as text and
+    slows down on pieces without a break, so texts with either are left to the first library.
+    """
 
-    def many(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+    def __init__(self, path: str, ranks: str | None = None):
+        self.tok = tokenizer(path)
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.fast = ranked(ranks) if ranks else None
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.many([text])[0]
-        chunks, cache = CHUNK.findall(text), self.cache
-        ids = list(map(cache.get, chunks))
-        if None in ids:
-            new = list({c for c, x in zip(chunks, ids) if x is None})
-            if len(cache) + len(new) > self.size:
-                cache.clear()
-                new = list(set(chunks))
-            own = dict(zip(new, self.many(new)))
-            cache.update((c, x) for c, x in own.items() if len(c) <= 48)
-            ids = [own[c] if c in own else cache[c] for c in chunks]
-        return b"".join(ids)
+        if not text:
+            return b""
+        if self.fast is None or any(s in text for s in self.special) or len(text) > UNBROKEN and max(map(len, text.split())) > UNBROKEN:
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+
+
+def ranked(path: str):
+    if path not in _ranked:
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        _ranked[path] = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return _ranked[path]
 
 
 class Packer:
@@ -168,9 +170,9 @@ class Packer:
         return rows
 
 
-def pack_batches(batches: Iterator[pa.RecordBatch], path: str, kind: pa.DataType, end_id: int | None, limits: tuple, pool: int, cut: bool) -> Iterator[pa.RecordBatch]:
+def pack_batches(batches: Iterator[pa.RecordBatch], path: str, ranks: str | None, kind: pa.DataType, end_id: int | None, limits: tuple, pool: int, cut: bool) -> Iterator[pa.RecordBatch]:
     """Columns: _id, _text, and perhaps _no_loss, the number of leading tokens that bear no loss."""
-    encode = Encoder(path)
+    encode = Encoder(path, ranks)
     packer = Packer(TaskContext.get().partitionId() << 40, *limits, pool, cut)
     end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -195,7 +197,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, kind: pa.DataType
         yield out(packer.taken())
 
 
-def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", no_loss: str | None = None, end_id: int | None = END_ID, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS, pool: int = POOL, cut: bool = True) -> DataFrame:
+def pack(docs: DataFrame, path: str, ranks: str | None = None, doc_id: str = "doc_id", text: str = "text", no_loss: str | None = None, end_id: int | None = END_ID, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS, pool: int = POOL, cut: bool = True) -> DataFrame:
     """A row for each piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``no_loss`` names a column with the number of leading tokens (an instruction's prompt) that bear no loss. With
@@ -208,10 +210,10 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
 
     arrow, limits = to_arrow_type(kind), (max_tokens, max_segments, max_loss)
     return d.mapInArrow(
-        lambda b: pack_batches(b, path, arrow, end_id, limits, pool, cut),
+        lambda b: pack_batches(b, path, ranks, arrow, end_id, limits, pool, cut),
         f"doc_id {kind.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
     )
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"))
