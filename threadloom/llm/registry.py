@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, licenses, line_dedup, minhash, packing, quality, token_counts, url_filter
+from . import decontamination, language_id, licenses, line_dedup, minhash, packing, quality, repeats, token_counts, url_filter
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_repeat_removal": repeats.op3_repeat_removal,
     "op4_packing": packing.op4_packing,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_language_id": language_id.op6_language_id,
