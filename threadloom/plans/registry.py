@@ -1,9 +1,13 @@
 """Every query of the archive engine by name, and its SQL."""
 
+from __future__ import annotations
+
+from . import bindings
+
 
 def queries():
-    return {}
+    return dict(bindings.QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(bindings.ORACLE)
