@@ -34,7 +34,7 @@ def files(spark: SparkSession, root: str, content: bool = True, pattern: str = "
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """``src, line_no, line``. Numbers come from the places of lines in whole files, so files should be of moderate size;
     ``big_lines`` is for dumps."""
-    raw = spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("src"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("src"), "value")
     each = raw.select("src", F.posexplode(F.split(F.regexp_replace("value", "\\r?\\n\\z", ""), "\\r?\\n")).alias("_i", "line"))
     return each.select("src", (F.col("_i") + 1).cast("long").alias("line_no"), "line")
 
