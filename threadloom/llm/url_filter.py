@@ -66,10 +66,11 @@ def strength(units: DataFrame, name: str) -> DataFrame:
     n, x = F.sum("_n"), F.sum("_x")
     spread = F.sum(F.when(F.col("_n") > 0, F.col("_x") * F.col("_x") / F.col("_n")).otherwise(0.0))
     s = units.agg(n.alias("n"), x.alias("x"), spread.alias("q"), F.sum(F.when(F.col("_n") > 0, 1).otherwise(0)).alias("k"))
-    p = F.col("x") / F.col("n")
+    total = F.nullif("n", F.lit(0.0))  # null, and so the default, without any outcome
+    p = F.col("x") / total
     pq = p * (1 - p)
-    var = F.col("q") / F.col("n") - p * p
-    excess = var - pq * F.col("k") / F.col("n")
+    var = F.col("q") / total - p * p
+    excess = var - pq * F.col("k") / total
     fitted = F.when((F.col("n") > 0) & (pq > 0) & (F.col("k") > 1), F.when(excess > 0, F.greatest(F.lit(WEAKEST), F.least(F.lit(STRONGEST), (pq - var) / excess))).otherwise(F.lit(STRONGEST)))
     return s.select(F.coalesce(fitted, F.lit(DEFAULT)).alias(name))
 
