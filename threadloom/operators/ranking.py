@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """The first row of each key. ``order`` must be total within a key. Only one row of a key leaves each task."""
@@ -38,9 +40,9 @@ def even_sample(df: DataFrame, order: list[str], total: int, n: int) -> DataFram
 
 def positions(df: DataFrame, order: list[str]) -> DataFrame:
     """``_pos``, the place from 0 in the order: ranks inside range partitions plus the sizes of the ones before. The sizes
-    are a row for each partition."""
+    are a row for each partition. Ranks are written before sizes are counted: a second run may draw other bounds."""
     parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    inside = parts.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    inside = written(parts.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order))), "ranked")
     sizes = inside.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
     return inside.join(F.broadcast(before), "_part").withColumn("_pos", F.col("_in") - 1 + F.col("_before")).drop("_part", "_in", "_before")

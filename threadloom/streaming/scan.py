@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-
-
-def folder(spark: SparkSession, name: str) -> str:
-    """A new place in the shared folder of the cluster, or in a temporary one where none is set."""
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/threadloom"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from ..sources.scratch import folder
 
 
 def matches(names: DataFrame, prefixes: list[str]) -> DataFrame:
