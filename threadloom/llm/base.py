@@ -45,8 +45,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch. Texts can be long: with Spark's 10,000 a batch alone may take a worker's memory.
+BATCH_ROWS = 1000
+
+
 def importable(spark: SparkSession) -> None:
-    """Makes this package importable for Python workers that have neither its folder as their own nor on PYTHONPATH."""
+    """Makes this package importable for Python workers that have neither its folder as their own nor on PYTHONPATH, and sets
+    the session's Arrow batches to BATCH_ROWS rows at most."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     root = pathlib.Path(__file__).resolve().parents[2]
     known = [pathlib.Path(p or ".").resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]]
     sc = spark.sparkContext
