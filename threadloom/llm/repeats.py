@@ -11,7 +11,8 @@ and consecutive windows with the same anchor are one run, some 40 windows. Equal
 3. the first ones of runs that share an anchor but differ are compared window by window, in groups by anchor. A group with
    more than GROUP runs is dealt anew by windows, so that none meets in one task in whole.
 
-Only narrow rows are shuffled for 1 and 2; texts join once for 3 and once for the removal, and only those concerned.
+Only narrow rows are shuffled for 1 and 2; texts join once for 3 and once for the removal. All joins are shuffled ones at any
+size, as both sides grow with the corpus.
 
 Hashes are polynomials in 64 bits; windows and runs are compared by two of them, the anchor's and their own.
 
@@ -30,11 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import guarded, importable, table, written
+from .base import importable, table, written
 from .shingles import BASE, INVERSE, mix, powers
 
 SPAN, GRAM, GROUP = 100, 24, 20_000
-BROADCAST_ROWS = 400_000
 BLOCK = 1 << 20
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -212,19 +212,19 @@ def repeated_spans(d: DataFrame, span: int = SPAN, gram: int = GRAM, group: int
     rows = d.mapInArrow(lambda b: run_batches(b, span, gram), f"_id {name}, _a bigint, _h bigint, _at bigint, _n bigint")
     short = F.shiftright("_h", 40).cast("int")
     anchors = rows.groupBy("_a").agg(F.count(F.lit(1)).alias("_c"), F.min(short).alias("_lo"), F.max(short).alias("_hi")).where("_c > 1")
-    anchors = guarded(written(anchors.select("_a", (F.col("_lo") != F.col("_hi")).alias("_differ")), "anchors"), BROADCAST_ROWS)
+    anchors = anchors.select("_a", (F.col("_lo") != F.col("_hi")).alias("_differ"))
     shared = written(rows.join(anchors, "_a"), "shared-runs")
     first = shared.groupBy("_a", "_h", "_differ").agg(F.min(F.struct("_id", "_at")).alias("_first"), F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_c"))
     first = written(first, "first-runs")
-    copies = guarded(written(first.where("_c > 1").select("_a", "_h", "_first"), "copied-runs"), BROADCAST_ROWS)
+    copies = first.where("_c > 1").select("_a", "_h", "_first")
     whole = shared.join(copies, ["_a", "_h"]).where(F.struct("_id", "_at") != F.col("_first"))
     whole = whole.select("_id", F.col("_at").alias("_lo"), (F.col("_at") + F.col("_n") - 1).alias("_hi"))
 
     own = first.where("_differ").select("_a", F.col("_first._id").alias("_fid"), F.col("_first._at").alias("_at"), "_n")
     many = own.groupBy("_a").count().where(F.col("count") > group).select("_a", F.lit(True).alias("_many"))
     own = own.join(many, "_a", "left").select("_fid", F.struct("_a", "_at", "_n", F.coalesce("_many", F.lit(False)).alias("_many")).alias("_r"))
-    by_doc = written(own.groupBy("_fid").agg(F.collect_list("_r").alias("_runs")), "runs-to-compare")
-    cuts = d.join(guarded(by_doc, BROADCAST_ROWS // 16), F.col("_id").eqNullSafe(F.col("_fid"))).select("_id", "_text", "_runs")
+    by_doc = own.groupBy("_fid").agg(F.collect_list("_r").alias("_runs"))
+    cuts = d.join(by_doc, F.col("_id").eqNullSafe(F.col("_fid"))).select("_id", "_text", "_runs")
     cuts = written(cuts.mapInArrow(lambda b: cut_batches(b, span), f"_id {name}, _a bigint, _at bigint, _many boolean, _cut binary"), "cuts")
     grouped = cuts.where("not _many").select("_id", "_a", "_at", "_cut").repartition(parts, "_a").sortWithinPartitions("_a", "_id", "_at")
     near = grouped.mapInArrow(lambda b: compare_batches(b, span), f"_id {name}, _lo bigint, _hi bigint")
@@ -241,7 +241,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
     name = d.schema["_id"].dataType.simpleString()
     spans = repeated_spans(d, span, gram, group).groupBy(F.col("_id").alias("_sid")).agg(F.collect_list(F.struct("_lo", "_hi")).alias("_where"))
-    spans = guarded(written(spans, "spans-by-document"), BROADCAST_ROWS // 16)
     cut = d.join(spans, F.col("_id").eqNullSafe(F.col("_sid"))).select("_id", "_text", "_where")
     kept = ", _kept binary" if with_text else ""
     cut = cut.mapInArrow(lambda b: remove_batches(b, span, with_text), f"_rid {name}, _removed bigint, _spans bigint, _sha string{kept}")
