@@ -8,8 +8,8 @@ many edits, one segment of the shorter stands unchanged in the longer. A line's
 segment number, contents), and a line probes the indexes of its own length and of up to MAX_EDITS characters less, at the
 few places that the edits left and right of a segment allow. Only keys that two different lines share go on. Of these
 lines each is first held against the earliest line of its keys, which settles groups of near copies at a cost in
-proportion to their size; lines that nothing removed are then held against the others of their keys. Distances are
-verified by a bit-parallel automaton on a band of 2 * MAX_EDITS + 1 diagonals.
+proportion to their size; lines that nothing removed are then held against the others of their keys. A compiled thresholded
+distance drops most pairs, and a bit-parallel automaton on a band of 2 * MAX_EDITS + 1 diagonals verifies the rest.
 
 DataFrame functions only. Keys are aggregated before they are shuffled, so copies of a line cost a row for each task.
 
@@ -99,10 +99,13 @@ def within(a: str, b: str, edits: int) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    """The pairs (_x, _y) of line hashes whose lines (``texts``: _h, _line) are within ``edits`` edits."""
-    chars = texts.select("_h", F.split("_line", "").alias("_cs"))
-    both = pairs.join(chars.select(F.col("_h").alias("_x"), F.col("_cs").alias("_a")), "_x").join(chars.select(F.col("_h").alias("_y"), F.col("_cs").alias("_b")), "_y")
-    return both.select("_x", "_y", within("_a", "_b", edits).alias("_ok")).where("_ok").select("_x", "_y")
+    """The pairs (_x, _y) of line hashes whose lines (``texts``: _h, _line) are within ``edits`` edits. Nearly all candidates fail, and
+    do so in the compiled, thresholded built-in; the automaton, which is interpreted, verifies what is left."""
+    a, b = texts.select(F.col("_h").alias("_x"), F.col("_line").alias("_la")), texts.select(F.col("_h").alias("_y"), F.col("_line").alias("_lb"))
+    both = pairs.join(a, "_x").join(b, "_y").where(F.levenshtein("_la", "_lb", edits) >= 0)
+    # Written, so that splitting into characters isn't moved into every step of the automaton.
+    chars = written(both, "near-passed").select("_x", "_y", F.split("_la", "").alias("_a"), F.split("_lb", "").alias("_b"))
+    return chars.withColumn("_ok", within("_a", "_b", edits) & (F.monotonically_increasing_id() >= 0)).where("_ok").select("_x", "_y")
 
 
 def near_lines(docs: DataFrame, first: DataFrame, edits: int = MAX_EDITS, least: int = NEAR_CHARS) -> DataFrame:
@@ -144,11 +147,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
     """The rows of ``docs`` with all their columns, ``text`` without its removed lines; with ``counts`` also ``n_lines`` and
     ``n_removed`` (long)."""
     gone = removed_lines(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), min_chars, near_chars, edits)
-    few = gone.agg(F.coalesce(F.sum(F.size("_gone") + 2), F.lit(0))).first()[0] <= BROADCAST_ROWS
-    out = docs.join(F.broadcast(gone) if few else gone, docs[doc_id].eqNullSafe(gone["_rid"]), "left").withColumn("_lines", F.split(docs[text], "\n"))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_id"))
+    out = d.join(gone, F.col("_id").eqNullSafe(F.col("_rid")), "left").withColumn("_lines", F.split(F.col(f"_row.`{text}`"), "\n"))
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")))
-    kept = F.when(F.col("_gone").isNull() | F.col("_lines").isNull(), F.col(text)).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
-    cols = [kept.alias(c) if c == text else F.col(c) for c in docs.columns]
+    old = F.col(f"_row.`{text}`")
+    kept = F.when(F.col("_gone").isNull() | F.col("_lines").isNull(), old).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
+    cols = [(kept if c == text else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]
     if counts:
         cols += [F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"), F.when(F.col("_lines").isNull() | F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed")]
     return out.select(*cols)
