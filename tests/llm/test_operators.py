@@ -87,6 +87,16 @@ def test_near_duplicate_families_that_share_lines(spark):
     assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
 
 
+def test_near_duplicates_bridge_of_two_large_families(spark):
+    """Two families of more than LONG_LIST; each has a member near its head, and only these two are near each other."""
+    body, a, b = prose(110, 131), prose(18, 132), prose(18, 133)
+    texts = [f"{body} {own} u{k}" for own in (a, b) for k in range(60)] + [f"{body} {' '.join(own.split()[:2])}" for own in (a, b)]
+    got = rows(minhash.near_duplicates(frame(spark, texts), shingle=3, percent=85))
+    want = brute_components(dict(enumerate(texts, 1)), 3, 85)
+    assert {c for _, c in want.values()} == {1}
+    assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
+
+
 def test_near_duplicates_empty_and_repeated(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     d = frame(spark, ["a b c d e f", "a b c d e f"])

@@ -8,8 +8,8 @@ have nothing but common values.
 
 Each list is held against a head among its documents of about the same size (a star, not all pairs); the union of the two
 sketches estimates the similarity of these candidates, and those within the same bound are verified on the full sets of
-hashes, made again from the texts. What heads leave open is followed up as ``link_nodes`` tells, at a cost in
-proportion to the documents concerned, so groups of thousands of near copies cost about as many checks as they have
+hashes, made again from the texts. What heads leave open is followed up as ``link_nodes`` tells, until no pair of
+one list is left in different components, so groups of thousands of near copies cost about as many checks as they have
 members. Every pair goes through the estimate and the exact check.
 
 Components are found by rounds of least labels. No texts, links or components reach the driver.
@@ -22,11 +22,11 @@ a null component; other columns are not looked at.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -38,11 +38,13 @@ SHINGLE, PERCENT, K = 5, 80, 64
 #: Standard deviations that an estimate may lie below the similarity asked for. Length from which a list counts as long.
 SIGMAS, LONG_LIST = 5.5, 48
 BROADCAST_ROWS = 400_000
+#: Rows of one list that one group of the last comparison holds. Pairs for each row of a list up to which heads aren't sought.
+BLOCK, PAIRS_A_ROW = 512, 8
 #: Pairs of one document that one group of the exact check holds.
 GROUP = 256
 
 
-def sketch_batches(batches: Iterator[pa.RecordBatch], shingle: int, k: int) -> Iterator[pa.RecordBatch]:
+def sketch_batches(batches: Iterator[pa.RecordBatch], shingle: int, k: int | None) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n, f1, f2, flat, off = [], [], [], [], [0]
         for s in sets(b.column(1).cast(pa.binary()).to_pylist(), shingle):
@@ -138,13 +140,17 @@ def check_batches(batches: Iterator[pa.RecordBatch], kind: pa.DataType, shingle:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], kind), pa.array([y for _, y in out], kind)], ["_x", "_y"])
 
 
-def value_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """(_id, _text) to a row for each hash of the full set."""
-    for b in batches:
-        got = list(sets(b.column(1).cast(pa.binary()).to_pylist(), shingle))
-        rows = np.repeat(np.arange(len(got)), [len(g) for g in got])
-        values = np.concatenate(got).view(np.int64) if got else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), pa.array(values)], ["_id", "_v"])
+def full_prefixes(d: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``d``: (_id, _text). Rows (_v, _id, _n, _r) of the full sets' values that two sets share at least, rarest first, as far
+    as a set similar enough must have one of them; ``_r`` tells how many values of the set are left from this one on."""
+    name = d.schema["_id"].dataType.simpleString()
+    full = d.mapInArrow(lambda b: sketch_batches(b, shingle, None), f"_id {name}, _n bigint, _f1 bigint, _f2 bigint, _sk array<bigint>").where("_n > 0")
+    key = ["_id", "_n", "_f1", "_f2"]
+    full = written(full.dropDuplicates(key), "full-sets")
+    rows = full.select(*key, F.explode_outer("_sk").alias("_v"))
+    shared = written(rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1"), "full-values")
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("_df"), F.desc("_v")))
+    return rows.join(guarded(shared, BROADCAST_ROWS), "_v").withColumn("_r", rank).where(100 * F.col("_r") >= percent * F.col("_n")).select("_v", "_id", "_n", "_r")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -164,12 +170,20 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
 
 
 def star(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (_x, _y) of each list's heads and members, and (_heads) which list each comes from: of every list and band of sizes the
-    head is the document with most common values, as near copies of one text are nearest to it."""
+    """Pairs (_x, _y) of each list's heads and members: of every list and band of sizes the head is the document with most common
+    values, as near copies of one text are nearest to it."""
     heads = lists.groupBy("_v", "_band").agg(F.min(F.struct((-F.col("_common")).alias("c"), "_id", "_n")).alias("_head"))
-    members = lists.withColumn("_band", F.explode(F.array("_band", F.col("_band") - 1, F.col("_band") + 1)))
-    both = members.join(heads, ["_v", "_band"]).select(F.col("_head._id").alias("_x"), F.col("_head._n").alias("_xn"), F.col("_id").alias("_y"), F.col("_n").alias("_yn"), "_long")
-    return both.where((F.col("_x") != F.col("_y")) & sizes_fit("_xn", "_yn", percent)).groupBy("_x", "_y").agg(F.max("_long").alias("_long"))
+    members = lists.withColumn("_band", F.explode(bands()))
+    both = members.join(heads, ["_v", "_band"]).select(F.col("_head._id").alias("_x"), F.col("_head._n").alias("_xn"), F.col("_id").alias("_y"), F.col("_n").alias("_yn"))
+    return both.where((F.col("_x") != F.col("_y")) & sizes_fit("_xn", "_yn", percent)).select("_x", "_y").distinct()
+
+
+def bands() -> Column:
+    return F.array("_band", F.col("_band") - 1, F.col("_band") + 1)
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("_x", "_y").alias("_x"), F.greatest("_x", "_y").alias("_y"))
 
 
 def link_nodes(nodes: DataFrame, d: DataFrame, shingle: int, percent: int, k: int) -> DataFrame:
@@ -177,69 +191,96 @@ def link_nodes(nodes: DataFrame, d: DataFrame, shingle: int, percent: int, k: in
 
     1. Every list is held against its heads.
     2. Short lists (under LONG_LIST) whose documents are in several components: pairs across these.
-    3. Long lists: documents that no head has settled choose heads among themselves, again and again, until a round
-       finds no link. That takes a round for each family of near copies that share a list.
-    4. What is still unsettled in long lists differs from every head by more than the limit. A partner, being nearer, shares
-       values with it that the head lacks: these are sought in the full sets, in lists that are short among documents
-       of long lists.
+    3. Long lists whose documents are in several components: all their documents, linked or not, are compared by an
+       exact prefix filter on the full sets (``full_links``), which keeps lists of common values out.
     """
-    name = nodes.schema["_id"].dataType.simpleString()
     band = F.floor(F.log(F.col("_n")) / math.log(100 / percent)).cast("int")
     lists = written(prefixes(nodes, percent, k).withColumn("_band", band), "lists")
 
     def check(pairs: DataFrame) -> DataFrame:
         return written(verified(written(likely(pairs, nodes, percent, k), "likely"), d, shingle, percent), "links")
 
-    def named(df: DataFrame, comp: DataFrame) -> DataFrame:
-        return df.join(comp.select(F.col("_node").alias("_id"), "_comp"), "_id", "left").withColumn("_comp", F.coalesce("_comp", "_id"))
-
-    def across(rows: DataFrame, tried: DataFrame, among: str) -> DataFrame:
-        """Pairs of rows (_v, _id, _n, _band, _comp) of one list in different components; ``among`` says which may be x."""
-        a = rows.where(among).select("_v", F.col("_id").alias("_x"), F.col("_n").alias("_xn"), F.col("_comp").alias("_xc"), "_band")
-        b = rows.select("_v", F.col("_id").alias("_y"), F.col("_n").alias("_yn"), F.col("_comp").alias("_yc"), F.explode(F.array("_band", F.col("_band") - 1, F.col("_band") + 1)).alias("_band"))
+    def across(rows: DataFrame, tried: DataFrame) -> DataFrame:
+        """Pairs of rows (_v, _id, _n, _band, _comp) of one list in different components."""
+        a = rows.select("_v", F.col("_id").alias("_x"), F.col("_n").alias("_xn"), F.col("_comp").alias("_xc"), "_band")
+        b = rows.select("_v", F.col("_id").alias("_y"), F.col("_n").alias("_yn"), F.col("_comp").alias("_yc"), F.explode(bands()).alias("_band"))
         pairs = a.join(b, ["_v", "_band"]).where((F.col("_xc") != F.col("_yc")) & sizes_fit("_xn", "_yn", percent))
-        pairs = pairs.select(F.least("_x", "_y").alias("_x"), F.greatest("_x", "_y").alias("_y")).distinct()
-        return written(pairs.join(tried.select(F.least("_x", "_y").alias("_x"), F.greatest("_x", "_y").alias("_y")), ["_x", "_y"], "left_anti"), "across")
+        return written(ordered(pairs).distinct().join(ordered(tried), ["_x", "_y"], "left_anti"), "across")
 
     tried = written(star(lists, percent), "star")
-    links = check(tried.select("_x", "_y"))
+    links = check(tried)
     comp = components(links)
 
     short = named(lists.where("not _long"), comp)
     mixed = short.groupBy("_v").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"), F.count(F.lit(1)).alias("_c")).where("_lo <> _hi and _c > 2").select("_v")
-    rest = across(written(short.join(guarded(written(mixed, "mixed-lists"), BROADCAST_ROWS), "_v"), "open-lists"), tried, "true")
+    rest = across(written(short.join(guarded(written(mixed, "mixed-lists"), BROADCAST_ROWS), "_v"), "open-lists"), tried)
     links = written(links.unionByName(check(rest)), "links")
     comp = components(links)
 
-    long = written(lists.where("_long"), "long-lists")
-    pairs, unsettled = tried.where("_long"), None
-    while not long.isEmpty():
-        # A document is settled once it is in the component of one of its heads, or is a head.
-        at = named(pairs.select(F.col("_y").alias("_id"), "_x"), comp).withColumnRenamed("_comp", "_yc").withColumnRenamed("_id", "_y")
-        at = named(at.withColumnRenamed("_x", "_id"), comp).withColumnRenamed("_id", "_x")
-        settled = at.where("_comp = _yc").select(F.col("_y").alias("_id")).unionByName(pairs.select(F.col("_x").alias("_id"))).distinct()
-        left = written((long if unsettled is None else unsettled).join(settled, "_id", "left_anti"), "unsettled")
-        if left.isEmpty() or (unsettled is not None and new == 0):
-            unsettled = left
-            break
-        unsettled = left
-        pairs = written(star(unsettled, percent).join(tried.select("_x", "_y"), ["_x", "_y"], "left_anti"), "star")
-        found = check(pairs.select("_x", "_y"))
+    long = named(lists.where("_long"), comp).withColumn("_band", F.explode(bands()))
+    mixed = long.groupBy("_v", "_band").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo <> _hi").select("_v", "_band")
+    ids = long.join(guarded(written(mixed, "mixed-lists"), BROADCAST_ROWS), ["_v", "_band"]).groupBy("_id").agg(F.max("_common").alias("_common"))
+    ids = guarded(written(ids, "long-documents"), BROADCAST_ROWS)
+    if ids.isEmpty():
+        return comp
+    rows = full_prefixes(d.join(ids, "_id", "left_semi"), shingle, percent)
+    rows = written(rows.join(ids, "_id").withColumn("_band", band), "full-lists")
+    return full_links(rows, tried.unionByName(rest), links, comp, check, percent)
+
+
+def named(df: DataFrame, comp: DataFrame) -> DataFrame:
+    return df.join(comp.select(F.col("_node").alias("_id"), "_comp"), "_id", "left").withColumn("_comp", F.coalesce("_comp", "_id"))
+
+
+def full_links(rows: DataFrame, tried: DataFrame, links: DataFrame, comp: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """``rows``: (_v, _id, _n, _r, _band, _common) of full prefixes. The components once all pairs of one list that are in different
+    ones, and that sizes and places in the lists don't rule out, have been checked.
+
+    While these pairs are many, heads come first: one for each list and band, then four, then sixteen, out of components
+    that have had none in the list. They join what belongs together at a cost in proportion to the documents. Whatever
+    they leave open is compared pair by pair, large lists in blocks.
+    """
+    heads, new, buckets = None, None, 1
+    # Rows that may be the smaller set of a pair.
+    least = (100 + percent) * F.col("_r") >= 2 * percent * F.col("_n")
+    while True:
+        at = named(rows, comp)
+        each = at.groupBy("_v", "_comp").agg(F.count(F.lit(1)).alias("_c"))
+        mixed = each.groupBy("_v").agg(F.sum("_c").alias("_c"), F.sum(F.col("_c") * F.col("_c")).alias("_q"), F.count(F.lit(1)).alias("_m")).where("_m > 1")
+        mixed = guarded(written(mixed.select("_v", "_c", ((F.col("_c") * F.col("_c") - F.col("_q")) / 2).alias("_pairs")), "mixed-lists"), BROADCAST_ROWS)
+        at = written(at.join(mixed.select("_v", "_c"), "_v"), "open-lists")
+        n, pairs = mixed.agg(F.coalesce(F.sum("_c"), F.lit(0)), F.coalesce(F.sum("_pairs"), F.lit(0))).first()
+        if n == 0:
+            return comp
+        last = pairs <= PAIRS_A_ROW * n or new == 0
+        x = at
+        if last:
+            x = at.where(least).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.floor(F.col("_c") / BLOCK))))
+            y = at.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.floor(F.col("_c") / BLOCK) + 1))
+        else:
+            if heads is not None:
+                x = at.join(named(heads, comp).select("_v", "_comp").distinct(), ["_v", "_comp"], "left_anti")
+            x = x.groupBy("_v", "_band", F.pmod(F.xxhash64("_id"), F.lit(buckets)).alias("_b")).agg(F.min(F.struct((-F.col("_common")).alias("c"), "_id", "_n", "_r", "_comp")).alias("_h"))
+            x = written(x.select("_v", "_band", F.lit(0).cast("bigint").alias("_salt"), "_h._id", "_h._n", "_h._r", "_h._comp"), "heads")
+            y = at.withColumn("_salt", F.lit(0).cast("bigint"))
+            heads = x.select("_v", "_id") if heads is None else heads.unionByName(x.select("_v", "_id"))
+            buckets *= 4
+        x = x.select("_v", "_band", "_salt", F.col("_id").alias("_x"), F.col("_n").alias("_xn"), F.col("_r").alias("_xr"), F.col("_comp").alias("_xc"))
+        y = y.select("_v", F.explode(bands()).alias("_band"), "_salt", F.col("_id").alias("_y"), F.col("_n").alias("_yn"), F.col("_r").alias("_yr"), F.col("_comp").alias("_yc"))
+        # The first value that two sets share leaves no more of either than they can have in common.
+        reach = (100 + percent) * F.least("_xr", "_yr") >= percent * (F.col("_xn") + F.col("_yn"))
+        both = x.join(y, ["_v", "_band", "_salt"]).where((F.col("_xc") != F.col("_yc")) & sizes_fit("_xn", "_yn", percent) & reach)
+        if last:
+            both = both.where("_xn <= _yn")
+        both = written(ordered(both).distinct().join(ordered(tried), ["_x", "_y"], "left_anti"), "across")
+        found = check(both)
         new = found.count()
-        tried = tried.unionByName(pairs)
         if new:
             links = written(links.unionByName(found), "links")
             comp = components(links)
-    if unsettled is None or unsettled.isEmpty():
-        return comp
-    alone = unsettled.select("_id").distinct().withColumn("_alone", F.lit(True))
-    ids = guarded(written(long.select("_id", "_n", "_band").distinct().join(alone, "_id", "left"), "long-documents"), BROADCAST_ROWS)
-    values = written(d.join(ids.select("_id"), "_id", "left_semi").mapInArrow(lambda b: value_batches(b, shingle), f"_id {name}, _v bigint").distinct(), "full-values")
-    all_ = values.join(ids, "_id")
-    some = all_.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"), F.max("_alone").alias("_any")).where(f"_any and _c > 1 and _c < {LONG_LIST}").select("_v")
-    rows = written(named(all_.join(some, "_v"), comp), "full-lists")
-    found = check(across(rows, tried, "_alone"))
-    return comp if found.isEmpty() else components(written(links.unionByName(found), "links"))
+        if last:
+            return comp
+        tried = tried.unionByName(both)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, k: int = K) -> DataFrame:
