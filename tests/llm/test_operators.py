@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,6 +202,22 @@ def test_repeats(spark, group):
 # --- lines -------------------------------------------------------------------------------------------------------------------
 
 
+def test_repeats_of_runs_that_agree_in_upper_bits(spark, monkeypatch):
+    """Runs of one anchor that differ in the lower 40 bits of their hashes alone are compared window by window."""
+    real = repeats.run_batches
+
+    def low(batches, span, gram):
+        for b in real(batches, span, gram):
+            yield b.set_column(2, "_h", pc.bit_wise_and(b.column(2), (1 << 40) - 1))
+
+    texts = dict(enumerate([prose(60, 1), prose(30, 2) + prose(60, 1)[40:240] + prose(30, 3), prose(60, 1)[20:200] + prose(20, 4)], 1))
+    want = {i: r.kept_sha256 for i, r in rows(repeats.remove_repeats(frame(spark, texts.values()))).items()}
+    monkeypatch.setattr(repeats, "run_batches", low)
+    got = rows(repeats.remove_repeats(frame(spark, texts.values())))
+    assert any(r.n_removed for r in got.values())
+    assert {i: r.kept_sha256 for i, r in got.items()} == want
+
+
 def distance(a, b):
     prev = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -210,8 +210,7 @@ def repeated_spans(d: DataFrame, span: int = SPAN, gram: int = GRAM, group: int
     name = d.schema["_id"].dataType.simpleString()
     parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = d.mapInArrow(lambda b: run_batches(b, span, gram), f"_id {name}, _a bigint, _h bigint, _at bigint, _n bigint")
-    short = F.shiftright("_h", 40).cast("int")
-    anchors = rows.groupBy("_a").agg(F.count(F.lit(1)).alias("_c"), F.min(short).alias("_lo"), F.max(short).alias("_hi")).where("_c > 1")
+    anchors = rows.groupBy("_a").agg(F.count(F.lit(1)).alias("_c"), F.min("_h").alias("_lo"), F.max("_h").alias("_hi")).where("_c > 1")
     anchors = anchors.select("_a", (F.col("_lo") != F.col("_hi")).alias("_differ"))
     shared = written(rows.join(anchors, "_a"), "shared-runs")
     first = shared.groupBy("_a", "_h", "_differ").agg(F.min(F.struct("_id", "_at")).alias("_first"), F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_c"))
