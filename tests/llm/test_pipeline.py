@@ -83,3 +83,10 @@ def test_pipeline(spark, tmp_path):
 def test_pipeline_empty(spark, tmp_path):
     write(spark, tmp_path, [], "x")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_bench_times_every_corpus_query():
+    import __spark_entry__
+    import bench
+
+    assert set(bench.CORPUS) == {n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"}
