@@ -98,6 +98,19 @@ def test_near_duplicates_bridge_of_two_large_families(spark):
     assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
 
 
+def test_near_duplicates_that_share_a_common_passage(spark, monkeypatch):
+    """The last text is near the one before it alone; the passage in which these differ from the others stands in more than
+    LONG_LIST (lowered here) documents of another family."""
+    monkeypatch.setattr(minhash, "LONG_LIST", 6)
+    body, other, passage = prose(300, 2041), prose(300, 2042), prose(20, 2043)
+    texts = [edited(f"{body} {prose(20, 44)}", k % 2, 6000 + k) for k in range(20)] + [edited(other, k % 2, 7000 + k) + (f" {passage}" if k < 16 else "") for k in range(20)]
+    texts += [f"{body} q1 {passage}", f"{body} q2 {passage} {prose(25, 45)}"]
+    got = rows(minhash.near_duplicates(frame(spark, texts), shingle=3, percent=85))
+    want = brute_components(dict(enumerate(texts, 1)), 3, 85)
+    assert want[42][1] == 1
+    assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
+
+
 def test_near_duplicates_empty_and_repeated(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     d = frame(spark, ["a b c d e f", "a b c d e f"])
