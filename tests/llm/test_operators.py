@@ -276,6 +276,37 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_of_lists_without_near_lines(spark):
+    """Many variants of one line, far from each other but for a few: no head settles them."""
+    r = random.Random(11)
+    base = prose(90, 21)
+    words = base.split()
+
+    def changed(k):
+        w = list(words)
+        for _ in range(1 + k % 2):
+            w[r.randrange(len(w))] = "".join(r.choice("qrstuv") for _ in range(6))
+        return " ".join(w)
+
+    lines = [base] + [changed(k) for k in range(60)]
+    lines += [typo(lines[k], 1 + k % 2, 300 + k) for k in range(3, 40, 3)] + [typo(lines[5], 2, 400 + k) for k in range(6)]
+    r.shuffle(lines)
+    got = rows(line_dedup.dedup_lines(frame(spark, lines), counts=True))
+    want = brute_lines(dict(enumerate(lines, 1)))
+    assert sum(n for _, _, n in want.values()) > 5
+    assert {i: (x.text, x.n_lines, x.n_removed) for i, x in got.items()} == want
+
+
+def test_line_dedup_of_shared_and_repeated_rows(spark):
+    """Rows of one doc_id with different texts keep their own lines; repeated rows lose the same ones."""
+    line = prose(12, 5)
+    d = spark.createDataFrame([(5, f"{line}\nrow A is here"), (5, f"{line}\nunique line of row B"), (7, line), (7, line), (None, prose(9, 6)), (8, prose(9, 6))], "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in line_dedup.dedup_lines(d).collect()]
+    assert sum(t.count("row A is here") for _, t in got) == 1 and sum(t.count("unique line of row B") for _, t in got) == 1
+    assert sum(t.count(line) for _, t in got) == 1
+    assert [t for i, t in got if i == 7] == ["", ""] and (None, prose(9, 6)) in got and (8, "") in got
+
+
 def test_banded_distance(spark):
     r = random.Random(3)
     pairs = [("", ""), ("a", ""), ("ab", "ba"), ("a" * 5, "a" * 8)] + [(x := "".join(r.choice("ab\u00e9") for _ in range(r.randint(1, 12))), typo(x, r.randint(0, 4), r.random())) for _ in range(60)]

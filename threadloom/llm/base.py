@@ -28,8 +28,11 @@ def ascii_lower(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where that is unset, as in tests."""
+    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where that is unset and the master is
+    local, as in tests. On a cluster an unset folder is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = f"file://{tempfile.gettempdir()}/threadloom-{os.getpid()}"
         spark.conf.set("spark.checkpoint.dir", root)
@@ -67,6 +70,25 @@ def importable(spark: SparkSession) -> None:
     sc._threadloom_sent = True
 
 
+#: Bits of a sieve's words: at most 2 ** WORD_BITS rows of two longs, 64 keys' bits in each.
+WORD_BITS = 20
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the hashes in the long column ``key``, as rows (_word, _bits): at most 2 ** WORD_BITS, some 16 MB, whatever the size
+    of ``keys``."""
+    word, bit = F.expr(f"shiftrightunsigned({key}, {64 - WORD_BITS})"), F.expr(f"shiftleft(1L, cast({key} & 63 as int))")
+    return keys.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` (a hash, as in ``keys``) may be among ``keys``: all that are, and a share of the others that
+    is small as long as there are fewer keys than bits. Spares the shuffle of a join, which has to follow, most rows."""
+    bits = F.broadcast(sieve(keys, key))
+    df = df.withColumn("_word", F.expr(f"shiftrightunsigned({key}, {64 - WORD_BITS})")).join(bits, "_word")
+    return df.where(F.expr(f"(_bits & shiftleft(1L, cast({key} & 63 as int))) <> 0")).drop("_word", "_bits")
+
+
 def guarded(df: DataFrame, rows: int) -> DataFrame:
     """``df``, a written table of narrow rows, to be broadcast if it has at most ``rows`` rows; else left to a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

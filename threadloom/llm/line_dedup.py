@@ -3,19 +3,24 @@
 A line of enough characters goes if an equal line, or one within MAX_EDITS edits, stands earlier (smaller doc_id, or
 higher up in the document). Equal lines need MIN_CHARS characters; near ones NEAR_CHARS on both sides.
 
-Equal lines are found by their hashes. For near ones a line is split into MAX_EDITS + 1 segments: of two lines within that
+Equal lines are found by two hashes. For near ones a line is split into MAX_EDITS + 1 segments: of two lines within that
 many edits, one segment of the shorter stands unchanged in the longer. A line's segments are indexed by (length,
 segment number, contents), and a line probes the indexes of its own length and of up to MAX_EDITS characters less, at the
-few places that the edits left and right of a segment allow. Only keys that two different lines share go on. Of these
-lines each is first held against the earliest line of its keys, which settles groups of near copies at a cost in
-proportion to their size; lines that nothing removed are then held against the others of their keys. A compiled thresholded
-distance drops most pairs, and a bit-parallel automaton on a band of 2 * MAX_EDITS + 1 diagonals verifies the rest.
+few places that the edits left and right of a segment allow. Only keys that two different lines share go on; a bitmap of
+these keys (``base.sieve``, bounded) keeps all other probes from a second shuffle.
+
+The lines of a key are a list. Each is first held against the list's earliest line, its head, which settles groups of near
+copies at a cost in proportion to their size. What is left open isn't compared pair by pair: a line's place of first
+difference from the head splits the list (``deviations``), and only lines with the same place, or with equal repairs of such
+differences, go on. A compiled thresholded distance drops most candidates, and a bit-parallel automaton on a band of
+2 * MAX_EDITS + 1 diagonals verifies the rest.
 
 DataFrame functions only. Keys are aggregated before they are shuffled, so copies of a line cost a row for each task.
 
 Defined results: a null text stays null and has no lines; an empty one is one empty line; a document whose lines all go
-keeps an empty text. Rows that share a doc_id are taken as one document (repeated rows lose the same lines); a
-null doc_id comes first. Texts are split at ``\\n`` alone. All other columns are kept as they are.
+keeps an empty text. Repeated rows are one document and lose the same lines. Rows that share a doc_id but not the text are
+documents of their own, ordered by a hash of the text; a null doc_id comes first. Texts are split at ``\\n`` alone. All
+other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -23,15 +28,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import guarded, table, written
+from .base import narrowed, table, written
 
 MIN_CHARS, NEAR_CHARS, MAX_EDITS = 20, 60, 2
-BROADCAST_ROWS = 400_000
+#: Powers of two, from a length that no string has, by which a common prefix is measured.
+STEPS = [1 << k for k in range(30, -1, -1)]
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``docs``: (_id, _text). A row (_id, _no, _line, _len) for each line of at least ``min_chars`` characters."""
-    every = docs.select("_id", F.posexplode_outer(F.split("_text", "\n")).alias("_no", "_line"))
+    """``docs``: (_id, _th, _text). A row (_id, _th, _no, _line, _len) for each line of at least ``min_chars`` characters."""
+    every = docs.select("_id", "_th", F.posexplode_outer(F.split("_text", "\n")).alias("_no", "_line"))
     return every.withColumn("_len", F.length("_line")).where(F.col("_len") >= min_chars)
 
 
@@ -108,47 +114,116 @@ def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return chars.withColumn("_ok", within("_a", "_b", edits) & (F.monotonically_increasing_id() >= 0)).where("_ok").select("_x", "_y")
 
 
+def common_prefix(a: Column, b: Column) -> Column:
+    """Length of the longest common prefix of two strings."""
+    room = F.least(F.length(a), F.length(b))
+    same = lambda lo, n: (lo + n <= room) & (a.substr(lo + 1, n) == b.substr(lo + 1, n))
+    return F.aggregate(F.array(*[F.lit(n) for n in STEPS]), F.lit(0), lambda lo, n: F.when(same(lo, n), lo + n).otherwise(lo))
+
+
+def repairs(a: Column, head: Column, at: Column) -> Column:
+    """The strings that one edit at the first difference from ``head`` (``at`` characters in) makes of ``a``: the head's character put in
+    place of a's own, put before it, or a's own taken out."""
+    start, rest, char = a.substr(F.lit(1), at), a.substr(at + 1, F.length(a)), head.substr(at + 1, F.lit(1))
+    more, own = at < F.length(head), at < F.length(a)
+    after = a.substr(at + 2, F.length(a))
+    return F.array_compact(F.array(F.when(more & own, F.concat(start, char, after)), F.when(more, F.concat(start, char, rest)), F.when(own, F.concat(start, after))))
+
+
+def deviations(line: Column, head: Column) -> Column:
+    """Structs (u, s, p): after u repairs, the hash of the string and its first difference from the head (up to MAX_EDITS - 1 repairs).
+
+    Take two lines within two edits that differ from the head first at places p < q. The second has the head's character at
+    p, the first has not, so an optimal alignment edits the first at p towards the head: one of its repairs is within one
+    edit of the second. By induction, repairs of the two, of no more than MAX_EDITS in all, either become equal or differ
+    from the head at the same place.
+    """
+    own = F.array(F.struct(F.lit(0).alias("u"), line.alias("s"), common_prefix(line, head).alias("p")))
+    once = F.flatten(F.transform(own, lambda x: F.transform(repairs(x["s"], head, x["p"]), lambda r: F.struct(F.lit(1).alias("u"), r.alias("s"), common_prefix(r, head).alias("p")))))
+    twice = F.flatten(F.transform(once, lambda x: F.transform(repairs(x["s"], head, x["p"]), lambda r: F.struct(F.lit(2).alias("u"), r.alias("s"), F.lit(-1).alias("p")))))
+    return F.transform(F.concat(own, once, twice), lambda x: F.struct(x["u"].alias("u"), F.xxhash64(x["s"]).alias("s"), x["p"].alias("p")))
+
+
+def star(lists: DataFrame, edits: int) -> DataFrame:
+    """``lists``: (_list, _h, _len, _index, _first). Pairs (_x, _y) of each list's earliest line and its others."""
+    heads = lists.groupBy("_list").agg(F.min(F.struct("_first", "_h", "_index", "_len")).alias("_head"))
+    both = lists.join(heads, "_list").where((F.col("_h") != F.col("_head._h")) & (F.col("_index") | F.col("_head._index")) & (F.abs(F.col("_len") - F.col("_head._len")) <= edits))
+    return both.select(F.col("_head._h").alias("_x"), F.col("_h").alias("_y")).distinct()
+
+
+def within_lists(rows: DataFrame, on: str, edits: int) -> DataFrame:
+    """``rows``: (_list, _h, _len, _index, _first, _open, _u and ``on``). Pairs (_x, _y) of open lines with earlier ones that are equal
+    in ``on``, after no more repairs in all than there may be edits (equal strings) or one less (places)."""
+    most = edits if on == "_s" else edits - 1
+    y = rows.where("_open").select("_list", on, F.col("_h").alias("_y"), F.col("_len").alias("_yl"), F.col("_index").alias("_yi"), F.col("_first").alias("_yf"), F.col("_u").alias("_yu"))
+    x = rows.select("_list", on, F.col("_h").alias("_x"), F.col("_len").alias("_xl"), F.col("_index").alias("_xi"), F.col("_first").alias("_xf"), F.col("_u").alias("_xu"))
+    fits = (F.col("_xf") < F.col("_yf")) & (F.col("_xi") | F.col("_yi")) & (F.abs(F.col("_xl") - F.col("_yl")) <= edits) & (F.col("_xu") + F.col("_yu") <= most)
+    return x.join(y, ["_list", on]).where(fits).select("_x", "_y")
+
+
 def near_lines(docs: DataFrame, first: DataFrame, edits: int = MAX_EDITS, least: int = NEAR_CHARS) -> DataFrame:
-    """Hashes ``_h`` of the lines that have a near line before them. ``first``: (_h, _first) of all lines."""
+    """Rows (_h, _h2) of the lines that have a near line before them. ``first``: (_h, _first) of all lines."""
+    if edits != MAX_EDITS:
+        raise ValueError(f"repairs are written out for {MAX_EDITS} edits")
     rows = keyed(docs, edits, least)
     live = rows.groupBy("_key").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a <> _b").select("_key")
-    live = guarded(written(live, "live-keys"), BROADCAST_ROWS)
-    shared = rows.join(live, "_key").groupBy("_key", "_h", "_len").agg(F.max("_index").alias("_index"))
+    live = written(live, "live-keys")
+    shared = narrowed(rows, live, "_key").join(live, "_key").groupBy("_key", "_h", "_len").agg(F.max("_index").alias("_index"))
     shared = written(shared, "shared-keys")
-    ids = written(shared.select("_h").distinct().join(first.groupBy("_h").agg(F.min("_first").alias("_first")), "_h"), "near-candidates")
-    spots = guarded(ids.select("_h", F.col("_first._id").alias("_fid"), F.col("_first._no").alias("_fno")), BROADCAST_ROWS)
-    texts = docs.join(spots, F.col("_id").eqNullSafe(F.col("_fid"))).select("_h", F.get(F.split("_text", "\n"), F.col("_fno")).alias("_line"))
-    texts = written(texts.where(F.xxhash64("_line") == F.col("_h")).dropDuplicates(["_h"]), "near-texts")
-    v = shared.join(ids, "_h").select("_key", "_h", "_len", "_index", "_first")
-    heads = v.groupBy("_key").agg(F.min(F.struct("_first", "_h", "_index", "_len")).alias("_head"))
-    star = v.join(heads, "_key").where((F.col("_h") != F.col("_head._h")) & (F.col("_index") | F.col("_head._index")) & (F.abs(F.col("_len") - F.col("_head._len")) <= edits))
-    star = written(star.select(F.col("_head._h").alias("_x"), F.col("_h").alias("_y")).distinct(), "near-star")
-    done = written(verified(star, texts, edits).select(F.col("_y").alias("_h")).distinct(), "near-first")
-    # Lines that no head removed meet the earlier ones of their keys that are not heads.
-    open_ = v.join(done, "_h", "left_anti").select("_key", F.col("_h").alias("_y"), F.col("_len").alias("_yl"), F.col("_index").alias("_yi"), F.col("_first").alias("_yf"))
-    other = v.select("_key", F.col("_h").alias("_x"), F.col("_len").alias("_xl"), F.col("_index").alias("_xi"), F.col("_first").alias("_xf"))
-    rest = open_.join(other, "_key").where((F.col("_xf") < F.col("_yf")) & (F.col("_xi") | F.col("_yi")) & (F.abs(F.col("_xl") - F.col("_yl")) <= edits)).select("_x", "_y").distinct()
-    rest = written(rest.join(star, ["_x", "_y"], "left_anti"), "near-rest")
-    return written(done.unionByName(verified(rest, texts, edits).select(F.col("_y").alias("_h"))).distinct(), "near-lines")
+    ids = written(shared.select("_h").distinct(), "near-candidates")
+    lines = lines_of(docs, least).select(*hashes(), "_line")
+    texts = written(narrowed(lines, ids, "_h").join(ids, "_h", "left_semi").dropDuplicates(["_h", "_h2"]), "near-texts")
+    at = written(narrowed(first, ids, "_h").join(ids, "_h").groupBy("_h").agg(F.min("_first").alias("_first")), "near-places")
+    v = written(shared.join(at, "_h").withColumnRenamed("_key", "_list"), "near-lists")
+
+    def settled(pairs: DataFrame) -> DataFrame:
+        return written(verified(pairs, texts, edits).select(F.col("_y").alias("_h")).distinct(), "near-settled")
+
+    first_star = written(star(v, edits), "near-star")
+    done = settled(first_star)
+    # Lists of three lines and more with a line that is neither head nor settled.
+    size = v.groupBy("_list").agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct("_first", "_h")).alias("_top")).where("_c > 2")
+    rest = v.join(size.select("_list", F.col("_top._h").alias("_head")), "_list").where("_h <> _head")
+    rest = rest.join(done.withColumn("_done", F.lit(True)), "_h", "left").withColumn("_open", F.col("_done").isNull())
+    rest = written(rest.drop("_done"), "near-rest")
+    rest = rest.join(rest.where("_open").select("_list").distinct(), "_list", "left_semi")
+    rest = rest.join(texts.select("_h", "_line"), "_h").join(texts.select(F.col("_h").alias("_head"), F.col("_line").alias("_top")), "_head")
+    rest = rest.select("_list", "_h", "_len", "_index", "_first", "_open", F.explode_outer(deviations(F.col("_line"), F.col("_top"))).alias("_d"))
+    rest = written(rest.select("_list", "_h", "_len", "_index", "_first", "_open", F.col("_d.u").alias("_u"), F.col("_d.s").alias("_s"), F.col("_d.p").alias("_p")), "near-deviations")
+    # Lines that leave the head at the same place are lists again.
+    places = rest.where("_p >= 0").withColumn("_list", F.xxhash64("_list", "_p"))
+    again = written(star(places, edits).join(first_star, ["_x", "_y"], "left_anti").join(done, F.col("_y") == F.col("_h"), "left_anti"), "near-star")
+    done = written(done.unionByName(settled(again)).distinct(), "near-settled")
+    rest = rest.join(done, "_h", "left_anti").where("_open").select("_h").distinct().withColumn("_still", F.lit(True)).join(rest, "_h", "right").withColumn("_open", F.coalesce("_still", F.lit(False))).drop("_still")
+    rest = written(rest, "near-open")
+    pairs = within_lists(rest, "_s", edits).unionByName(within_lists(rest.where("_p >= 0"), "_p", edits)).distinct()
+    pairs = pairs.join(first_star, ["_x", "_y"], "left_anti").join(again, ["_x", "_y"], "left_anti")
+    done = done.unionByName(settled(written(pairs, "near-pairs")))
+    return written(texts.join(done.distinct(), "_h", "left_semi").select("_h", "_h2"), "near-lines")
 
 
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS, edits: int = MAX_EDITS) -> DataFrame:
-    """``docs``: (_id, _text). A row (_rid, _gone) for each document that loses lines, with their numbers from 0."""
-    rows = lines_of(docs, min_chars).select("_id", "_no", *hashes())
-    first = written(rows.groupBy("_h", "_h2").agg(F.min(F.struct("_id", "_no")).alias("_first"), F.count(F.lit(1)).alias("_n")), "first-lines")
-    near = guarded(near_lines(docs, first.select("_h", "_first"), edits, near_chars), BROADCAST_ROWS) if edits else docs.sparkSession.createDataFrame([], "_h bigint")
-    hit = first.join(near.withColumn("_near", F.lit(True)), "_h", "left").where("_n > 1 or _near is not null")
-    hit = guarded(written(hit.select("_h", "_h2", "_first", F.coalesce("_near", F.lit(False)).alias("_near")), "repeated-lines"), BROADCAST_ROWS)
-    gone = rows.join(hit, ["_h", "_h2"]).where(F.col("_near") | (F.struct("_id", "_no") != F.col("_first")))
-    return written(gone.groupBy(F.col("_id").alias("_rid")).agg(F.collect_set("_no").alias("_gone")), "removed-lines")
+    """``docs``: (_id, _th, _text). A row (_rid, _rth, _gone) for each document that loses lines, with their numbers from 0."""
+    rows = lines_of(docs, min_chars).select("_id", "_th", "_no", *hashes())
+    place = F.struct("_id", "_th", "_no")
+    first = written(rows.groupBy("_h", "_h2").agg(F.min(place).alias("_first"), (F.max(place) != F.min(place)).alias("_more")), "first-lines")
+    hit = first.where("_more").select("_h", "_h2", "_first", F.lit(False).alias("_near"))
+    if edits:
+        near = near_lines(docs, first.select("_h", "_first"), edits, near_chars)
+        hit = hit.unionByName(narrowed(first, near, "_h").join(near, ["_h", "_h2"]).select("_h", "_h2", "_first", F.lit(True).alias("_near")))
+    hit = written(hit, "repeated-lines")
+    gone = narrowed(rows, hit, "_h").join(hit, ["_h", "_h2"]).where(F.col("_near") | (place != F.col("_first")))
+    return gone.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set("_no").alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS, edits: int = MAX_EDITS) -> DataFrame:
     """The rows of ``docs`` with all their columns, ``text`` without its removed lines; with ``counts`` also ``n_lines`` and
     ``n_removed`` (long)."""
-    gone = removed_lines(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), min_chars, near_chars, edits)
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_id"))
-    out = d.join(gone, F.col("_id").eqNullSafe(F.col("_rid")), "left").withColumn("_lines", F.split(F.col(f"_row.`{text}`"), "\n"))
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    gone = removed_lines(docs.select(F.col(doc_id).alias("_id"), own.alias("_th"), F.col(text).alias("_text")), min_chars, near_chars, edits)
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_id"), own.alias("_th"))
+    # One kind of join at any size: both sides grow with the corpus.
+    out = d.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").withColumn("_lines", F.split(F.col(f"_row.`{text}`"), "\n"))
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")))
     old = F.col(f"_row.`{text}`")
     kept = F.when(F.col("_gone").isNull() | F.col("_lines").isNull(), old).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
