@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -279,7 +280,7 @@ def test_line_dedup(spark):
 def test_line_dedup_of_lists_without_near_lines(spark):
     """Many variants of one line, far from each other but for a few: no head settles them."""
     r = random.Random(11)
-    base = prose(90, 21)
+    base = prose(28, 21)
     words = base.split()
 
     def changed(k):
@@ -333,6 +334,52 @@ def test_language_id(spark):
     assert (np.abs(language_id.codewords(7).sum(0)) < 7).all()
 
 
+def slow_predict(model, text):
+    """A text's language by its trigrams one at a time."""
+    cost = []
+    raw = (text or "").lower().encode("utf-8", "replace").translate(language_id.LETTERS)
+    x = b" " + b" ".join(raw.split()) + b" "
+    margins, n = [0.0] * model.code.shape[1], 0
+    for a, b, c in zip(x, x[1:], x[2:]):
+        h = ((a * 0x9E3779B1) & 0xFFFFFFFF) ^ ((b * 0x85EBCA77) & 0xFFFFFFFF) ^ ((c * 0xC2B2AE3D) & 0xFFFFFFFF)
+        h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
+        slot = (h >> 18) % (language_id.SLOTS - 1) + 1
+        n += 1
+        margins = [m + float(w) for m, w in zip(margins, model.weights[slot])]
+    scale = language_id.SHARPNESS * math.sqrt(min(n, language_id.SURE)) / max(n, 1)
+    for word in model.code:
+        cost.append(sum(t * math.log1p(math.exp(-m * scale * c)) for m, c, t in zip(margins, word, model.trust)))
+    return model.langs[cost.index(min(cost))], cost
+
+
+def test_language_id_decoding(spark):
+    """Six invented languages with held-out texts; a slow decoder; one language; repeated rows, ties, clashing columns."""
+    r = random.Random(5)
+    alphabets = {x: [r.choice("abcdefghijklmnoprstuvw\u00e9\u00f6") for _ in range(9)] for x in ("aa", "bb", "cc", "dd", "ee", "ff")}
+    text = lambda x, n: " ".join("".join(r.choice(alphabets[x]) for _ in range(r.randint(2, 6))) for _ in range(n))
+    learn = [(k, text(x, 30), x) for k, x in enumerate(list(alphabets) * 40)]
+    df = spark.createDataFrame(learn + learn[:6] + [(999, "zzz", None), (None, text("aa", 9), "aa")], "_id long, _text string, _lang string")
+    model = language_id.fit(df)
+    assert model.langs == sorted(alphabets) and model.code.shape[1] > 5
+    held = [(x, text(x, n)) for n in (8, 20, 2000) for x in alphabets for _ in range(5 if n < 100 else 1)]
+    got = rows(language_id.identify(frame(spark, [t for _, t in held]), model))
+    right = sum(got[i].lang_pred == x for i, (x, _) in enumerate(held, 1))
+    assert right >= 0.9 * len(held)
+    for i, (_, t) in enumerate(held, 1):
+        lang, cost = slow_predict(model, t)
+        two = sorted(cost)[:2]
+        assert got[i].lang_pred == lang or two[1] - two[0] < 1e-6
+        assert got[i].ambiguous == (two[1] - two[0] < language_id.LEAD) or abs(two[1] - two[0] - language_id.LEAD) < 1e-3
+    one = language_id.fit(df.where("_lang = 'cc'"))
+    assert [x.lang_pred for x in language_id.identify(frame(spark, ["abc", "!!", None, "abc"]), one).orderBy("doc_id").collect()] == ["cc", "und", "und", "cc"]
+    same = language_id.fit(spark.createDataFrame([(1, "same text", "x"), (2, "same text", "b")], "_id long, _text string, _lang string"))
+    tied = language_id.identify(frame(spark, ["same text"]), same).first()
+    assert tied.lang_pred == "b" and tied.ambiguous
+    few = language_id.fit(df, per_language=3)
+    assert few.langs == sorted(alphabets)
+    assert language_id.identify(frame(spark, []), model).count() == 0
+
+
 # --- licences, urls, quality, benchmark ---------------------------------------------------------------------------------------
 
 
@@ -346,6 +393,59 @@ def test_licenses(spark):
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
 
 
+def slow_licenses(words, n_docs, df):
+    """The same verdicts from all alignments of every template, one by one."""
+    idf = lambda w: math.log((n_docs + 1) / (df.get(w, 0) + 0.5)) + 1e-6
+    starts, base, found = [], set(), set()
+    for text, label in licenses.PHRASES:
+        p = text.encode().split()
+        here = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+        starts += here
+        base |= {label} if here else set()
+    for label, text, key in licenses.TEMPLATES:
+        t, k = text.encode().split(), key.encode().split()
+        known = sorted(set(t), key=lambda w: (-idf(w), w))
+        rare = [w for w in known if w in words][: licenses.RARE]
+        need = min(licenses.MATCHES, len(known))
+        for o in range(-len(t), len(words)):
+            exact = any(0 <= o + q < len(words) and words[o + q] == w for w in rare for q, y in enumerate(t) if y == w)
+            agree = sum(any(words[i] == w and t[q] == w and abs(i - q - o) <= licenses.SHIFT for i in range(max(0, o - 2), min(len(words), o + len(t) + 3)) for q in range(len(t))) for w in rare)
+            near = range(max(0, o - licenses.SHIFT), o + len(t) + licenses.SHIFT - len(k) + 1)
+            if not exact or agree < need or not any(words[i : i + len(k)] == k for i in near):
+                continue
+            share = sum(idf(w) for i, w in enumerate(t) if any(0 <= i + o + d < len(words) and words[i + o + d] == w for d in range(-licenses.SHIFT, licenses.SHIFT + 1)))
+            if share / sum(idf(w) for w in t) >= licenses.MIN_SCORE:
+                found.add(label)
+    return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | found))
+
+
+def test_licenses_against_all_alignments(spark):
+    """Random mixtures of template words, phrases and prose; repeated and long texts."""
+    r = random.Random(8)
+    pool = [t for _, t, _ in licenses.TEMPLATES] + [p for p, _ in licenses.PHRASES]
+    texts = []
+    for k in range(60):
+        w = []
+        for _ in range(r.randint(0, 4)):
+            part = r.choice(pool).split()
+            at = r.randrange(len(part))
+            part = [x for x in part[at if r.random() < 0.3 else 0 :] if r.random() > 0.1]
+            w += part[: r.randint(1, 60)] + prose(r.randint(0, 6), r.random()).split()
+        texts.append(" ".join(w))
+    texts += [texts[3], None, "", prose(6000, 1) + " " + pool[1] + " " + prose(3000, 2)]
+    words = [licenses.words_of((t or "").encode()) for t in texts]
+    df = collections.Counter(w for ws in words for w in set(ws))
+    got = rows(licenses.scan_licenses(frame(spark, texts)))
+    labelled = 0
+    for i, ws in enumerate(words, 1):
+        x = got[i]
+        if len(ws) < 5000:
+            assert (x.n_words, x.n_base, x.first_word, x.last_word, x.base_labels, x.labels) == slow_licenses(ws, len(texts), df), texts[i - 1]
+        labelled += x.labels != x.base_labels
+        assert 0 <= x.score <= 1
+    assert labelled > 10 and "mit" in got[len(texts)].labels and got[4][1:] == got[61][1:]
+
+
 def test_url_rules(spark):
     urls = ["http://www.Example.com/en/1", "https://example.com/en/x", "https://a.example.com/de/", "http://b.net/es/?q", "http://net/fr/", "http://b.net/es", None, "no-scheme", "x://h?q", "https://org.uk/a"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
@@ -359,6 +459,23 @@ def test_url_reputation(spark):
     bad = spark.createDataFrame([(i, 1.0 if i < 60 else 0.0) for i in range(0, 200)], "_id long, _bad double")
     out = url_filter.filter_urls(pages, bad).collect()
     assert {r.host for r in out if r.verdict == "block"} == {"bad.org"}
+    without = {r.host for r in url_filter.filter_urls(pages, bad.withColumn("_bad", F.lit(0.3)), rules=[]).collect() if r.verdict == "block"}
+    assert not without  # with the same rate everywhere the method blocks nothing
+
+
+def test_url_levels(spark):
+    """Ports, users and addresses; bad hosts next to one of the same domain; empty, repeated and clashing input."""
+    hosts = ["a.shop.co.uk", "b.shop.co.uk:8080", "u@c.shop.co.uk", "10.0.0.1", "10.0.0.2:81", "[::1]:80", "x.com", "com", "", "d.e.f.org"]
+    got = {r._host: (r._domain, r._suffix) for r in url_filter.levels(spark.createDataFrame([(h,) for h in hosts], "_host string")).collect()}
+    assert got == dict(zip(hosts, [("shop.co.uk", "co.uk")] * 3 + [("10.0.0.1",) * 2, ("10.0.0.2",) * 2, ("[::1]",) * 2, ("x.com", "com"), ("com", "com"), ("", ""), ("f.org", "org")]))
+    urls = [f"http://{h}.farm.net/{'x' * (50_000 if i == 3 else 3)}/{i}" for i, h in enumerate(["spam"] * 60 + ["good"] * 60)] + [f"http://h{i % 9}.org/{i}" for i in range(120)]
+    pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id long, url string, _host string, verdict string")
+    bad = spark.createDataFrame([(i, 1.0 if i < 60 and i % 10 else 0.0) for i in range(240)] + [(3, None), (None, 1.0), (999, 1.0)], "_id long, _bad double")
+    out = url_filter.filter_urls(pages, bad, rules=[]).collect()
+    assert {r.host for r in out if r.verdict == "block"} == {"spam.farm.net"}
+    means = {r.host: r.bad_rate for r in out}
+    assert means["good.farm.net"] > means["h1.org"]  # its neighbour's bad pages count, a little
+    assert url_filter.filter_urls(pages.unionByName(pages), bad).count() == 480 and url_filter.filter_urls(pages.limit(0), bad).count() == 0
 
 
 def brute_quality(t):

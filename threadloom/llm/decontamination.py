@@ -3,9 +3,9 @@
 Of each run of SPAN - GRAM + 1 consecutive GRAM-word hashes the least is kept as a fingerprint, in documents and in
 benchmark items alike. Two texts that share SPAN words in a row share all hashes of that run and so its least one: no
 shared span is missed. Fingerprints are joined; for documents with a hit, the windows whose fingerprint matched are
-compared in whole (all SPAN words), and the words inside matching windows are counted once.
+compared in whole (two hashes of all SPAN words), and the words inside matching windows are counted once.
 Items of fewer than SPAN words are one window each. Winnowing promises nothing for those, so documents are compared with
-them by all windows of these few lengths.
+them by all windows of these few lengths, in one pass for all of them.
 
 DataFrame functions only. Arrays are exploded with ``explode_outer``: for ``explode`` the optimizer adds a filter on the
 array, which it would compute a second time, with all that it is made of written out in place. Documents are exploded into distinct fingerprints, never into pairs: a passage that stands in a
@@ -37,6 +37,11 @@ def gram_hashes(w: str, n: int) -> Column:
     return F.slice(every, 1, F.greatest(F.size(w) - (n - 1), F.lit(0)))
 
 
+def whole(words: list[Column], salt: int = 0) -> list[Column]:
+    """Two hashes of a run of words; with words of one item or window alone, 128 bits tell it from all others."""
+    return [F.xxhash64(F.lit(salt), *words).alias("_h"), F.xxhash64(*words, F.lit(salt + 1)).alias("_h2")]
+
+
 def winnow(grams: str, run: int) -> Column:
     """The least hash of each run of ``run`` consecutive ones in the array column ``grams``."""
     least = F.transform(grams, lambda x, i: F.least(x, *[F.get(grams, i + k) for k in range(1, run)]))
@@ -47,9 +52,9 @@ def matches(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRA
     """``docs``: (_id, _text), ``items``: (_item, _itext). A row (_id, _at, _len, _item) for each place of a window in a document."""
     run = span - gram + 1
     it = items.select("_item", words(F.col("_itext")).alias("_iw")).where(F.size("_iw") > 0)
-    it = it.withColumn("_g", gram_hashes("_iw", gram)).withColumn("_least", winnow("_g", run)).withColumn("_full", gram_hashes("_iw", span))
-    long_items = it.where(F.size("_iw") >= span)
-    windows = written(long_items.select("_item", F.explode_outer(F.arrays_zip(F.col("_least").alias("p"), F.col("_full").alias("h"))).alias("z")).select("_item", F.col("z.p").alias("_p"), F.col("z.h").alias("_h")).where("_p is not null").distinct(), "item-windows")
+    it = it.withColumn("_g", gram_hashes("_iw", gram)).withColumn("_least", winnow("_g", run))
+    long_items = it.where(F.size("_iw") >= span).select("_item", "_iw", F.posexplode_outer("_least").alias("_i", "_p")).where("_p is not null")
+    windows = written(long_items.select("_item", "_p", *whole([F.get("_iw", F.col("_i") + k) for k in range(span)])).distinct(), "item-windows")
     prints = guarded(written(windows.select("_p").distinct(), "item-prints"), BROADCAST_ROWS)
 
     w = docs.select("_id", words(F.col("_text")).alias("_w"))
@@ -62,21 +67,27 @@ def matches(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRA
     again = again.select("_id", "_hits", words(F.col("_text")).alias("_w"))
     again = again.withColumn("_g", gram_hashes("_w", gram)).withColumn("_least", winnow("_g", run))
     places = again.select("_id", "_w", F.explode_outer(F.filter(F.transform("_least", lambda p, i: F.when(F.array_contains("_hits", p), i)), lambda i: i.isNotNull())).alias("_at")).where("_at is not null")
-    places = places.select("_id", "_at", F.xxhash64(*[F.get("_w", F.col("_at") + k) for k in range(span)]).alias("_h"))
-    found = places.join(guarded(written(windows.select("_h", "_item").distinct(), "item-full"), BROADCAST_ROWS), "_h").select("_id", "_at", F.lit(span).alias("_len"), "_item")
-
-    short = it.where(F.size("_iw") < span).select("_item", F.size("_iw").alias("_len"), F.xxhash64(F.lit(7), F.array_join("_iw", " ")).alias("_h")).distinct()
-    for n in sorted(r[0] for r in short.select("_len").distinct().collect()):  # at most SPAN - 1 lengths
-        some = guarded(written(short.where(F.col("_len") == n), f"item-short-{n}"), BROADCAST_ROWS)
-        all_words = docs.select("_id", words(F.col("_text")).alias("_w"))
-        joined = all_words.select("_id", F.posexplode_outer(_joined("_w", n)).alias("_at", "_h"))
-        found = found.unionByName(joined.join(some, "_h").select("_id", "_at", "_len", "_item"))
-    return found
-
-
-def _joined(w: str, n: int) -> Column:
-    every = F.transform(w, lambda x, i: F.xxhash64(F.lit(7), F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, n)])))
-    return F.slice(every, 1, F.greatest(F.size(w) - (n - 1), F.lit(0)))
+    places = places.select("_id", "_at", *whole([F.get("_w", F.col("_at") + k) for k in range(span)]))
+    found = places.join(guarded(written(windows.select("_h", "_h2", "_item").distinct(), "item-full"), BROADCAST_ROWS), ["_h", "_h2"]).select("_id", "_at", F.lit(span).alias("_len"), "_item")
+
+    joined = F.array_join("_iw", " ")
+    short = it.where(F.size("_iw") < span).select("_item", F.size("_iw").alias("_len"), *whole([joined], 7)).distinct()
+    short = guarded(written(short, "item-short"), BROADCAST_ROWS)
+    lengths = sorted(r[0] for r in short.select("_len").distinct().collect())  # at most SPAN - 1
+    if not lengths:
+        return found
+    every = docs.select("_id", words(F.col("_text")).alias("_w"))
+    every = every.select("_id", F.explode_outer(F.concat(*[_windows("_w", n) for n in lengths])).alias("_x")).select("_id", "_x.*")
+    return found.unionByName(every.join(short, ["_len", "_h", "_h2"]).select("_id", "_at", "_len", "_item"))
+
+
+def _windows(w: str, n: int) -> Column:
+    """Structs (_len, _at, _h, _h2) of all windows of n words."""
+    def one(x, i):
+        text = F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, n)])
+        return F.struct(F.lit(n).alias("_len"), i.alias("_at"), *whole([text], 7))
+
+    return F.slice(F.transform(w, one), 1, F.greatest(F.size(w) - (n - 1), F.lit(0)))
 
 
 def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:

@@ -5,11 +5,14 @@ language whose codeword costs the least logistic loss, each bit weighted by how
 A text whose two nearest codewords cost about the same is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample of labelled rows: at most ``per_language`` of each language, those with the
-smallest hashes of their id. Only ids and labels are ranked; counts are added up on the executors. Predictions read
-every text in whole, and nothing but the text.
+smallest hashes of their id. Only ids and labels are ranked, and of these only as many as have hashes that may be among the
+smallest; the sample's ids are broadcast, so texts are never shuffled to be chosen. Counts are added up on the executors.
+Predictions read every text in whole, and nothing but the text.
 
 Defined results: a null text and one without a letter are ``und`` with score 0, as is every text if no row is labelled;
-repeated rows give repeated rows; other columns are not looked at.
+a single learned language is predicted for every text that has a letter; of codewords that cost the same the first in
+the languages' order wins; repeated rows give repeated rows and are learned from as often as they stand; other columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .base import importable, table
+from .base import guarded, importable, table, written
 
 #: Sampled rows of each language, slots of hashed n-grams, a bit's share of sharpness for each root of an n-gram, and the least lead.
 PER_LANGUAGE, SLOTS, SHARPNESS, LEAD = 2000, 1 << 14, 0.6, 0.25
+#: Rows up to which the sample's ids are broadcast (hundreds of languages).
+SAMPLE_ROWS = 400_000
 #: N-grams beyond which more text makes a prediction no surer.
 SURE = 400
 BLOCK = 1 << 20
@@ -133,10 +138,14 @@ class Model:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """``docs``: (_id, _text, _lang) of the rows to learn from; those without a language are left out."""
-    ids = docs.where("_lang is not null").select("_id", "_lang")
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    some = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language).select("_id", "_lang").distinct()
-    rows = docs.join(some, ["_id", "_lang"], "left_semi").select("_lang", "_text")
+    ids = docs.where("_lang is not null").select("_id", "_lang", F.xxhash64("_id").alias("_x"))
+    sizes = ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    # Twice as many hashes as wanted, and some more, are left to rank: a language's share of them doesn't grow with the corpus.
+    near = F.pmod("_x", F.lit(1 << 40)) * F.col("_n") < F.lit(float((2 * per_language + 200) * (1 << 40)))
+    near = ids.join(guarded(written(sizes, "language-sizes"), SAMPLE_ROWS), "_lang").where(near)
+    order = Window.partitionBy("_lang").orderBy(F.pmod("_x", F.lit(1 << 40)), "_id")
+    some = near.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language).select("_id", "_lang").distinct()
+    rows = docs.join(guarded(written(some, "language-sample"), SAMPLE_ROWS), ["_id", "_lang"], "left_semi").select("_lang", "_text")
     counts: dict[str, np.ndarray] = {}
     for r in train_counts(rows):
         counts[r.lang] = counts.get(r.lang, 0) + np.frombuffer(bytes(r.counts))

@@ -2,14 +2,17 @@
 
 Labelled page outcomes are counted by host, registered domain and suffix. Each level's rate is shrunk towards the
 level above through a beta prior whose strength is fitted by moments; a host is blocked if the lower posterior bound
-of its rate of bad pages is above a limit. Explicit rules come before the verdict of the method.
+of its rate of bad pages is above LIFT times the rate of all pages with an outcome. Explicit rules come before the verdict of
+the method. Levels are those of the name alone, without port and user; a numeric address is a domain and a suffix of its own.
 
-Everything is DataFrame expressions. The page table is never shuffled with its contents: only (host, counts) are, after
-partial aggregation, so that a host with a third of all pages is one row for each task.
+Everything is DataFrame expressions. The page table is never shuffled with its contents: rates come from (host, counts) after
+partial aggregation, so that a host with a third of all pages is one row for each task. Hosts then meet the pages' ids,
+hosts and paths; hosts that are too many to broadcast are shuffled, and adaptive execution splits the pages of a hot one.
 
 Defined results: a null url or one without ``://`` has an empty host and path, fits no rule and is judged by the rate of
 all pages; outcomes for unknown pages, null outcomes and repeated outcomes of a page count as their share of bad ones;
-without any outcome no host is blocked. Repeated pages give repeated rows.
+without any outcome, or without a bad one, no host is blocked. Repeated pages give repeated rows, each with its outcome; an
+empty table gives an empty one; urls of any length are read in whole; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,10 +30,12 @@ RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-#: Suffixes of two labels under which names are registered.
-DOUBLE_SUFFIXES = ["co.uk", "ac.uk", "org.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "com.br", "co.nz", "co.in"]
-#: A host is blocked if ``mean - Z * sd`` of its posterior rate of bad pages is above MAX_BAD.
-Z, MAX_BAD = 1.64, 0.5
+#: Second-level labels under which names of a two-letter country domain are registered (co.uk, com.au and the like).
+REGISTRIES = ["ac", "co", "com", "edu", "gob", "gouv", "gov", "ltd", "mil", "ne", "net", "nom", "or", "org", "plc", "sch"]
+DOUBLE_SUFFIX = f"^({'|'.join(REGISTRIES)})[.][a-z][a-z]$"
+ADDRESS = "^([0-9]+[.][0-9]+[.][0-9]+[.][0-9]+|\\[.*)$"
+#: A host is blocked if ``mean - Z * sd`` of its posterior rate of bad pages is above LIFT times the rate of all pages.
+Z, LIFT = 1.64, 1.0
 #: Bounds and default of a prior's strength, in pseudo-pages.
 WEAKEST, STRONGEST, DEFAULT = 2.0, 200.0, 20.0
 
@@ -56,9 +61,11 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
 
 def levels(hosts: DataFrame) -> DataFrame:
     """Adds suffix and registered domain to a table with ``_host``."""
-    two = F.substring_index("_host", ".", -2)
-    double = two.isin(DOUBLE_SUFFIXES)
-    return hosts.withColumn("_suffix", F.when(double, two).otherwise(F.substring_index("_host", ".", -1))).withColumn("_domain", F.when(double, F.substring_index("_host", ".", -3)).otherwise(two))
+    name = F.regexp_replace(F.regexp_replace("_host", "^.*@", ""), ":[0-9]*$", "")
+    two, address = F.substring_index(name, ".", -2), name.rlike(ADDRESS)
+    double = two.rlike(DOUBLE_SUFFIX)
+    suffix = F.when(address, name).when(double, two).otherwise(F.substring_index(name, ".", -1))
+    return hosts.withColumn("_suffix", suffix).withColumn("_domain", F.when(address, name).when(double, F.substring_index(name, ".", -3)).otherwise(two))
 
 
 def strength(units: DataFrame, name: str) -> DataFrame:
@@ -79,7 +86,7 @@ def shrunk(units: DataFrame, parent: Column, m: str, name: str) -> DataFrame:
     return units.withColumn(name, (F.col(m) * parent + F.col("_x")) / (F.col(m) + F.col("_n")))
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, max_bad: float = MAX_BAD) -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, lift: float = LIFT) -> DataFrame:
     """``pages``: (_id, _host); ``outcomes``: (_id, _bad from 0 to 1). Returns a row for each host: ``_host, _mean, _low, _blocked``."""
     one = outcomes.where("_id is not null and _bad is not null").groupBy("_id").agg(F.avg("_bad").alias("_bad"))
     # Only pages that have an outcome meet it; a host's number of pages doesn't matter to its rate.
@@ -92,13 +99,14 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, max_bad
     # The strengths and the overall rate are single rows by construction.
     s = shrunk(suffixes.join(total).join(strength(suffixes, "_m0")), F.col("_p0"), "_m0", "_ps").select("_suffix", "_ps")
     d = shrunk(domains.join(s, "_suffix").join(strength(domains, "_m1")), F.col("_ps"), "_m1", "_pd").select("_suffix", "_domain", "_pd")
-    h = hosts.join(d, ["_suffix", "_domain"]).join(strength(hosts, "_m2"))
+    h = hosts.join(d, ["_suffix", "_domain"]).join(strength(hosts, "_m2")).join(total)
     a, b = F.col("_m2") * F.col("_pd") + F.col("_x"), F.col("_m2") * (1 - F.col("_pd")) + F.col("_n") - F.col("_x")
     mean, var = a / (a + b), a * b / ((a + b) * (a + b) * (a + b + 1))
-    return h.select("_host", mean.alias("_mean"), (mean - z * F.sqrt(F.greatest(var, F.lit(0.0)))).alias("_low")).withColumn("_blocked", F.col("_low") > max_bad)
+    low = mean - z * F.sqrt(F.greatest(var, F.lit(0.0)))
+    return h.select("_host", mean.alias("_mean"), low.alias("_low"), ((F.col("_p0") > 0) & (low > lift * F.col("_p0"))).alias("_blocked"))
 
 
-def filter_urls(pages: DataFrame, outcomes: DataFrame, page_id: str = "page_id", url: str = "url", rules: list[tuple[str, str, str]] | None = None, z: float = Z, max_bad: float = MAX_BAD) -> DataFrame:
+def filter_urls(pages: DataFrame, outcomes: DataFrame, page_id: str = "page_id", url: str = "url", rules: list[tuple[str, str, str]] | None = None, z: float = Z, lift: float = LIFT) -> DataFrame:
     """A row for each page: ``page_id, host, path, rule, verdict, bad_rate, bad_rate_low``. See the module for the method.
 
     ``outcomes``: (_id, _bad), any number of rows for a page.
@@ -106,7 +114,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, page_id: str = "page_id",
     cut = pages.select(F.col(page_id).alias("_id"), F.col(url).alias("_url"))
     host, path = split_url(F.col("_url"))
     cut = cut.select("_id", host.alias("_host"), path.alias("_path"))
-    said = host_reputation(cut.select("_id", "_host"), outcomes, z, max_bad)
+    said = host_reputation(cut.select("_id", "_host"), outcomes, z, lift)
     rule, verdict = rule_of(F.col("_host"), F.col("_path"), RULES if rules is None else rules)
     method = F.when(F.col("_blocked"), F.lit("block")).otherwise(F.lit("allow"))
     return cut.join(said, "_host", "left").select(
@@ -136,9 +144,11 @@ one AS (
 judged AS (SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0.0) AS x FROM p LEFT JOIN one ON doc_id = page_id GROUP BY host),
 hosts AS (
   SELECT host, n, x,
-    CASE WHEN two IN ({double}) THEN two ELSE parts[-1] END AS suffix,
-    CASE WHEN two IN ({double}) THEN array_to_string(parts[-3:], '.') ELSE two END AS domain
-  FROM (SELECT *, string_split(host, '.') AS parts, array_to_string(string_split(host, '.')[-2:], '.') AS two FROM judged)),
+    CASE WHEN address THEN name WHEN two_parts THEN two ELSE parts[-1] END AS suffix,
+    CASE WHEN address THEN name WHEN two_parts THEN array_to_string(parts[-3:], '.') ELSE two END AS domain
+  FROM (SELECT *, regexp_matches(name, '{address}') AS address, regexp_matches(two, '{double}') AS two_parts
+    FROM (SELECT *, string_split(name, '.') AS parts, array_to_string(string_split(name, '.')[-2:], '.') AS two
+      FROM (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM judged)))),
 domains AS (SELECT suffix, domain, sum(n) AS n, sum(x) AS x FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(x) AS x FROM domains GROUP BY ALL),
 total AS (SELECT coalesce(CASE WHEN sum(n) > 0 THEN sum(x) / sum(n) END, 0.0) AS p0 FROM suffixes),
@@ -155,10 +165,10 @@ m AS (
 s AS (SELECT suffix, (m * p0 + x) / (m + n) AS ps FROM suffixes, total, m WHERE level = 0),
 d AS (SELECT suffix, domain, (m * ps + x) / (m + n) AS pd FROM domains JOIN s USING (suffix), m WHERE level = 1),
 h AS (SELECT host, m * pd + x AS a, m * (1 - pd) + n - x AS b FROM hosts JOIN d USING (suffix, domain), m WHERE level = 2),
-said AS (SELECT host, a / (a + b) AS mean, a / (a + b) - {z} * sqrt(greatest(a * b / ((a + b) * (a + b) * (a + b + 1)), 0.0)) AS low FROM h)
+said AS (SELECT host, p0, a / (a + b) AS mean, a / (a + b) - {z} * sqrt(greatest(a * b / ((a + b) * (a + b) * (a + b + 1)), 0.0)) AS low FROM h, total)
 SELECT page_id, host, path,
   CASE {rules} END AS rule,
-  CASE {verdicts} WHEN low > {max_bad} THEN 'block' ELSE 'allow' END AS verdict,
+  CASE {verdicts} WHEN p0 > 0 AND low > {lift} * p0 THEN 'block' ELSE 'allow' END AS verdict,
   round(mean, 6) AS bad_rate, round(low, 6) AS bad_rate_low
 FROM p LEFT JOIN said USING (host)
 """.strip()
@@ -168,6 +178,6 @@ def sql() -> str:
     by_length = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
     fits = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN " for h, p, _ in by_length]
     return SQL.format(
-        double=", ".join(f"'{x}'" for x in DOUBLE_SUFFIXES), weakest=WEAKEST, strongest=STRONGEST, default=DEFAULT, z=Z, max_bad=MAX_BAD,
+        double=DOUBLE_SUFFIX, address=ADDRESS, weakest=WEAKEST, strongest=STRONGEST, default=DEFAULT, z=Z, lift=LIFT,
         rules=" ".join(f"{f}'{h}{p}'" for f, (h, p, _) in zip(fits, by_length)), verdicts=" ".join(f"{f}'{v}'" for f, (_, _, v) in zip(fits, by_length)),
     )
