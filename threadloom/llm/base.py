@@ -89,6 +89,14 @@ def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.where(F.expr(f"(_bits & shiftleft(1L, cast({key} & 63 as int))) <> 0")).drop("_word", "_bits")
 
 
+def split_by(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` as ``narrowed`` would keep them, and all others, which need no join with ``keys``."""
+    bits = F.broadcast(sieve(keys, key))
+    df = df.withColumn("_word", F.expr(f"shiftrightunsigned({key}, {64 - WORD_BITS})")).join(bits, "_word", "left")
+    maybe = F.expr(f"coalesce(_bits & shiftleft(1L, cast({key} & 63 as int)), 0L) <> 0")
+    return df.where(maybe).drop("_word", "_bits"), df.where(~maybe).drop("_word", "_bits")
+
+
 def guarded(df: DataFrame, rows: int) -> DataFrame:
     """``df``, a written table of narrow rows, to be broadcast if it has at most ``rows`` rows; else left to a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -11,7 +11,7 @@ these keys (``base.sieve``, bounded) keeps all other probes from a second shuffl
 
 The lines of a key are a list. Each is first held against the list's earliest line, its head, which settles groups of near
 copies at a cost in proportion to their size. What is left open isn't compared pair by pair: a line's place of first
-difference from the head splits the list (``deviations``), and only lines with the same place, or with equal repairs of such
+difference from the list's most typical line splits the list (``typical``, ``deviations``), and only lines with the same place, or with equal repairs of such
 differences, go on. A compiled thresholded distance drops most candidates, and a bit-parallel automaton on a band of
 2 * MAX_EDITS + 1 diagonals verifies the rest.
 
@@ -28,11 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import narrowed, table, written
+from .base import narrowed, split_by, table, written
 
 MIN_CHARS, NEAR_CHARS, MAX_EDITS = 20, 60, 2
 #: Powers of two, from a length that no string has, by which a common prefix is measured.
 STEPS = [1 << k for k in range(30, -1, -1)]
+#: Beginnings of a line by which the most typical line of a list is found.
+CUTS = 16
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -118,7 +120,8 @@ def common_prefix(a: Column, b: Column) -> Column:
     """Length of the longest common prefix of two strings."""
     room = F.least(F.length(a), F.length(b))
     same = lambda lo, n: (lo + n <= room) & (a.substr(lo + 1, n) == b.substr(lo + 1, n))
-    return F.aggregate(F.array(*[F.lit(n) for n in STEPS]), F.lit(0), lambda lo, n: F.when(same(lo, n), lo + n).otherwise(lo))
+    steps = F.slice(F.array(*[F.lit(n) for n in STEPS]), F.lit(len(STEPS)) - F.floor(F.log2(F.greatest(room, F.lit(1)))).cast("int"), F.lit(len(STEPS)))
+    return F.aggregate(steps, F.lit(0), lambda lo, n: F.when(same(lo, n), lo + n).otherwise(lo))
 
 
 def repairs(a: Column, head: Column, at: Column) -> Column:
@@ -144,6 +147,15 @@ def deviations(line: Column, head: Column) -> Column:
     return F.transform(F.concat(own, once, twice), lambda x: F.struct(x["u"].alias("u"), F.xxhash64(x["s"]).alias("s"), x["p"].alias("p")))
 
 
+def typical(rows: DataFrame) -> DataFrame:
+    """``rows``: (_list, _h, _line). A row (_list, _head) for each list: the line whose beginnings, up to CUTS places, most lines of
+    the list share. Others then differ from it at places of their own, not all at one of its."""
+    cuts = rows.select("_list", "_h", F.posexplode_outer(F.array(*[F.xxhash64(F.col("_line").substr(F.lit(1), F.floor(F.length("_line") * k / CUTS).cast("int"))) for k in range(1, CUTS)])).alias("_k", "_cut"))
+    shared = cuts.groupBy("_list", "_k", "_cut").agg(F.count(F.lit(1)).alias("_c"))
+    score = cuts.join(shared, ["_list", "_k", "_cut"]).groupBy("_list", "_h").agg(F.sum("_c").alias("_c"))
+    return score.groupBy("_list").agg(F.max(F.struct("_c", "_h")).alias("_top")).select("_list", F.col("_top._h").alias("_head"))
+
+
 def star(lists: DataFrame, edits: int) -> DataFrame:
     """``lists``: (_list, _h, _len, _index, _first). Pairs (_x, _y) of each list's earliest line and its others."""
     heads = lists.groupBy("_list").agg(F.min(F.struct("_first", "_h", "_index", "_len")).alias("_head"))
@@ -181,16 +193,18 @@ def near_lines(docs: DataFrame, first: DataFrame, edits: int = MAX_EDITS, least:
 
     first_star = written(star(v, edits), "near-star")
     done = settled(first_star)
-    # Lists of three lines and more with a line that is neither head nor settled.
+    # Lists of three lines and more with a line that is neither head nor settled. All of their lines but the head go on.
     size = v.groupBy("_list").agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct("_first", "_h")).alias("_top")).where("_c > 2")
-    rest = v.join(size.select("_list", F.col("_top._h").alias("_head")), "_list").where("_h <> _head")
+    rest = v.join(size.select("_list", F.col("_top._h").alias("_top")), "_list").where("_h <> _top").drop("_top")
     rest = rest.join(done.withColumn("_done", F.lit(True)), "_h", "left").withColumn("_open", F.col("_done").isNull())
     rest = written(rest.drop("_done"), "near-rest")
     rest = rest.join(rest.where("_open").select("_list").distinct(), "_list", "left_semi")
-    rest = rest.join(texts.select("_h", "_line"), "_h").join(texts.select(F.col("_h").alias("_head"), F.col("_line").alias("_top")), "_head")
+    rest = written(rest.join(texts.select("_h", "_line"), "_h"), "near-rest")
+    heads = typical(rest).join(texts.select(F.col("_h").alias("_head"), F.col("_line").alias("_top")), "_head")
+    rest = rest.join(heads, "_list")
     rest = rest.select("_list", "_h", "_len", "_index", "_first", "_open", F.explode_outer(deviations(F.col("_line"), F.col("_top"))).alias("_d"))
     rest = written(rest.select("_list", "_h", "_len", "_index", "_first", "_open", F.col("_d.u").alias("_u"), F.col("_d.s").alias("_s"), F.col("_d.p").alias("_p")), "near-deviations")
-    # Lines that leave the head at the same place are lists again.
+    # Lines that leave the typical line at the same place are lists again.
     places = rest.where("_p >= 0").withColumn("_list", F.xxhash64("_list", "_p"))
     again = written(star(places, edits).join(first_star, ["_x", "_y"], "left_anti").join(done, F.col("_y") == F.col("_h"), "left_anti"), "near-star")
     done = written(done.unionByName(settled(again)).distinct(), "near-settled")
@@ -213,7 +227,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, near_chars: int =
         hit = hit.unionByName(narrowed(first, near, "_h").join(near, ["_h", "_h2"]).select("_h", "_h2", "_first", F.lit(True).alias("_near")))
     hit = written(hit, "repeated-lines")
     gone = narrowed(rows, hit, "_h").join(hit, ["_h", "_h2"]).where(F.col("_near") | (place != F.col("_first")))
-    return gone.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set("_no").alias("_gone"))
+    return written(gone.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set("_no").alias("_gone")), "removed-lines")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS, edits: int = MAX_EDITS) -> DataFrame:
@@ -222,8 +236,11 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
     own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     gone = removed_lines(docs.select(F.col(doc_id).alias("_id"), own.alias("_th"), F.col(text).alias("_text")), min_chars, near_chars, edits)
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_id"), own.alias("_th"))
+    d = d.withColumn("_doc", F.xxhash64("_id", "_th"))
+    touched, whole = split_by(d, gone.select(F.xxhash64("_rid", "_rth").alias("_doc")), "_doc")
     # One kind of join at any size: both sides grow with the corpus.
-    out = d.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").withColumn("_lines", F.split(F.col(f"_row.`{text}`"), "\n"))
+    out = touched.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").select("_row", "_gone")
+    out = out.unionByName(whole.select("_row", F.lit(None).cast("array<int>").alias("_gone"))).withColumn("_lines", F.split(F.col(f"_row.`{text}`"), "\n"))
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")))
     old = F.col(f"_row.`{text}`")
     kept = F.when(F.col("_gone").isNull() | F.col("_lines").isNull(), old).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
