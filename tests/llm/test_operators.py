@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 pytest.importorskip("tokenizers")
-from threadloom.llm import decontamination, language_id, licenses, line_dedup, minhash, packing, quality, repeats, shingles, token_counts, url_filter  # noqa: E402
+from threadloom.llm import decontamination, language_id, licenses, line_dedup, minhash, packing, quality, repeats, run_index, shingles, token_counts, url_filter  # noqa: E402
 
 DOCS = "doc_id long, text string, _id string, n_words string, kept string"
 
@@ -213,6 +213,37 @@ def test_repeats(spark, group):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_of_shared_repeated_and_long_rows(spark):
+    p = prose(40, 61)
+    d = spark.createDataFrame([(2, p), (2, None), (2, p + prose(20, 62)), (3, p), (3, p), (None, p[:150])], "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in repeats.remove_repeats(d, with_text=True).collect():
+        got[r.doc_id].append((r.n_bytes, r.n_removed, r.kept.decode()))
+    assert got[None] == [(150, 0, p[:150])] and got[3] == [(len(p), len(p), "")] * 2
+    assert (0, 0, "") in got[2] and sum(t.endswith(prose(20, 62)) for _, _, t in got[2]) == 1
+    long = [prose(200_000, 63)]  # about 1 MB
+    long += [prose(20, 64) + long[0][300_000:300_400] + prose(20, 65), long[0][999_000:]]
+    assert len(long[0]) > 1_000_000
+    out = rows(repeats.remove_repeats(frame(spark, long)))
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in out.items()} == brute_repeats(dict(enumerate(long, 1)), 100)
+
+
+def test_run_index_matching_statistics():
+    r = random.Random(1)
+    for alphabet in [b"ab"] * 40 + [bytes(range(256))] * 10:
+        base = bytes(r.choice(alphabet) for _ in range(60))
+
+        def some():
+            at = r.randrange(60)
+            return b"".join([bytes(r.choice(alphabet) for _ in range(r.randint(1, 6))), base[at : at + r.randint(0, 50)], bytes(r.choice(alphabet) for _ in range(r.randint(0, 5)))])
+
+        have, asked = [some() for _ in range(r.randint(1, 10))], [some() for _ in range(r.randint(1, 10))]
+        index = run_index.RunIndex(have)
+        assert len(index.start) <= len(index.text)
+        for p, got in zip(asked, index.matching(asked)):
+            assert got.tolist() == [max(n for n in range(len(p) - i + 1) if any(p[i : i + n] in s for s in have)) for i in range(len(p))]
+
+
 # --- lines -------------------------------------------------------------------------------------------------------------------
 
 

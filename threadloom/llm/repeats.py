@@ -3,27 +3,34 @@
 A byte goes if it lies in a string of SPAN bytes that also starts earlier: in a document of smaller id, or further up in its
 own. Strings are judged on the input, overlaps count, and matches never cross documents.
 
-The windows of SPAN bytes are dealt by content: a window belongs to the least hash of its GRAM-byte strings (its anchor),
-and consecutive windows with the same anchor are one run, some 40 windows. Equal windows have equal anchors, so
+The corpus is dealt into shards by content, so that strings that are equal meet in one: a window of SPAN bytes belongs to the
+least hash of its GRAM-byte strings (its anchor), and consecutive windows with the same anchor are one run, some 27 windows.
 
-1. runs whose anchor stands nowhere else are dropped, after an aggregation of narrow rows;
-2. of runs with equal bytes all but the first go in whole;
-3. the first ones of runs that share an anchor but differ are compared window by window, in groups by anchor. A group with
-   more than GROUP runs is dealt anew by windows, so that none meets in one task in whole.
+1. Runs whose anchor stands nowhere else are dropped, after an aggregation of narrow rows.
+2. Of runs with equal bytes all but the first go in whole, before anything is shuffled by anchor.
+3. The runs left of an anchor, each other than the rest, are a group; groups make shards of bounded size. In a shard a
+   run-length index (``run_index``: run-compressed Burrows-Wheeler transform, sampled run ends) is built of earlier runs,
+   matching statistics of later ones are streamed against it, and windows that begin a match of SPAN bytes go
+   (``repeated_windows``). A group with more than GROUP runs would not be bounded; its windows are dealt anew one by one.
 
-Only narrow rows are shuffled for 1 and 2; texts join once for 3 and once for the removal. All joins are shuffled ones at any
-size, as both sides grow with the corpus.
+The index answers for the text that it was built on. Built on shards of documents, each would have to be streamed by all later
+documents; built on shards by content, each run is streamed by its own shard alone, and work grows with the corpus.
 
-Hashes are polynomials in 64 bits; windows and runs are compared by two of them, the anchor's and their own.
+Only narrow rows are shuffled for 1 and 2; texts join once for 3 and once for the removal, those with shared runs alone
+(``base.narrowed``). Joins are of one kind at any size, as both sides grow with the corpus.
 
-Defined results: a null or empty text has no bytes; texts under SPAN bytes are never cut; rows that share a doc_id are one
-document (repeated rows give repeated results and don't remove each other); a null doc_id comes first; other columns are
-not looked at.
+Hashes are polynomials in 64 bits; runs are compared by two of them, the anchor's and their own, windows by the index.
+
+Defined results: a null or empty text has no bytes; texts under SPAN bytes are never cut; repeated rows are one document (they
+give repeated results and don't remove each other); rows that share a doc_id but not the text are documents of their own,
+ordered by a hash of the text; a null doc_id comes first; texts may be of any length; an empty table gives an empty one;
+other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import importable, table, written
+from .base import guarded, importable, narrowed, table, written
+from .run_index import RunIndex
 from .shingles import BASE, INVERSE, mix, powers
 
-SPAN, GRAM, GROUP = 100, 24, 20_000
+SPAN, GRAM, GROUP = 100, 48, 20_000
 BLOCK = 1 << 20
-TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Equal runs beyond which their places meet the first one by a broadcast. There are at most as many such runs as shared ones by HOT.
+HOT, HOT_ROWS = 5_000, 400_000
 
 
 def prefix_sums(x: np.ndarray) -> np.ndarray:
@@ -132,46 +141,60 @@ def window_hashes(cuts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray]
     return ranges(prefix_sums(np.frombuffer(b"".join(cuts), np.uint8)), at, at + span), n
 
 
+def repeated_windows(rows: list[tuple[int, bytes]], span: int) -> list[tuple[int, int, int]]:
+    """``rows``: (anchor, bytes), groups of one anchor together and in order. (row, lo, hi): windows that an earlier row of the group has.
+
+    Groups are halved again and again, all at once: each time an index of the first halves is streamed by the second ones.
+    Windows found so are left out of all that follows, so what stands in a later pair of halves can't be taken for earlier.
+    """
+    place, sizes = [], Counter(a for a, _ in rows)
+    for k, (a, _) in enumerate(rows):
+        place.append(place[-1] + 1 if k and rows[k - 1][0] == a else 0)
+    pieces = [(k, 0, len(c) - span + 1) for k, (a, c) in enumerate(rows) if sizes[a] > 1]
+    found = []
+    for level in range(max(sizes.values(), default=1).bit_length() - 1, -1, -1):
+        pairs: dict[tuple, int] = defaultdict(int)
+        for k, _, _ in pieces:
+            pairs[rows[k][0], place[k] >> (level + 1)] |= 1 << ((place[k] >> level) & 1)
+        early, late, rest = [], [], []
+        for x in pieces:
+            k = x[0]
+            both = pairs[rows[k][0], place[k] >> (level + 1)] == 3
+            (rest if not both else late if (place[k] >> level) & 1 else early).append(x)
+        if not late:
+            continue
+        cut = lambda x: rows[x[0]][1][x[1] : x[2] + span - 1]
+        pieces = rest + early
+        for (k, lo, hi), n in zip(late, RunIndex([cut(x) for x in early]).matching([cut(x) for x in late])):
+            gone = np.zeros(hi - lo + 2, np.int8)
+            gone[1:-1] = n[: hi - lo] >= span
+            edges = np.flatnonzero(np.diff(gone)) + lo
+            found += [(k, int(i), int(j) - 1) for i, j in zip(edges[::2], edges[1::2])]
+            stay = [lo, *edges.tolist(), hi]
+            pieces += [(k, i, j) for i, j in zip(stay[::2], stay[1::2]) if j > i]
+    return found
+
+
 def compare_batches(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
     """Rows (_id, _a, _at, _cut) sorted by (_a, _id, _at): runs (_id, _lo, _hi) of windows that an earlier row of their anchor has."""
-    held: list[tuple] = []
-
-    def out(rows: list[tuple]) -> pa.RecordBatch | None:
-        h, n = window_hashes([r[3] for r in rows], span)
-        h = mix(h ^ np.repeat(np.array([r[1] for r in rows], np.int64).view(np.uint64), n))
-        order = np.argsort(h, kind="stable")
-        gone = np.zeros(len(h) + 1, bool)
-        gone[order[1:]] = h[order[1:]] == h[order[:-1]]
-        edge = np.cumsum(n)
-        new = gone[:-1].copy()
-        new[1:] &= ~gone[:-2]
-        new[edge[:-1]] = gone[edge[:-1]]
-        lo = np.flatnonzero(new)
-        if not len(lo):
-            return None
-        stop = np.flatnonzero(~gone)
-        row = np.searchsorted(edge, lo, "right")
-        hi = np.minimum(stop[np.searchsorted(stop, lo)] - 1, edge[row] - 1)
-        base = np.array([r[2] for r in rows], np.int64)[row] - (edge - n)[row]
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(np.array([r[0] for r in rows])[row])), pa.array(base + lo), pa.array(base + hi)], ["_id", "_lo", "_hi"])
-
-    ids = None
-    size = 0
+    held, ids, size = [], None, 0  # (anchor, place, bytes), and their ids
+
+    def out() -> Iterator[pa.RecordBatch]:
+        got = repeated_windows([(a, c) for a, _, c in held], span)
+        if got:
+            at = [held[k][1] for k, _, _ in got]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array([k for k, _, _ in got])), pa.array([p + i for p, (_, i, _) in zip(at, got)]), pa.array([p + j for p, (_, _, j) in zip(at, got)])], ["_id", "_lo", "_hi"])
+
     for b in batches:
-        got = list(zip(range(b.num_rows), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()))
-        at = 0 if ids is None else len(ids)
         ids = b.column(0) if ids is None else pa.concat_arrays([ids, b.column(0)])
-        for k, a, p, cut in got:
-            if size > 4 * BLOCK and held and held[-1][1] != a:
-                if (x := out(held)) is not None:
-                    yield x
-                held, size = [], 0
-            held.append((at + k, a, p, cut))
+        for a, p, cut in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            if size > BLOCK and held[-1][0] != a:
+                yield from out()
+                ids, held, size = ids.slice(len(held)), [], 0
+            held.append((a, p, cut))
             size += len(cut)
-        ids = ids.slice(held[0][0]) if held else None
-        held = [(i - held[0][0], *r) for i, *r in held] if held else []
-    if held and (x := out(held)) is not None:
-        yield x
+    if held:
+        yield from out()
 
 
 def explode_batches(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
@@ -210,20 +233,23 @@ def repeated_spans(d: DataFrame, span: int = SPAN, gram: int = GRAM, group: int
     name = d.schema["_id"].dataType.simpleString()
     parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = d.mapInArrow(lambda b: run_batches(b, span, gram), f"_id {name}, _a bigint, _h bigint, _at bigint, _n bigint")
-    anchors = rows.groupBy("_a").agg(F.count(F.lit(1)).alias("_c"), F.min("_h").alias("_lo"), F.max("_h").alias("_hi")).where("_c > 1")
-    anchors = anchors.select("_a", (F.col("_lo") != F.col("_hi")).alias("_differ"))
-    shared = written(rows.join(anchors, "_a"), "shared-runs")
-    first = shared.groupBy("_a", "_h", "_differ").agg(F.min(F.struct("_id", "_at")).alias("_first"), F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_c"))
+    anchors = written(rows.groupBy("_a").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_a"), "shared-anchors")
+    shared = written(narrowed(rows, anchors, "_a"), "shared-runs")
+    first = shared.groupBy("_a", "_h").agg(F.min(F.struct("_id", "_at")).alias("_first"), F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_c"))
     first = written(first, "first-runs")
-    copies = first.where("_c > 1").select("_a", "_h", "_first")
-    whole = shared.join(copies, ["_a", "_h"]).where(F.struct("_id", "_at") != F.col("_first"))
+    copies = first.where("_c > 1").select("_a", "_h", "_first", "_c")
+    # Places of runs that stand very often meet the few first ones without a shuffle, so no task gets all of one run.
+    hot = guarded(written(copies.where(F.col("_c") > HOT).drop("_c"), "hot-runs"), HOT_ROWS)
+    cold = copies.where(F.col("_c") <= HOT).drop("_c")
+    whole = shared.join(hot, ["_a", "_h"]).unionByName(narrowed(shared, cold, "_h").join(cold.hint("merge"), ["_a", "_h"]))
+    whole = whole.where(F.struct("_id", "_at") != F.col("_first"))
     whole = whole.select("_id", F.col("_at").alias("_lo"), (F.col("_at") + F.col("_n") - 1).alias("_hi"))
 
-    own = first.where("_differ").select("_a", F.col("_first._id").alias("_fid"), F.col("_first._at").alias("_at"), "_n")
-    many = own.groupBy("_a").count().where(F.col("count") > group).select("_a", F.lit(True).alias("_many"))
-    own = own.join(many, "_a", "left").select("_fid", F.struct("_a", "_at", "_n", F.coalesce("_many", F.lit(False)).alias("_many")).alias("_r"))
-    by_doc = own.groupBy("_fid").agg(F.collect_list("_r").alias("_runs"))
-    cuts = d.join(by_doc, F.col("_id").eqNullSafe(F.col("_fid"))).select("_id", "_text", "_runs")
+    differ = written(first.groupBy("_a").agg(F.count(F.lit(1)).alias("_runs")).where("_runs > 1"), "differing-anchors")
+    own = narrowed(first, differ, "_a").join(differ, "_a")
+    own = own.select(F.col("_first._id").alias("_fid"), F.struct("_a", F.col("_first._at").alias("_at"), "_n", (F.col("_runs") > group).alias("_many")).alias("_r"))
+    by_doc = written(own.groupBy("_fid").agg(F.collect_list("_r").alias("_runs")), "runs-to-compare")
+    cuts = with_texts(d, by_doc, "_fid").select("_id", "_text", "_runs")
     cuts = written(cuts.mapInArrow(lambda b: cut_batches(b, span), f"_id {name}, _a bigint, _at bigint, _many boolean, _cut binary"), "cuts")
     grouped = cuts.where("not _many").select("_id", "_a", "_at", "_cut").repartition(parts, "_a").sortWithinPartitions("_a", "_id", "_at")
     near = grouped.mapInArrow(lambda b: compare_batches(b, span), f"_id {name}, _lo bigint, _hi bigint")
@@ -233,14 +259,21 @@ def repeated_spans(d: DataFrame, span: int = SPAN, gram: int = GRAM, group: int
     return written(whole.unionByName(near).unionByName(far), "repeated-spans")
 
 
+def with_texts(d: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """``d`` joined with the rows whose ``key`` is its ``_id``; other texts aren't shuffled."""
+    some = narrowed(d.withColumn("_k", F.xxhash64("_id")), rows.select(F.xxhash64(key).alias("_k")), "_k").drop("_k")
+    return some.join(rows.hint("merge"), F.col("_id").eqNullSafe(F.col(key)))
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM, group: int = GROUP, with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row, and ``kept`` (binary: a cut may fall inside a character)
     ``with_text``."""
     importable(docs.sparkSession)
-    d = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
+    t = F.col(text).cast("string")
+    d = docs.select(F.struct(F.col(doc_id).alias("i"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("t")).alias("_id"), t.alias("_text"))
     name = d.schema["_id"].dataType.simpleString()
     spans = repeated_spans(d, span, gram, group).groupBy(F.col("_id").alias("_sid")).agg(F.collect_list(F.struct("_lo", "_hi")).alias("_where"))
-    cut = d.join(spans, F.col("_id").eqNullSafe(F.col("_sid"))).select("_id", "_text", "_where")
+    cut = with_texts(d, written(spans, "spans-by-document"), "_sid").select("_id", "_text", "_where")
     kept = ", _kept binary" if with_text else ""
     cut = cut.mapInArrow(lambda b: remove_batches(b, span, with_text), f"_rid {name}, _removed bigint, _spans bigint, _sha string{kept}")
     cut = cut.dropDuplicates(["_rid", "_sha"])
@@ -249,7 +282,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     out = base.join(cut, F.col("_id").eqNullSafe(F.col("_rid")), "left")
     zero = F.lit(0).cast("long")
     return out.select(
-        F.col("_id").alias("doc_id"), F.col("_bytes").alias("n_bytes"), F.coalesce("_removed", zero).alias("n_removed"), F.coalesce("_spans", zero).alias("n_spans"),
+        F.col("_id.i").alias("doc_id"), F.col("_bytes").alias("n_bytes"), F.coalesce("_removed", zero).alias("n_removed"), F.coalesce("_spans", zero).alias("n_spans"),
         F.coalesce("_sha", "_all").alias("kept_sha256"), *([F.coalesce("_kept", "_t").alias("kept")] if with_text else []),
     )
 
