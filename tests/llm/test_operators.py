@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow.compute as pc
 import pytest
@@ -159,15 +160,42 @@ def test_packing_round_trip(spark, ranks):
             assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
             at += r.length
         assert at == len(ids)
+    padding = 0
     for rs in sequences.values():
         at = 0
         for r in sorted(rs, key=lambda r: r.offset):
             assert r.offset == at
             at += r.length
-        assert at == 2048 or at < 2048 and at & (at - 1) == 0
+        assert at <= 2048 and len(rs) <= packing.MAX_SEGMENTS
+        padding += 0 if at & (at - 1) == 0 else 2048 - at
+    assert padding <= 8 * len(sequences)
     assert packing.pack(frame(spark, []), path).count() == 0
 
 
+def test_packing_limits_matter(spark):
+    """Each limit changes what is packed together; all hold; ids are whole."""
+    path, ranks = token_counts.tokenizer_path("byte_bpe_50k.json"), token_counts.tokenizer_path("byte_bpe_50k.tiktoken")
+    tok = token_counts.tokenizer(path)
+    texts = [f"{prose(k % 9 + 1, k)}\n{prose(k % 40, 500 + k)}" for k in range(300)] + [prose(4000, 9), "a", "a"]
+
+    def packed(**limits):
+        out = collections.defaultdict(list)
+        for r in packing.pack(frame(spark, texts).coalesce(1), path, ranks, prompts=True, **limits).collect():
+            out[r.sequence_id].append(r)
+        return out
+
+    quiet = {i: len(tok.encode(packing.first_line(t), add_special_tokens=False).ids) for i, t in enumerate(texts, 1)}
+    bears = lambda r: r.length - max(0, min(r.length, quiet[r.doc_id] - r.start))
+    free = packed(max_segments=10_000, max_loss=2048)
+    for limits in ({"max_segments": 12, "max_loss": 2048}, {"max_segments": 10_000, "max_loss": 1500}, {}):
+        got = packed(**limits)
+        most, loss = limits.get("max_segments", packing.MAX_SEGMENTS), limits.get("max_loss", packing.MAX_LOSS)
+        assert all(sum(r.length for r in rs) <= 2048 and len(rs) <= most and sum(map(bears, rs)) <= loss for rs in got.values())
+        assert sum(r.length for rs in got.values() for r in rs) == sum(r.length for rs in free.values() for r in rs)
+        if limits:
+            assert any(len(rs) > most or sum(map(bears, rs)) > loss for rs in free.values())
+
+
 def test_packing_limits():
     """All three limits hold, with and without cutting."""
     r = random.Random(5)
@@ -534,6 +562,32 @@ def test_quality(spark):
     assert quality.score_quality(frame(spark, [])).count() == 0
 
 
+def test_quality_references(spark):
+    """References learned from labelled rows: each language's own texts stay, shuffled symbols and other languages' mixtures go."""
+    r = random.Random(3)
+    words = {"x": "aa bb cc dd ee ff gg hh".split(), "y": "kkk lll mmm nnn ooo ppp qqq".split()}
+    text = lambda lang, n: " ".join(r.choice(words[lang]) if r.random() < 0.6 else prose(1, r.random()) for _ in range(n)).capitalize() + "."
+    data = [(k, text(lang, 80), lang) for k, lang in enumerate(["x", "y"] * 60)]
+    data += [(500, text("x", 90), None), (501, "K1# " * 9 + " ".join(f"{k}$%#{k}" for k in range(60)), "x"), (502, None, "y"), (None, "text", "x"), (503, text("x", 90).upper(), "x"), (504, text("y", 2000), "x")]
+    docs = spark.createDataFrame(data + data[:2], "doc_id long, text string, lang string")
+    learned = quality.references(docs.selectExpr("doc_id _id", "text _text", "lang _lang"))
+    assert [x.lang for x in learned] == ["x", "y"] and set(words["x"][:5]) <= set(learned[0].words) and set(words["y"]) <= set(learned[1].words)
+    got = collections.defaultdict(list)
+    for x in quality.score_quality(docs).collect():
+        got[x.doc_id].append(x)
+    assert all(x.kept for k in range(120) for x in got[k]) and len(got[0]) == 2
+    assert got[500][0].kept and got[504][0].kept and not got[501][0].kept and not got[503][0].kept and not got[502][0].kept
+    # The references matter: from those of other languages the same texts are farther.
+    plain = {x.doc_id: x.distance for x in quality.score_quality(docs, lang=None).collect()}
+    assert all(plain[k] > got[k][0].distance + 0.05 for k in range(20))
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    cur = con.execute(quality.sql())
+    names = [c[0] for c in cur.description]
+    key = lambda row: repr(sorted((k, None if v is None or v != v else int(v) if k == "doc_id" else v) for k, v in row.items()))
+    assert sorted(key(dict(zip(names, row))) for row in cur.fetchall()) == sorted(key(x.asDict()) for rows_ in got.values() for x in rows_)
+
+
 def test_decontamination(spark):
     words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", fold(t))
     span = prose(12, 1)

@@ -1,6 +1,7 @@
 """Packing of tokenised examples into sequences: vector bin packing by the dot-product heuristic.
 
-An example has three sizes: tokens, one segment, and loss-bearing tokens. A sequence has a capacity in each. Whole
+An example has three sizes: tokens, one segment, and loss-bearing tokens. In ``op4_packing`` the first of several lines is taken
+for an instruction, whose tokens bear no loss; all others do. A sequence has a capacity in each. Whole
 sequences are cut off an example while it has more tokens than a sequence holds; what is left goes to a pool of bounded
 size. Into the open sequence goes, each time, the piece of the pool whose sizes have the greatest dot product with the
 capacities that are left. When no piece fits, one is cut to fill the rest (if cutting is allowed), so that sequences
@@ -11,8 +12,9 @@ runs again on another executor gives the same rows. Sequence ids are the task's
 
 Ids are those of the ``tokenizers`` file. Given the same vocabulary as ranks, ``tiktoken`` finds them some four times faster.
 
-Defined results: a null text is empty and has the end id alone; repeated rows are packed each by itself; other columns are
-not looked at.
+Defined results: a null text is empty and has the end id alone; repeated rows are packed each by itself; texts of any length are
+cut as often as it takes; of pieces that fit equally well the one that waits longest goes first; an empty table gives an
+empty one; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from .base import importable, table
 from .token_counts import tokenizer, tokenizer_path
 
 #: A sequence's capacities: tokens, segments, loss-bearing tokens.
-MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 2048, 256, 2048
+MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 2048, 48, 2040
 #: Pieces that wait for a place, at most.
 POOL = 512
 END_ID = 1
@@ -170,7 +172,12 @@ class Packer:
         return rows
 
 
-def pack_batches(batches: Iterator[pa.RecordBatch], path: str, ranks: str | None, kind: pa.DataType, end_id: int | None, limits: tuple, pool: int, cut: bool) -> Iterator[pa.RecordBatch]:
+def first_line(text: str) -> str:
+    """The first of several lines, with its end; empty where there is but one."""
+    return text[: text.find("\n") + 1]
+
+
+def pack_batches(batches: Iterator[pa.RecordBatch], path: str, ranks: str | None, kind: pa.DataType, end_id: int | None, limits: tuple, pool: int, cut: bool, prompts: bool = False) -> Iterator[pa.RecordBatch]:
     """Columns: _id, _text, and perhaps _no_loss, the number of leading tokens that bear no loss."""
     encode = Encoder(path, ranks)
     packer = Packer(TaskContext.get().partitionId() << 40, *limits, pool, cut)
@@ -186,7 +193,10 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, ranks: str | None
         for k, (doc, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
             ids = encode(text or "") + end
             mask = None
-            if quiet is not None:
+            if prompts:
+                no_loss = len(encode(first_line(text or ""))) // 4
+                mask = (np.arange(len(ids) // 4) >= no_loss).astype(np.int64) if no_loss else None
+            elif quiet is not None:
                 mask = (np.arange(len(ids) // 4) >= (quiet[k] or 0)).astype(np.int64)
             if ids:
                 packer.add(doc, ids, mask)
@@ -197,10 +207,11 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, ranks: str | None
         yield out(packer.taken())
 
 
-def pack(docs: DataFrame, path: str, ranks: str | None = None, doc_id: str = "doc_id", text: str = "text", no_loss: str | None = None, end_id: int | None = END_ID, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS, pool: int = POOL, cut: bool = True) -> DataFrame:
+def pack(docs: DataFrame, path: str, ranks: str | None = None, doc_id: str = "doc_id", text: str = "text", no_loss: str | None = None, prompts: bool = False, end_id: int | None = END_ID, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS, pool: int = POOL, cut: bool = True) -> DataFrame:
     """A row for each piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
-    ``no_loss`` names a column with the number of leading tokens (an instruction's prompt) that bear no loss. With
+    ``no_loss`` names a column with the number of leading tokens (an instruction's prompt) that bear no loss; with ``prompts`` the
+    first of several lines is such a prompt. With
     ``cut`` false an example is never split, and one that fits no sequence is an error.
     """
     importable(docs.sparkSession)
@@ -210,10 +221,10 @@ def pack(docs: DataFrame, path: str, ranks: str | None = None, doc_id: str = "do
 
     arrow, limits = to_arrow_type(kind), (max_tokens, max_segments, max_loss)
     return d.mapInArrow(
-        lambda b: pack_batches(b, path, ranks, arrow, end_id, limits, pool, cut),
+        lambda b: pack_batches(b, path, ranks, arrow, end_id, limits, pool, cut, prompts),
         f"doc_id {kind.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
     )
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"))
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), prompts=True)
