@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.functions import candidates, media, pages, records, urls
-from threadloom.operators import audit, decisions, incremental, manifests, ranking, recovery
+from threadloom.operators import archive, audit, decisions, incremental, manifests, ranking, recovery
 from threadloom.sources import readers, sinks
 
 
@@ -189,7 +189,9 @@ def test_prune(spark, tmp_path):
     os.symlink(tmp_path / "00" / "6", tmp_path / "00" / "7")
     rows = [(2, "00/2", None), (7, "00/7", None), (5, "00/5", None)]
     got = sinks.prune(spark.createDataFrame(rows, "post_id long, path string, problem string").coalesce(1), str(tmp_path), str(tmp_path / "j"), os.rmdir)
-    assert [g["status"] for g in got] == ["removed", "failed", "kept"] and (tmp_path / "00" / "5").exists()
+    assert got == {"removed": 1, "failed": 1, "kept": 1} and (tmp_path / "00" / "5").exists()
+    assert [json.loads(x)["status"] for x in (tmp_path / "j.results.jsonl").read_text().splitlines()] == ["removed", "failed", "kept"]
+    assert spark.read.json(str(tmp_path / "j.plan")).count() == 3
 
 
 def test_baseline_rules(spark):
@@ -198,6 +200,69 @@ def test_baseline_rules(spark):
     assert {r.metric: r.status for r in got.collect()} == {"e": "FAIL", "s": "FAIL", "p": "WARN", "i": "FAIL"}
 
 
+def test_bytes_that_are_no_utf8(spark, tmp_path):
+    (tmp_path / "a.html").write_bytes(b"x\xff\xfey\xc3")
+    (tmp_path / "b.html").write_bytes("good \ufffd é".encode())
+    assert sorted(r.html for r in readers.pages(spark, str(tmp_path)).collect()) == ["good \ufffd é", "xy"]
+
+
+def test_lines_of_many_splits(spark, tmp_path):
+    """Numbers start at 1 and grow along each file, whatever its splits; the header is the first line of the file."""
+    (tmp_path / "a.tsv").write_text("hash\tn\n" + "".join(f"h{k}\t{k}\n" for k in range(4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = readers.lines(spark, str(tmp_path / "a.tsv"))
+        assert rows.rdd.getNumPartitions() > 1
+        got = [r.line for r in rows.orderBy("line_no").collect()]
+        assert got == (tmp_path / "a.tsv").read_text().splitlines() and rows.agg({"line_no": "min"}).first()[0] == 1
+        good, bad = readers.tsv(spark, str(tmp_path / "a.tsv"))
+        assert good.count() == 4000 and bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_zip_members(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        for k in range(600):
+            z.writestr(f"d{k % 2}/{k // 2}.png", bytes([k % 251]))
+    (tmp_path / "t.zip").write_bytes(b"no zip")
+    members = readers.zip_members(spark, str(tmp_path / "*.zip"))
+    got = members.collect()
+    assert len(got) == 601 and [r.shard for r in got if r.error] == ["t.zip"]
+    rows = spark.createDataFrame([("a", "s.zip", "7.png"), ("b", "s.zip", "x.png"), ("c", "t.zip", "1.png"), ("d", "u.zip", "1.png")], "hash string, shard string, basename string")
+    out = {r.hash: (r.status, r.content) for r in recovery.shard_members(rows, readers.zip_members(spark, str(tmp_path / "*.zip"), rows)).collect()}
+    assert out["a"] == ("ok", bytes([15])) and [out[k][0] for k in "bcd"] == ["missing_member", "error", "missing_zip"]
+
+
+def test_published_versions(spark, tmp_path):
+    root = f"file://{tmp_path}/table"
+    assert sinks.current(spark, root) is None
+    for n in (1, 2):
+        sinks.publish(spark.range(n), root)
+        assert sinks.current(spark, root).count() == n
+    sinks.append_results(spark.createDataFrame([("b", "ok")], "hash string, status string"), root)
+    final = sinks.compact_results(spark, spark.createDataFrame([("b", "ok"), ("a", "fail")], "hash string, status string"), root)
+    assert [r.hash for r in final.collect()] == ["a", "b"]
+    assert sinks.summary_text(final, "status") == "         1  fail\n         1  ok"
+
+
+def test_run_rules(spark):
+    assert incremental.argument_problem(True, True, "2026-07") is None and incremental.argument_problem(False, False, None) is None
+    assert all(incremental.argument_problem(*a) for a in ((False, True, None), (True, False, None), (True, False, "a b")))
+    assert audit.new_artifact(["a"], ["a", "b"]) == "b"
+    with pytest.raises(ValueError):
+        audit.new_artifact(["a"], ["a"])
+    kept = incremental.reset({"tags": spark.range(3), "done": spark.range(2)}, ("tags",))
+    assert kept["tags"].count() == 0 and kept["done"].count() == 2
+    none = archive.top_users(spark.createDataFrame([], "user_id long, name string, score long"), 3).collect()
+    assert [r.name for r in none] == ["no users"]
+    stored = spark.createDataFrame([(1, "", None, None), (2, "t", "o", 3)], "post_id long, title string, owner string, answers long")
+    staged = spark.createDataFrame([(1, "from page", "p", 9), (3, "x", "q", None)], "post_id long, title string, owner string, answers long")
+    got = incremental.details(spark.createDataFrame([(1,), (2,), (3,), (4,)], "post_id long"), stored, staged, {"title": "", "owner": "", "answers": 0}).orderBy("post_id").collect()
+    assert [tuple(r)[1:] for r in got] == [("from page", "", 0), ("t", "o", 3), ("x", "q", 0), ("", "", 0)]
+
+
 def test_readers(spark, tmp_path):
     head = "schema_version\thash\tsource_url\tsource_class\tstatus\tcontent_sha256\tderived_sha256\tmime\tbytes\ttimestamp\ttool_version\textra"
     (tmp_path / "m.tsv").write_text(head + "\n" + "\t".join(["1", "a", "u"] + [""] * 9) + "\n\nshort\trow\n")

@@ -101,11 +101,11 @@ def worth_trying(url: Column) -> Column:
 
 
 def decode_camo(path: Column) -> Column:
-    """The address that a proxy path ``/digest/hex`` stands for; null if it is none."""
+    """The address that a proxy path ``/digest/hex`` stands for; null if it is none. Bytes that are no UTF-8 become U+FFFD."""
     p = F.regexp_replace(path, "^/+", "")
     code = F.regexp_replace(F.regexp_extract(p, "^[^/]*/(.*)$", 1), "[ \\t\\n\\r\\f\\x0b]", "")
     ok = code.rlike("^(?:[0-9a-fA-F]{2})+\\z") & p.contains("/")
-    text = F.when(ok, F.decode(F.unhex(F.when(ok, code)), "UTF-8"))
+    text = F.when(ok, F.make_valid_utf8(F.unhex(F.when(ok, code)).cast("string")))
     return F.when(text.rlike("^https?://"), text)
 
 

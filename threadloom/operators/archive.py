@@ -27,3 +27,16 @@ def names_or(first: DataFrame, second: DataFrame) -> DataFrame:
     """The first table, or the second where that is empty."""
     empty = first.limit(1).agg(F.count(F.lit(1)).alias("_n")).where("_n = 0")
     return first.unionByName(second.join(F.broadcast(empty)).drop("_n"))
+
+
+def fixed_entries(spark, paths: list[str]) -> DataFrame:
+    """Entries for images that pages name by fixed paths (sprites); placeholders stand for them."""
+    each = spark.range(1).select(F.explode(F.array(*[F.lit(p) for p in paths])).alias("path"))
+    return each.select("path", F.lit("image").alias("kind"), F.lit("").alias("title"), F.lit(None).cast("string").alias("target"))
+
+
+def top_users(users: DataFrame, n: int) -> DataFrame:
+    """``users``: (user_id, name, score). The n best, or one row that says that there are none."""
+    best = users.orderBy(F.desc("score"), "user_id").limit(n).select("user_id", "name", "score")
+    empty = users.limit(1).agg(F.count(F.lit(1)).alias("_n")).where("_n = 0").select(F.lit(None).cast("bigint").alias("user_id"), F.lit("no users").alias("name"), F.lit(0).cast("bigint").alias("score"))
+    return best.select(F.col("user_id").cast("bigint").alias("user_id"), "name", F.col("score").cast("bigint").alias("score")).unionByName(empty)

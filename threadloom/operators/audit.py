@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import records
+from ..functions import media, records
+from . import ranking
 
 
 def check(df: DataFrame, name: str, n: Column, status: Column, **counts: Column) -> DataFrame:
@@ -88,3 +89,135 @@ def listing_digest(files: DataFrame) -> str:
     for r in files.select("path", "sha256").orderBy("path").toLocalIterator():
         out.update(f"{r.sha256}  {r.path}\n".encode())
     return out.hexdigest()
+
+
+def row(spark, name: str, status: str, n: int = 0) -> DataFrame:
+    """A check whose outcome is known without a table."""
+    return spark.range(1).select(F.lit(name).alias("check"), F.lit(status).alias("status"), F.lit(n).cast("long").alias("n"))
+
+
+def sampled_rows(df: DataFrame, order: list[str], sample: int | None) -> DataFrame:
+    return df if sample is None else ranking.even_sample(df, order, df.count(), sample)
+
+
+def answer_redirects(manifests: DataFrame, sample: int | None = None) -> DataFrame:
+    """``manifests``: (path, json text or null). Fails if one of the sample (all, if strict) has no list of redirects; n counts those."""
+    got = F.get_json_object("json", "$.answer_redirects")
+    bad = ~F.coalesce(got.startswith("["), F.lit(False))
+    some = sampled_rows(manifests, ["path"], sample)
+    return check(some.select(bad.alias("_bad")), "answer_redirects", F.count_if("_bad"), F.when(F.col("rows") == 0, "WARN").when(F.col("n") > 0, "FAIL").otherwise("PASS"), rows=F.count(F.lit(1)))
+
+
+def magic_sample(files: DataFrame) -> DataFrame:
+    """``files``: (name, content). Fails if a file's first bytes don't suit its extension; warns without files; n counts misfits."""
+    ext = F.lower(F.regexp_extract("name", r"(\.[^./]*)$", 1))
+    d = files.select(media.ext_matches(ext, F.substring("content", 1, 16)).alias("_ok"))
+    return check(d, "mime_sample", F.count_if(~F.col("_ok")), F.when(F.col("rows") == 0, "WARN").when(F.col("n") > 0, "FAIL").otherwise("PASS"), rows=F.count(F.lit(1)))
+
+
+def manifest_digests(manifests: DataFrame, files: DataFrame) -> DataFrame:
+    """``manifests``: (dir, json); ``files``: (dir, name, sha256). Rows (dir, name, matches) for each recorded ``x_sha256`` whose file is
+    there as ``x``, ``x.html`` or ``x.json``, in this order."""
+    fields = manifests.select("dir", F.explode_outer(F.from_json("json", "map<string,string>")).alias("_key", "_value"))
+    fields = fields.where(F.col("_key").endswith("_sha256") & (F.coalesce("_value", F.lit("")) != ""))
+    base = F.expr("substring(_key, 1, length(_key) - 7)")
+    each = fields.select("dir", "_key", "_value", F.posexplode(F.array(base, F.concat(base, F.lit(".html")), F.concat(base, F.lit(".json")))).alias("_pos", "name"))
+    best = each.join(files, ["dir", "name"]).groupBy("dir", "_key", "_value").agg(F.min(F.struct("_pos", "name", "sha256")).alias("_f"))
+    return best.select("dir", F.col("_f.name").alias("name"), (F.col("_f.sha256") == F.lower("_value")).alias("matches"))
+
+
+def input_hashes(digests: DataFrame) -> DataFrame:
+    """Of ``manifest_digests``: INFO without any, FAIL with a difference; n counts differences."""
+    return check(digests, "input_hashes", F.count_if(~F.col("matches")), F.when(F.col("rows") == 0, "INFO").when(F.col("n") > 0, "FAIL").otherwise("PASS"), rows=F.count(F.lit(1)))
+
+
+def cardinalities(sets: DataFrame, required: list[str], reachable: bool = True) -> DataFrame:
+    """``sets``: (key, value), value null where it can't be read. A row for each required key; zero, unread and unknown ones fail, and all
+    of them in one row if the state can't be reached. Without required keys, one INFO row."""
+    spark = sets.sparkSession
+    if not required:
+        return row(spark, "state", "INFO")
+    if not reachable:
+        return row(spark, "state", "FAIL", len(required))
+    keys = spark.range(1).select(F.explode(F.array(*[F.lit(k) for k in required])).alias("key"))
+    j = keys.join(sets.groupBy("key").agg(F.max("value").alias("value")), "key", "left")
+    n = F.coalesce("value", F.lit(0)).cast("long")
+    each = j.select(F.concat(F.lit("state_"), "key").alias("check"), F.when(n > 0, "PASS").otherwise("FAIL").alias("status"), n.alias("n"))
+    return row(spark, "state", "PASS", len(required)).unionByName(each)
+
+
+#: The archive format's number, paths that an archive should have and names of its first page.
+ARCHIVE_MAGIC = 0x044D495A
+
+
+def archive_header(spark, header: dict | None, questions: int, tolerate: bool = False) -> DataFrame:
+    """Magic number and entry count of an archive's header: none or a wrong number fails (warns if tolerated), and so does an entry
+    count of 0 or not above 90 % of the questions of the baseline."""
+    worst = "WARN" if tolerate else "FAIL"
+    if header is None:
+        return row(spark, "magic", worst).unionByName(row(spark, "entry_count", worst))
+    n = header["entry_count"]
+    return row(spark, "magic", "PASS" if header["magic"] == ARCHIVE_MAGIC else worst, header["magic"]).unionByName(row(spark, "entry_count", "PASS" if n > questions * 9 // 10 and n else "FAIL", n))
+
+
+def required_paths(entries: DataFrame | None, spark, required: list[str], homes: list[str]) -> DataFrame:
+    """``entries``: (path), or none if no listing could be had. Missing paths, a missing folder of questions or first page warn only;
+    n counts what is missing."""
+    if entries is None:
+        return row(spark, "required_paths", "WARN").unionByName(row(spark, "degraded", "WARN"))
+    p = F.col("path")
+    home = F.lit(False)
+    for h in homes:
+        home = home | (p == h) | p.startswith(f"{h}/") | F.element_at(F.split(p, "/"), -1).contains(h)
+    tests = [F.bool_or(p == r) for r in required] + [F.bool_or((p == "questions") | p.startswith("questions/")), F.bool_or(home)]
+    n = sum((F.when(F.coalesce(t, F.lit(False)), 0).otherwise(1) for t in tests), F.lit(0))
+    return check(entries, "required_paths", n, F.when(F.col("n") > 0, "WARN").otherwise("PASS"))
+
+
+def content_sample(entries: DataFrame | None, spark, sample: int | None = None) -> DataFrame:
+    """``entries``: (path, content). Fails if one of the sample is missing, empty or no UTF-8; n counts those. Warns without any."""
+    if entries is None:
+        return row(spark, "content_sample", "WARN")
+    c = F.col("content")
+    bad = c.isNull() | (F.octet_length(c) == 0) | ~F.is_valid_utf8(c.cast("string"))
+    some = sampled_rows(entries, ["path"], sample)
+    return check(some.select(bad.alias("_bad")), "content_sample", F.count_if("_bad"), F.when(F.col("rows") == 0, "WARN").when(F.col("n") > 0, "FAIL").otherwise("PASS"), rows=F.count(F.lit(1)))
+
+
+def checker(spark, exit_code: int | None) -> DataFrame:
+    """An external checker's exit code; null if it ran out of time."""
+    return row(spark, "checker", "PASS" if exit_code == 0 else "FAIL", -1 if exit_code is None else exit_code)
+
+
+def snapshot(counts: DataFrame, baseline: dict[str, int], tolerance: float = 0.02) -> DataFrame:
+    """``counts``: (metric, value), value null where it can't be read. Pages and images: above 0 and within the tolerance; state keys:
+    within it, or WARN if unread; done: above 1000, but only for a baseline of 10 million pages and more, else WARN."""
+    expected = F.coalesce(*[F.when(F.col("metric") == k, F.lit(v)) for k, v in baseline.items()], F.lit(0)).cast("long")
+    v, m = F.col("value"), F.col("metric")
+    fits = records.within_tolerance(expected, v, tolerance)
+    large = baseline.get("pages", 0) >= 10_000_000
+    done = F.when(F.coalesce(v, F.lit(0)) > 1000, "PASS").otherwise("FAIL") if large else F.lit("WARN")
+    status = F.when(m == "done", done).when(m == "state_keys", F.when(v.isNull(), "WARN").when(fits, "PASS").otherwise("FAIL")).otherwise(F.when((F.coalesce(v, F.lit(0)) > 0) & fits, "PASS").otherwise("FAIL"))
+    return counts.select(m.alias("check"), status.alias("status"), F.coalesce(v, F.lit(0)).cast("long").alias("n"))
+
+
+def structure(folders: DataFrame) -> DataFrame:
+    """``folders``: (shard, post, has_page). Two rows: shards of two hex digits, and pages in them; none fails."""
+    d = folders.where(F.col("shard").rlike("^[0-9a-f]{2}$"))
+    shards = check(d, "structure", F.countDistinct("shard"), F.when(F.col("n") > 0, "PASS").otherwise("FAIL"))
+    return shards.unionByName(check(d, "structure_pages", F.count_if("has_page"), F.when(F.col("n") > 0, "PASS").otherwise("FAIL")))
+
+
+def preflight(spark, marker: bool, pages: int, state_up: bool, snapshot_ok: bool, free_bytes: int, last_bytes: int) -> DataFrame:
+    """What must hold before an archive is built: a marker, staged pages, state, a good snapshot, and free space of one and a half times
+    the last output."""
+    tests = [("marker", marker, 0), ("staged_pages", pages > 0, pages), ("state", state_up, 0), ("snapshot", snapshot_ok, 0), ("free_space", 2 * free_bytes >= 3 * last_bytes, free_bytes)]
+    return report(*[row(spark, k, "PASS" if ok else "FAIL", n) for k, ok, n in tests])
+
+
+def new_artifact(before: list[str], after: list[str]) -> str:
+    """The one file that a build has made; any other number is an error."""
+    made = sorted(set(after) - set(before))
+    if len(made) != 1:
+        raise ValueError(f"expected one new file, found {len(made)}")
+    return made[0]

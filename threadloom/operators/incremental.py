@@ -60,9 +60,60 @@ def nest(parent: DataFrame, child: DataFrame, key: str, name: str, order: list[s
     return parent.join(lists, key, "left").withColumn(name, F.coalesce(F.col(name), F.array().cast(lists.schema[name].dataType)))
 
 
-def details(questions: DataFrame, stored: DataFrame, staged: DataFrame, fields: dict[str, object]) -> DataFrame:
-    """Each field from the stored details, else from the staged page, else its default."""
-    s = stored.select("post_id", *[F.col(f).alias(f"_a_{f}") for f in fields])
+def details(questions: DataFrame, stored: DataFrame, staged: DataFrame, fields: dict[str, object], texts: tuple[str, ...] = ("title", "excerpt")) -> DataFrame:
+    """Fields of each question. Stored details count as a whole where there are any, a missing field having its default; without
+    them the staged page's count. ``texts`` fall back on the staged page where they are empty, too."""
+    s = stored.select("post_id", F.lit(True).alias("_has"), *[F.col(f).alias(f"_a_{f}") for f in fields])
     t = staged.select("post_id", *[F.col(f).alias(f"_b_{f}") for f in fields])
     j = questions.select("post_id").join(s, "post_id", "left").join(t, "post_id", "left")
-    return j.select("post_id", *[F.coalesce(f"_a_{f}", f"_b_{f}", F.lit(d)).alias(f) for f, d in fields.items()])
+
+    def one(f: str, default: object):
+        own = F.nullif(f"_a_{f}", F.lit("")) if f in texts else F.col(f"_a_{f}")
+        other = F.col(f"_b_{f}") if f in texts else F.when(F.col("_has").isNull(), F.col(f"_b_{f}"))
+        return F.coalesce(own, other, F.lit(default)).alias(f)
+
+    return j.select("post_id", *[one(f, d) for f, d in fields.items()])
+
+
+def tag_names(questions: DataFrame, tags: DataFrame) -> DataFrame:
+    """``questions``: (post_id, tags) with ids of tags; ``tags``: (tag_id, name). The names in the ids' order; unknown ids are left out."""
+    each = questions.select("post_id", F.posexplode_outer("tags").alias("_pos", "tag_id")).join(tags, "tag_id", "left")
+    names = each.groupBy("post_id").agg(F.sort_array(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("_pos", "name")))).alias("_n"))
+    return names.select("post_id", F.transform("_n", lambda x: x["name"]).alias("tags"))
+
+
+def begin_seen(seen: DataFrame, snapshot_id: str) -> DataFrame:
+    """``seen``: (snapshot_id, post_id). What is left when a pass over a snapshot begins: its own marks go, others stay."""
+    return seen.where(F.col("snapshot_id") != snapshot_id)
+
+
+def mark_seen(seen: DataFrame, snapshot_id: str, posts: DataFrame) -> DataFrame:
+    """Marks of a set: a post counts once however often it is marked."""
+    return seen.unionByName(posts.select(F.lit(snapshot_id).alias("snapshot_id"), "post_id")).distinct()
+
+
+def members_seen(seen: DataFrame, snapshot_id: str) -> DataFrame:
+    return seen.where(F.col("snapshot_id") == snapshot_id).select("post_id").distinct()
+
+
+def after_resume(done: DataFrame, plan: DataFrame) -> DataFrame:
+    """The done set without what ``resume`` renders anew."""
+    return done.join(plan.where("action = 'render'").select("post_id"), "post_id", "left_anti")
+
+
+def reset(tables: dict[str, DataFrame], derived: tuple[str, ...]) -> dict[str, DataFrame]:
+    """Tables before metadata passes: derived ones are emptied, all others stay."""
+    return {k: v.where("false") if k in derived else v for k, v in tables.items()}
+
+
+def argument_problem(incremental: bool, prune: bool, snapshot_id: str | None) -> str | None:
+    """Why arguments of a run don't go together; null if they do."""
+    import re
+
+    if prune and not incremental:
+        return "pruning needs an incremental run"
+    if incremental and not snapshot_id:
+        return "an incremental run needs a snapshot id"
+    if snapshot_id and not re.fullmatch("[A-Za-z0-9._-]+", snapshot_id):
+        return "a snapshot id has letters, digits, dots, dashes and underscores"
+    return None

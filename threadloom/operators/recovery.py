@@ -109,8 +109,44 @@ def resolve(open_: DataFrame, page: DataFrame, rounds: int = 3) -> DataFrame:
 
 
 def shard_members(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Rows (hash, shard, basename) against members (shard, basename, content): all rows, with ``status`` ok, missing_zip or missing_member."""
-    shards = members.select("shard").distinct().withColumn("_there", F.lit(True))
-    j = rows.join(shards, "shard", "left").join(members, ["shard", "basename"], "left")
-    status: Column = F.when(F.col("_there").isNull(), "missing_zip").when(F.col("content").isNull(), "missing_member").otherwise("ok")
-    return j.withColumn("status", status).drop("_there")
+    """Rows (hash, shard, basename) against members (shard, basename, pos, content, error): all rows, with ``status`` ok, missing_zip,
+    missing_member or error. Of members with one basename the last in the shard counts; a shard that can't be read is an error."""
+    shards = members.groupBy("shard").agg(F.max(F.when(F.col("basename").isNull(), F.col("error"))).alias("_bad"))
+    last = members.where("basename is not null").groupBy("shard", "basename").agg(F.max_by(F.struct("content", "error"), "pos").alias("_m"))
+    j = rows.join(shards.withColumn("_there", F.lit(True)), "shard", "left").join(last, ["shard", "basename"], "left")
+    failed = F.coalesce("_bad", "_m.error").isNotNull()
+    status: Column = F.when(F.col("_there").isNull(), "missing_zip").when(failed, "error").when(F.col("_m").isNull(), "missing_member").otherwise("ok")
+    return j.select(*rows.columns, F.col("_m.content").alias("content"), F.coalesce("_bad", "_m.error").alias("error"), status.alias("status"))
+
+
+def recovery_rate(initial: DataFrame, recovered: DataFrame) -> DataFrame:
+    """``initial`` and ``recovered``: (hash). One row: counts and the share of initial hashes recovered, in percent to one digit."""
+    r = initial.select("hash").distinct().join(recovered.select("hash").distinct().withColumn("_r", F.lit(1)), "hash", "left")
+    n, k = F.count(F.lit(1)), F.count("_r")
+    return r.agg(n.alias("initial"), k.alias("recovered"), F.when(n > 0, F.round(100 * k / n, 1)).alias("percent"))
+
+
+def grouped(rows: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
+    """Rows of each key as an array of structs, in order."""
+    return rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, *columns))).alias("rows"))
+
+
+def old_sizes(small: DataFrame, staged: DataFrame) -> DataFrame:
+    """``small``: (hash, old_bytes, old_sha256); ``staged``: (hash, size, sha256). Size and digest of the staged file where a row has
+    neither."""
+    blank = (F.coalesce("old_bytes", F.lit(0)) == 0) & (F.coalesce("old_sha256", F.lit("")) == "")
+    j = small.join(staged.select("hash", F.col("size").alias("_s"), F.col("sha256").alias("_d")), "hash", "left")
+    new = {"old_bytes": F.coalesce("_s", F.lit(0)), "old_sha256": F.coalesce("_d", F.lit(""))}
+    return j.select(*[F.when(blank, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in small.columns])
+
+
+def twins_before_after(hashes: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Placeholders among ``hashes`` in two listings (hash, placeholder): one row, before and after."""
+    def count(t: DataFrame, name: str) -> DataFrame:
+        return t.join(hashes.select("hash").distinct(), "hash", "left_semi").agg(F.count_if("placeholder").alias(name))
+
+    return count(before, "before").join(count(after, "after"))  # single rows
+
+
+def reference_totals(refs: DataFrame, key: str = "hash") -> DataFrame:
+    return refs.agg(F.count(key).alias("total"), F.countDistinct(key).alias("distinct"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import candidates, pages, records, urls
+from ..functions import candidates, media, pages, records, urls
 from ..operators import archive, audit, decisions, incremental, manifests, ranking, recovery
 
 QUERIES: dict = {}
@@ -151,14 +151,14 @@ def wanted_md5_match(spark, d):
 
 
 @query("history_scan_match", """
-WITH l AS (SELECT l_orderkey AS line_no, 'n' || l_partkey % 500 AS name, 'png' AS ext FROM lineitem WHERE l_linenumber = 1),
+WITH l AS (SELECT l_orderkey AS line_no, 'n' || l_partkey % 500 AS name, 'png' AS ext FROM lineitem),
 s AS (SELECT name, ext, count(DISTINCT line_no) AS n FROM l GROUP BY ALL),
 f AS (SELECT *, CASE i WHEN 0 THEN 'https://i.sstatic.net/' WHEN 1 THEN 'https://i.stack.imgur.com/' ELSE 'http://i.stack.imgur.com/' END || name || '.' || ext AS u FROM s, (SELECT unnest(range(3)) AS i)),
 h AS (SELECT *, row_number() OVER (PARTITION BY name, ext ORDER BY i) AS rn FROM f WHERE substr(md5(u), 1, 1) IN ('0', '3', '7', 'a', 'c', 'f'))
 SELECT md5(u) AS hash, u AS source_url FROM h WHERE rn <= n""")
 def history_scan_match(spark, d):
     """A line takes one wanted form of a name at most."""
-    li = t(spark, d, "lineitem").where("l_linenumber = 1")
+    li = t(spark, d, "lineitem")
     lines = li.select(F.col("l_orderkey").alias("line_no"), F.concat(F.lit("see i.stack.imgur.com/n"), F.col("l_partkey") % 500, F.lit(".png &amp; more")).alias("line"))
     names = li.select(F.concat(F.lit("n"), F.col("l_partkey") % 500).alias("name")).distinct()
     forms = names.select(F.explode(urls.history_candidates(F.col("name"), F.lit("png"))).alias("u")).select(urls.image_key(F.col("u")).alias("hash"))
@@ -171,7 +171,8 @@ def history_scan_match(spark, d):
 @query("manifest_dedup", "SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) WHERE rn = 1")
 def manifest_dedup(spark, d):
     e = t(spark, d, "events").select("event_id", "user_id", "event_type")
-    return manifests.append(e.where("event_id % 2 = 0").where("false"), e, ["user_id", "event_type"], ["event_id"])
+    old = manifests.append(e.where("false"), e.where("event_id < 1000"), ["user_id", "event_type"], ["event_id"])
+    return manifests.append(old, e.where("event_id >= 500"), ["user_id", "event_type"], ["event_id"])
 
 
 @query("manifest_append", """
@@ -233,10 +234,18 @@ def capped_per_key(spark, d):
 
 
 @query("missing_left_join", """
-SELECT CASE WHEN l.doc_id IS NULL THEN 'absent' WHEN l.quality = 0 THEN 'placeholder' ELSE 'present' END AS state, count(*) AS n FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1""")
+WITH s AS (SELECT strlen(text) AS size, sha256(text) AS sha FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents)),
+j AS (SELECT text, size, sha FROM documents d LEFT JOIN (SELECT DISTINCT doc_id AS k FROM labels) ON k = doc_id, s WHERE true),
+h AS (SELECT d.doc_id, CASE WHEN k IS NOT NULL THEN text END AS text FROM documents d LEFT JOIN (SELECT DISTINCT doc_id AS k FROM labels) ON k = d.doc_id)
+SELECT CASE WHEN text IS NULL THEN 'absent' WHEN strlen(text) = size AND sha256(text) = sha THEN 'placeholder' ELSE 'present' END AS state,
+  coalesce(strlen(text) = size AND sha256(text) <> sha, false) AS twin, count(*) AS n FROM h, s GROUP BY ALL""")
 def missing_left_join(spark, d):
-    j = t(spark, d, "documents").select("doc_id").join(t(spark, d, "labels"), "doc_id", "left")
-    return j.groupBy(F.when(F.col("quality").isNull(), "absent").when(F.col("quality") == 0, "placeholder").otherwise("present").alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    """Documents as references; those with a label have a file; the first document's text stands for the placeholder."""
+    docs = t(spark, d, "documents")
+    spec = docs.orderBy("doc_id").select(F.octet_length("text").alias("size"), F.sha2("text", 256).alias("sha")).first()
+    files = docs.join(t(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("name"), F.col("text").cast("binary").alias("content"))
+    out = recovery.missing(docs.select(F.col("doc_id").alias("hash")), files, spec.size, spec.sha)
+    return out.groupBy("state", "twin").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("placeholder_detect", """
@@ -244,12 +253,11 @@ WITH s AS (SELECT strlen(text) AS size, sha256(text) AS sha FROM documents WHERE
 SELECT count(*) FILTER (strlen(text) = size) AS sized, count(*) FILTER (strlen(text) = size AND sha256(text) = sha) AS confirmed, count(*) FILTER (strlen(text) = size AND sha256(text) <> sha) AS twins FROM documents, s""")
 def placeholder_detect(spark, d):
     """Size candidates, confirmed placeholders and twins of the size only; content is hashed for the candidates alone."""
-    docs = t(spark, d, "documents").select("doc_id", "text")
-    spec = docs.agg(F.min_by(F.struct(F.octet_length("text").alias("size"), F.sha2("text", 256).alias("sha")), "doc_id").alias("s"))
-    j = docs.join(F.broadcast(spec))  # one row
-    sized = F.octet_length("text") == F.col("s.size")
-    same = F.when(sized, F.sha2("text", 256) == F.col("s.sha")).otherwise(F.lit(False))
-    return j.agg(F.count_if(sized).alias("sized"), F.count_if(same).alias("confirmed"), F.count_if(sized & ~same).alias("twins"))
+    docs = t(spark, d, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    spec = docs.orderBy("doc_id").select(F.octet_length("content").alias("size"), F.sha2("content", 256).alias("sha")).first()
+    sized = F.octet_length("content") == spec.size
+    same = media.is_placeholder(F.col("content"), spec.size, spec.sha.upper())
+    return docs.agg(F.count_if(sized).alias("sized"), F.count_if(same).alias("confirmed"), F.count_if(sized & ~same).alias("twins"))
 
 
 @query("not_recovered_anti", "SELECT o_orderkey FROM orders ANTI JOIN lineitem ON l_orderkey = o_orderkey")
@@ -434,11 +442,15 @@ def duplicate_paths(spark, d):
 
 
 @query("ref_integrity", """
-SELECT DISTINCT r.u AS hash FROM (SELECT unnest(regexp_extract_all(html, 'href="/([^"]+)"', 1)) AS u FROM pages) r ANTI JOIN (SELECT lower(l.w) AS u FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) l) f ON f.u = r.u""")
+WITH r AS (SELECT DISTINCT u FROM (SELECT unnest(regexp_extract_all(html, 'href="/([^"]+)"', 1)) AS u FROM pages)),
+f AS (SELECT u || CASE WHEN hash % 3 = 0 THEN '' ELSE '.png' END AS name FROM (SELECT u, ord(right(u, 1)) AS hash FROM r) WHERE hash % 2 = 0),
+n AS (SELECT name FROM f UNION SELECT regexp_replace(name, '\\.[^.]*$', '') FROM f)
+SELECT u AS hash FROM r ANTI JOIN n ON n.name = r.u""")
 def ref_integrity(spark, d):
     refs = t(spark, d, "pages").select(F.explode_outer(F.regexp_extract_all("html", F.lit('href="/([^"]+)"'), F.lit(1))).alias("hash")).where("hash is not null").distinct()
-    files = t(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("name")).select(F.lower("name").alias("name")).distinct()
-    return audit.unresolved(refs, files.where("false")).join(files.select(F.col("name").alias("hash")), "hash", "left_anti")
+    last = F.ascii(F.substring("hash", -1, 1))
+    files = refs.where(last % 2 == 0).select(F.concat("hash", F.when(last % 3 == 0, "").otherwise(".png")).alias("name"))
+    return audit.unresolved(refs, files)
 
 
 @query("audit_report", """
@@ -535,11 +547,13 @@ def title_sanitize(spark, d):
     return t(spark, d, "documents").select("doc_id", records.sanitize_title(F.get(F.split("text", "\n"), F.lit(0)), "doc_id").alias("title"))
 
 
-HTML_SQL = """(SELECT p_partkey, '<p> <a class="x" href="https://i.stack.imgur.com/' || p_partkey || '.png"> <img alt="" src="../images/' || md5(p_name) || '"> </a> </p><a href="//:None/../a/' || p_partkey || '">z</a><img src="../images/' || md5(p_brand) || '">' AS h FROM part)"""
+HOSTS = ["i.stack.imgur.com", "commons.wikimedia.org", "m.imgur.io", "i.sstatic.net", "elsewhere.org"]
+HOST_SQL = "CASE p_partkey % 5 " + " ".join(f"WHEN {k} THEN '{h}'" for k, h in enumerate(HOSTS)) + " END"
+HTML_SQL = """(SELECT p_partkey, '<p> <a class="x" href="https://' || """ + HOST_SQL + """ || '/' || p_partkey || '.png"> <img alt="" src="../images/' || md5(p_name) || '"> </a> </p><a href="//:None/../a/' || p_partkey || '">z</a><img src="../images/' || md5(p_brand) || '">' AS h FROM part)"""
 
 
 def html_strings(spark, d):
-    h = F.concat(F.lit('<p> <a class="x" href="https://i.stack.imgur.com/'), "p_partkey", F.lit('.png"> <img alt="" src="../images/'), F.md5("p_name"), F.lit('"> </a> </p><a href="//:None/../a/'), "p_partkey", F.lit('">z</a><img src="../images/'), F.md5("p_brand"), F.lit('">'))
+    h = F.concat(F.lit('<p> <a class="x" href="https://'), F.get(F.array(*map(F.lit, HOSTS)), (F.col("p_partkey") % 5).cast("int")), F.lit("/"), "p_partkey", F.lit('.png"> <img alt="" src="../images/'), F.md5("p_name"), F.lit('"> </a> </p><a href="//:None/../a/'), "p_partkey", F.lit('">z</a><img src="../images/'), F.md5("p_brand"), F.lit('">'))
     return t(spark, d, "part").select("p_partkey", h.alias("h"))
 
 
@@ -549,7 +563,7 @@ def html_rewrite_nopic(spark, d):
 
 
 @query("html_rewrite_images", f"""
-SELECT p_partkey, regexp_replace(replace(h, '//:None/', ''), '(<a [^>]*href=")https://[^"]*("[^>]*> <img [^>]*src=")([^"]*)(")', '\\1\\3\\2\\3\\4') AS html FROM {HTML_SQL}""")
+SELECT p_partkey, CASE WHEN p_partkey % 5 = 4 THEN replace(h, '//:None/', '') ELSE regexp_replace(replace(h, '//:None/', ''), '(<a [^>]*href=")https://[^"]*("[^>]*> <img [^>]*src=")([^"]*)(")', '\\1\\3\\2\\3\\4') END AS html FROM {HTML_SQL}""")
 def html_rewrite_images(spark, d):
     return html_strings(spark, d).select("p_partkey", pages.link_local_images(F.col("h")).alias("html"))
 
@@ -562,10 +576,11 @@ def clean_url(spark, d):
     return t(spark, d, "part").select("p_partkey", urls.clean_url(raw).alias("url"))
 
 
-@query("camo_decode", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'https://o.org/' || p_name WHEN p_partkey % 3 = 1 THEN NULL ELSE NULL END AS url FROM part")
+@query("camo_decode", "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'https://o.org/' || p_name WHEN 1 THEN NULL WHEN 2 THEN 'http://' || p_partkey || chr(65533) || 'x' || chr(65533) WHEN 3 THEN NULL ELSE 'https://é/' END AS url FROM part")
 def camo_decode(spark, d):
     k = F.col("p_partkey")
-    path = F.concat(F.lit("/d/"), F.when(k % 3 == 0, F.lower(F.hex(F.concat(F.lit("https://o.org/"), "p_name")))).when(k % 3 == 1, F.lit("zz")).otherwise(F.hex(F.lit("ftp://x"))))
+    path = F.concat(F.lit("/d/"), F.when(k % 5 == 0, F.lower(F.hex(F.concat(F.lit("https://o.org/"), "p_name")))).when(k % 5 == 1, F.lit("zz"))
+        .when(k % 5 == 2, F.concat(F.hex(F.concat(F.lit("http://"), k.cast("string"))), F.lit("ff78c3"))).when(k % 5 == 3, F.hex(F.lit("ftp://x"))).otherwise(F.hex(F.lit("https://é/"))))
     return t(spark, d, "part").select("p_partkey", urls.decode_camo(path).alias("url"))
 
 
@@ -585,9 +600,14 @@ def page_candidates(spark, d):
 
 
 @query("url_safety", """
-SELECT page_id, '' AS problem FROM pages""")
+SELECT page_id, CASE page_id % 6 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN true WHEN 3 THEN true WHEN 4 THEN true ELSE false END AS rejected FROM pages""")
 def url_safety(spark, d):
-    return t(spark, d, "pages").select("page_id", candidates.url_problem("url", F.array(F.lit("93.184.216.34"))).alias("problem"))
+    """Private and mixed resolutions, credentials, other schemes and no host are rejected; a public one isn't."""
+    k, public = F.col("page_id") % 6, F.lit("93.184.216.34")
+    url = F.when(k == 2, F.lit("http://user:pw@h.org/")).when(k == 3, F.lit("ftp://h.org/")).when(k == 4, F.lit("http:///x")).otherwise(F.col("url"))
+    ips = F.when(k == 0, F.array(F.lit("10.0.0.1"))).when(k == 1, F.array(public, F.lit("127.0.0.1"))).otherwise(F.array(public))
+    p = t(spark, d, "pages").select("page_id", url.alias("u"), ips.alias("ips")).select("page_id", candidates.url_problem("u", "ips").alias("problem"))
+    return p.select("page_id", (F.coalesce("problem", F.lit("")) != "").alias("rejected"))
 
 
 @query("lenient_ints", "SELECT event_id, coalesce(try_cast(CASE WHEN event_id % 3 = 0 THEN 'x' || event_id WHEN event_id % 3 = 1 THEN '' ELSE event_id::VARCHAR END AS BIGINT), 0) AS n FROM events")

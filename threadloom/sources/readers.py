@@ -6,8 +6,8 @@ import json
 import os
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
-from io import BytesIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from ..functions import pages as text
 from . import schemas
 
 
 def pages(spark: SparkSession, root: str) -> DataFrame:
     """``page_path, html`` of all ``*.html`` below a folder. Bytes that are no UTF-8 are dropped."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").load(root)
-    return raw.select(F.col("path").alias("page_path"), F.replace(F.decode(F.col("content"), "UTF-8"), F.lit("�"), F.lit("")).alias("html"))
+    return raw.select(F.col("path").alias("page_path"), text.decoded(F.col("content")).alias("html"))
 
 
 def files(spark: SparkSession, root: str, content: bool = True, pattern: str = "*") -> DataFrame:
@@ -32,16 +33,12 @@ def files(spark: SparkSession, root: str, content: bool = True, pattern: str = "
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """``src, line_no, line``. Numbers come from the places of lines in whole files, so files should be of moderate size;
-    ``big_lines`` is for dumps."""
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("src"), "value")
-    each = raw.select("src", F.posexplode(F.split(F.regexp_replace("value", "\\r?\\n\\z", ""), "\\r?\\n")).alias("_i", "line"))
-    return each.select("src", (F.col("_i") + 1).cast("long").alias("line_no"), "line")
-
-
-def big_lines(spark: SparkSession, path: str) -> DataFrame:
-    """As ``lines`` for files of any size: numbers grow along each file and leave gaps between its splits."""
-    return spark.read.text(path).select(F.input_file_name().alias("src"), F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
+    """``src, line_no, line`` of files of any size, read in splits. Numbers start at 1 and grow along each file, with gaps between
+    splits: a line's number is its place in its split plus the byte at which that begins. The first line of each split is
+    found by a pass over the files that keeps a row for each."""
+    raw = spark.read.text(path).select(F.input_file_name().alias("src"), F.input_file_block_start().alias("_b"), F.monotonically_increasing_id().alias("_i"), F.col("value").alias("line"))
+    first = raw.groupBy("src", "_b").agg(F.min("_i").alias("_first"))
+    return raw.join(first, ["src", "_b"]).select("src", (F.col("_b") + F.col("_i") - F.col("_first") + 1).alias("line_no"), "line")
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -130,22 +127,50 @@ def json_object(spark: SparkSession, path: str, part: str | None = None) -> Data
 
 
 def zip_members(spark: SparkSession, pattern: str, wanted: DataFrame | None = None) -> DataFrame:
-    """``shard, basename, content`` of the members of ZIP shards (up to 2 GB each); each shard is opened once."""
-    raw = spark.read.format("binaryFile").load(pattern).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
+    """``shard, basename, pos, content, error`` of the members of ZIP shards of any size, or of those in ``wanted`` (shard, basename).
+
+    Directories are listed first; then members are dealt to tasks, which read their byte ranges alone. A shard that is
+    no ZIP file gives one row with an error and without a basename.
+    """
+    paths = spark.read.format("binaryFile").load(pattern).select("path")
+
+    def opened(path: str) -> zipfile.ZipFile:
+        from pyarrow import fs
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+        return zipfile.ZipFile(store.open_input_file(name))
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for shard, content in zip(b["shard"], b["content"]):
+            for path in b["path"]:
+                shard = path.rsplit("/", 1)[-1]
                 try:
-                    z = zipfile.ZipFile(BytesIO(content))
-                except zipfile.BadZipFile:
-                    continue
-                for m in z.infolist():
-                    if not m.is_dir():
-                        yield pd.DataFrame({"shard": [shard], "basename": [m.filename.rsplit("/", 1)[-1]], "content": [z.read(m)]})
-
-    out = raw.mapInPandas(members, "shard string, basename string, content binary")
-    return out.join(wanted, ["shard", "basename"], "left_semi") if wanted is not None else out
+                    with opened(path) as z:
+                        rows = [(path, shard, m.filename.rsplit("/", 1)[-1], k, m.filename, None) for k, m in enumerate(z.infolist()) if not m.is_dir()]
+                except (zipfile.BadZipFile, ValueError) as e:
+                    rows = [(path, shard, None, -1, None, str(e))]
+                yield pd.DataFrame(rows, columns=["path", "shard", "basename", "pos", "member", "error"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, z = None, None
+        for b in batches:
+            for r in b.itertuples(index=False):
+                content, error = None, r.error
+                if error is None:
+                    try:
+                        if held != r.path:
+                            held, z = r.path, opened(r.path)
+                        content = z.open(z.infolist()[r.pos]).read()
+                    except (zipfile.BadZipFile, NotImplementedError, RuntimeError, zlib.error) as e:
+                        error = str(e)
+                yield pd.DataFrame({"shard": [r.shard], "basename": [r.basename], "pos": [r.pos], "content": [content], "error": [error]})
+
+    rows = paths.repartition("path").mapInPandas(listed, "path string, shard string, basename string, pos bigint, member string, error string")
+    if wanted is not None:
+        keys = wanted.select("shard", "basename").distinct()
+        rows = rows.where("error is not null").unionByName(rows.join(keys, ["shard", "basename"], "left_semi").select(rows.columns))
+    dealt = rows.repartition("path", F.floor(F.col("pos") / 256)).sortWithinPartitions("path", "pos")
+    return dealt.mapInPandas(read, "shard string, basename string, pos bigint, content binary, error string")
 
 
 def archive_header(path: str) -> dict | None:
@@ -197,7 +222,7 @@ def folders(spark: SparkSession, root: str, depth: int = 2) -> DataFrame:
 def stage_manifests(spark: SparkSession, root: str) -> DataFrame:
     """``path, post_id, schema_version ...`` of all manifest.json files below a folder; unreadable ones have a null schema_version."""
     raw = files(spark, root, pattern="manifest.json")
-    return raw.withColumn("_j", F.from_json(F.decode("content", "UTF-8"), schemas.STAGE_PAGE)).select("path", "_j.*")
+    return raw.withColumn("_j", F.from_json(text.decoded(F.col("content")), schemas.STAGE_PAGE)).select("path", "_j.*")
 
 
 def config(path: str | None, env: dict, prefix: str, defaults: dict, **overrides) -> dict:

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new place in the folder that ``spark.checkpoint.dir`` names, or in a temporary one where none is set, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/threadloom"
+    """A new place in the folder that ``spark.checkpoint.dir`` names, or in a temporary one where none is set and the master is local, as
+    in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    root = root or f"file://{tempfile.gettempdir()}/threadloom"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

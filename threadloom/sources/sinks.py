@@ -55,6 +55,22 @@ def write_report(df: DataFrame, path: str) -> None:
     write_atomic(path, json.dumps([r.asDict(recursive=True) for r in df.collect()], indent=1, sort_keys=True, default=str).encode())
 
 
+def append_results(df: DataFrame, root: str) -> None:
+    """Results of a run so far, as JSON lines appended to a folder."""
+    json_lines(df).write.mode("append").text(f"{root}/results")
+
+
+def compact_results(spark: SparkSession, state: DataFrame, root: str, key: str = "hash") -> DataFrame:
+    """The authoritative results, in the order of their key, from the state; published as a version over what was appended."""
+    return publish(state.orderBy(key), f"{root}/final")
+
+
+def summary_text(df: DataFrame, key: str, n: int = 30) -> str:
+    """Lines ``count  value`` of a column's most frequent values, ties in their order; n of them reach the driver."""
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), key).limit(n).collect()
+    return "\n".join(f"{r['n']:>10}  {r[key]}" for r in rows)
+
+
 def report_text(df: DataFrame) -> tuple[str, int]:
     """Lines for people and an exit code."""
     rows = df.collect()
@@ -69,19 +85,44 @@ def append_manifest(spark: SparkSession, root: str, new: DataFrame, keys: list[s
     return publish(rows, root)
 
 
+def _store(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def put_small(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file in any store that Spark writes to, by a rename."""
+    jvm, p, store = _store(spark, path)
+    temp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = store.create(temp, True)
+    out.write(bytearray(data))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(temp, p, over)
+
+
+def get_small(spark: SparkSession, path: str) -> bytes | None:
+    """The contents of a small file, or none if there is no such file."""
+    _, p, store = _store(spark, path)
+    if not store.exists(p):
+        return None
+    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+
+
 def publish(df: DataFrame, root: str) -> DataFrame:
+    """A new version of a table and the pointer to it, in any store that Spark writes to."""
     version = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{version}")
-    write_atomic(f"{root.removeprefix('file://')}/CURRENT", version.encode())
+    put_small(df.sparkSession, f"{root}/CURRENT", version.encode())
     return df.sparkSession.read.parquet(f"{root}/{version}")
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
-    pointer = f"{root.removeprefix('file://')}/CURRENT"
-    if not os.path.exists(pointer):
-        return None
-    with open(pointer) as f:
-        return spark.read.parquet(f"{root}/{f.read()}")
+    version = get_small(spark, f"{root}/CURRENT")
+    return None if version is None else spark.read.parquet(f"{root}/{version.decode()}")
 
 
 def write_files(df: DataFrame, root: str) -> DataFrame:
@@ -110,28 +151,31 @@ def write_pages(df: DataFrame, root: str) -> DataFrame:
     return d.select("_dir", "html", "manifest").mapInPandas(put, "path string")
 
 
-def prune(plan: DataFrame, root: str, journal: str, remove) -> list[dict]:
-    """Applies a plan (post_id, path, problem): the plan is on disk before anything goes, each result after it, and the first failure
-    stops the rest. The plan is as long as what is to be removed; rows stream through the driver one by one."""
-    write_report(plan, f"{journal}.plan.json")
-    results, stopped = [], False
-    for r in plan.toLocalIterator():
-        if stopped:
-            status, error = "kept", "an earlier removal failed"
-        else:
-            try:
-                target = os.path.join(root, r["path"])
-                if r["problem"] is not None:
-                    raise ValueError(r["problem"])
-                if os.path.islink(target) or os.path.realpath(target) != os.path.abspath(target) or not os.path.realpath(target).startswith(os.path.realpath(root) + os.sep):
-                    raise ValueError("not inside the stage")
-                remove(target)
-                status, error = "removed", ""
-            except (OSError, ValueError) as e:
-                status, error, stopped = "failed", str(e), True
-        results.append({"post_id": r["post_id"], "status": status, "error": error})
-        write_atomic(f"{journal}.results.json", json.dumps(results).encode())
-    return results
+def prune(plan: DataFrame, root: str, journal: str, remove) -> dict[str, int]:
+    """Applies a plan (post_id, path, problem): it is written as a table (``journal``.plan) before anything goes; each result is a line
+    appended to ``journal``.results.jsonl, and the first failure stops the rest. Rows stream through the driver one by one. Returns
+    how many were removed, failed and kept."""
+    plan.write.mode("overwrite").json(f"{journal}.plan")
+    counts, stopped = {"removed": 0, "failed": 0, "kept": 0}, False
+    with open(f"{journal}.results.jsonl", "w") as out:
+        for r in plan.toLocalIterator():
+            error = "an earlier removal failed"
+            status = "kept" if stopped else "removed"
+            if not stopped:
+                try:
+                    target, error = os.path.join(root, r["path"]), ""
+                    if r["problem"] is not None:
+                        raise ValueError(r["problem"])
+                    if os.path.islink(target) or os.path.realpath(target) != os.path.abspath(target) or not os.path.realpath(target).startswith(os.path.realpath(root) + os.sep):
+                        raise ValueError("not inside the stage")
+                    remove(target)
+                except (OSError, ValueError) as e:
+                    status, error, stopped = "failed", str(e), True
+            counts[status] += 1
+            out.write(json.dumps({"post_id": r["post_id"], "status": status, "error": error}) + "\n")
+            out.flush()
+            os.fsync(out.fileno())
+    return counts
 
 
 def placeholder_png(width: int = 320, height: int = 120, gray: int = 200) -> bytes:
