@@ -184,7 +184,8 @@ def near_lines(docs: DataFrame, first: DataFrame, edits: int = MAX_EDITS, least:
     shared = written(shared, "shared-keys")
     ids = written(shared.select("_h").distinct(), "near-candidates")
     lines = lines_of(docs, least).select(*hashes(), "_line")
-    texts = written(narrowed(lines, ids, "_h").join(ids, "_h", "left_semi").dropDuplicates(["_h", "_h2"]), "near-texts")
+    # An inner join: a semi join would be moved below the one with the sieve, and shuffle all lines.
+    texts = written(narrowed(lines, ids, "_h").join(ids, "_h").dropDuplicates(["_h", "_h2"]), "near-texts")
     at = written(narrowed(first, ids, "_h").join(ids, "_h").groupBy("_h").agg(F.min("_first").alias("_first")), "near-places")
     v = written(shared.join(at, "_h").withColumnRenamed("_key", "_list"), "near-lists")
 
