@@ -74,10 +74,19 @@ def importable(spark: SparkSession) -> None:
 WORD_BITS = 20
 
 
+def _word(key: str) -> str:
+    """Keys are hashed again: least hashes, for one, share their upper bits."""
+    return f"shiftrightunsigned(xxhash64({key}), {64 - WORD_BITS})"
+
+
+def _bit(key: str) -> str:
+    return f"shiftleft(1L, cast(xxhash64({key}) & 63 as int))"
+
+
 def sieve(keys: DataFrame, key: str) -> DataFrame:
     """A bitmap of the hashes in the long column ``key``, as rows (_word, _bits): at most 2 ** WORD_BITS, some 16 MB, whatever the size
     of ``keys``."""
-    word, bit = F.expr(f"shiftrightunsigned({key}, {64 - WORD_BITS})"), F.expr(f"shiftleft(1L, cast({key} & 63 as int))")
+    word, bit = F.expr(_word(key)), F.expr(_bit(key))
     return keys.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
 
 
@@ -85,15 +94,15 @@ def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` whose ``key`` (a hash, as in ``keys``) may be among ``keys``: all that are, and a share of the others that
     is small as long as there are fewer keys than bits. Spares the shuffle of a join, which has to follow, most rows."""
     bits = F.broadcast(sieve(keys, key))
-    df = df.withColumn("_word", F.expr(f"shiftrightunsigned({key}, {64 - WORD_BITS})")).join(bits, "_word")
-    return df.where(F.expr(f"(_bits & shiftleft(1L, cast({key} & 63 as int))) <> 0")).drop("_word", "_bits")
+    df = df.withColumn("_word", F.expr(_word(key))).join(bits, "_word")
+    return df.where(F.expr(f"(_bits & {_bit(key)}) <> 0")).drop("_word", "_bits")
 
 
 def split_by(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The rows of ``df`` as ``narrowed`` would keep them, and all others, which need no join with ``keys``."""
     bits = F.broadcast(sieve(keys, key))
-    df = df.withColumn("_word", F.expr(f"shiftrightunsigned({key}, {64 - WORD_BITS})")).join(bits, "_word", "left")
-    maybe = F.expr(f"coalesce(_bits & shiftleft(1L, cast({key} & 63 as int)), 0L) <> 0")
+    df = df.withColumn("_word", F.expr(_word(key))).join(bits, "_word", "left")
+    maybe = F.expr(f"coalesce(_bits & {_bit(key)}, 0L) <> 0")
     return df.where(maybe).drop("_word", "_bits"), df.where(~maybe).drop("_word", "_bits")
 
 
