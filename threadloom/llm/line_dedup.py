@@ -163,6 +163,14 @@ def star(lists: DataFrame, edits: int) -> DataFrame:
     return both.select(F.col("_head._h").alias("_x"), F.col("_h").alias("_y")).distinct()
 
 
+def spread(rows: DataFrame, on: str) -> DataFrame:
+    """A row (_u, ``on``) for each different repaired string (``_s``) or place (``_p``) of the structs in ``_d``, next to the other columns."""
+    some = F.filter("_d", lambda x: x["p"] >= 0) if on == "_p" else F.col("_d")
+    some = F.array_distinct(F.transform(some, lambda x: F.struct(x["u"].alias("u"), x[on[1:]].alias("v"))))
+    rows = rows.withColumn("_d", F.explode_outer(some))
+    return rows.withColumn("_u", F.col("_d.u")).withColumn(on, F.col("_d.v")).drop("_d")
+
+
 def within_lists(rows: DataFrame, on: str, edits: int) -> DataFrame:
     """``rows``: (_list, _h, _len, _index, _first, _open, _u and ``on``). Pairs (_x, _y) of open lines with earlier ones that are equal
     in ``on``, after no more repairs in all than there may be edits (equal strings) or one less (places)."""
@@ -203,15 +211,14 @@ def near_lines(docs: DataFrame, first: DataFrame, edits: int = MAX_EDITS, least:
     rest = written(rest.join(texts.select("_h", "_line"), "_h"), "near-rest")
     heads = typical(rest).join(texts.select(F.col("_h").alias("_head"), F.col("_line").alias("_top")), "_head")
     rest = rest.join(heads, "_list")
-    rest = rest.select("_list", "_h", "_len", "_index", "_first", "_open", F.explode_outer(deviations(F.col("_line"), F.col("_top"))).alias("_d"))
-    rest = written(rest.select("_list", "_h", "_len", "_index", "_first", "_open", F.col("_d.u").alias("_u"), F.col("_d.s").alias("_s"), F.col("_d.p").alias("_p")), "near-deviations")
+    rest = written(rest.select("_list", "_h", "_len", "_index", "_first", "_open", deviations(F.col("_line"), F.col("_top")).alias("_d")), "near-deviations")
     # Lines that leave the typical line at the same place are lists again.
-    places = rest.where("_p >= 0").withColumn("_list", F.xxhash64("_list", "_p"))
+    places = spread(rest, "_p").withColumn("_list", F.xxhash64("_list", "_p"))
     again = written(star(places, edits).join(first_star, ["_x", "_y"], "left_anti").join(done, F.col("_y") == F.col("_h"), "left_anti"), "near-star")
     done = written(done.unionByName(settled(again)).distinct(), "near-settled")
-    rest = rest.join(done, "_h", "left_anti").where("_open").select("_h").distinct().withColumn("_still", F.lit(True)).join(rest, "_h", "right").withColumn("_open", F.coalesce("_still", F.lit(False))).drop("_still")
-    rest = written(rest, "near-open")
-    pairs = within_lists(rest, "_s", edits).unionByName(within_lists(rest.where("_p >= 0"), "_p", edits)).distinct()
+    still = rest.where("_open").select("_h").distinct().join(done, "_h", "left_anti").withColumn("_still", F.lit(True))
+    rest = written(rest.join(still, "_h", "left").withColumn("_open", F.coalesce("_still", F.lit(False))).drop("_still"), "near-open")
+    pairs = within_lists(spread(rest, "_s"), "_s", edits).unionByName(within_lists(spread(rest, "_p"), "_p", edits)).distinct()
     pairs = pairs.join(first_star, ["_x", "_y"], "left_anti").join(again, ["_x", "_y"], "left_anti")
     done = done.unionByName(settled(written(pairs, "near-pairs")))
     return written(texts.join(done.distinct(), "_h", "left_semi").select("_h", "_h2"), "near-lines")
