@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, licenses, line_dedup, minhash, packing, quality, repeats, token_counts, url_filter
+from . import collocations, decontamination, language_id, licenses, line_dedup, merkle, minhash, packing, quality, repeats, token_counts, token_files, url_filter
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_token_files": token_files.op13_token_files,
 }
 
 ORACLE = {
@@ -22,6 +25,8 @@ ORACLE = {
     "op7_url_filter": url_filter.sql,
     "op9_decontamination": decontamination.sql,
     "op10_quality_rules": quality.sql,
+    "op11_collocations": collocations.sql,
+    "op12_merkle_manifest": merkle.sql,
 }
 
 
