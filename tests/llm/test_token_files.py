@@ -63,6 +63,22 @@ def test_small_cache_gives_the_same_ids():
         assert len(known) <= 5 and all(len(c) <= 4 for c in known)
 
 
+def test_ranks_give_the_library_s_ids():
+    import random
+
+    from threadloom.llm.word_ranks import PLAIN, WordRanks, last_pair
+
+    r, ranks = random.Random(3), WordRanks.of(PATH)
+    signs = "aeiourstnlmAEST0159'\"-_.,;:!?()[]{}<|>@#%&*/~^`" + "".join(map(chr, range(0xA1, 0x250)))
+    chunks = ["".join(r.choices(signs, [20] * 12 + [1] * (len(signs) - 12), k=r.randint(1, 24))) for _ in range(30000)]
+    chunks += [w + s for w in tokenizer(PATH).get_vocab() for s in ("", "s") if PLAIN.fullmatch(w + s)][::5]
+    chunks = [c for c in chunks if "<|" not in c]
+    for c, e in zip(chunks, tokenizer(PATH).encode_batch(chunks, add_special_tokens=False)):
+        assert ranks.encode(c, {}) == struct.pack(f"<{len(e.ids)}I", *e.ids), c
+    assert WordRanks.of(tokenizer_path("byte_bpe_50k.json")) is None
+    assert last_pair(b"abc", {(b"b", b"c"): 0, (b"a", b"bc"): 1, (b"a", b"b"): 2, (b"ab", b"c"): 3}) == (b"a", b"bc")
+
+
 def rows_scanned(df):
     """Rows that the scan gave to the plan, after stripes and runs of rows were skipped."""
     plan = df._jdf.queryExecution().executedPlan()

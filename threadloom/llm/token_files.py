@@ -8,7 +8,7 @@ ROW_INDEX rows) and Bloom filters on ``doc_id`` let readers skip stripes and run
 
 Documents are dealt to tasks by ranges of their ids and sorted there, then encoded where they are to be written. A text's ids
 are those of its chunks between ASCII white space one after the other (as in ``token_counts``), so each worker encodes a chunk once and keeps
-it in a bounded cache.
+it in a bounded cache; plain chunks' words are encoded by ranks (``word_ranks``), which takes a third of the library's time.
 
 Defined results: a null text is empty and has the end id alone; rows of one document id stand together, ordered by a hash of
 their texts; null ids come first; repeated rows are written each; texts of any length are encoded in whole, as one row; an empty table
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .base import guarded, importable, shared_dir, table
 from .token_counts import CACHE_SIZE, LONGEST, tokenizer, tokenizer_path
+from .word_ranks import PLAIN, WordRanks, pack
 
 END_ID = 2
 #: Rows of a run of the row index (1,000 is the least that ORC takes), bytes of a stripe, Bloom filters' false positives.
@@ -46,6 +47,7 @@ class ChunkIds(dict):
     def __init__(self, path: str, size: int = CACHE_SIZE, longest: int = LONGEST):
         super().__init__()
         self.tok, self.size, self.longest = tokenizer(path), size, longest
+        self.ranks, self.words = WordRanks.of(path), {}
 
     def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
         """For each text, given as its chunks, the ids of all of them."""
@@ -53,11 +55,19 @@ class ChunkIds(dict):
         if len(self) + len(new) > self.size:
             self.clear()
             new = set(chain.from_iterable(texts))
-        new = list(new)
-        for k in range(0, len(new), 10_000):
-            some = new[k : k + 10_000]
-            for c, e in zip(some, self.tok.encode_batch([c.decode("utf-8", "replace") for c in some], add_special_tokens=False)):
-                self[c] = np.array(e.ids, "<u4").tobytes()
+        if len(self.words) > self.size:
+            self.words.clear()
+        left = []
+        for c in new:
+            s = c.decode("utf-8", "replace")
+            if self.ranks and len(c) <= self.longest and "<|" not in s and PLAIN.fullmatch(s):
+                self[c] = self.ranks.encode(s, self.words)
+            else:
+                left.append((c, s))
+        for k in range(0, len(left), 10_000):
+            some = left[k : k + 10_000]
+            for (c, _), e in zip(some, self.tok.encode_batch([s for _, s in some], add_special_tokens=False)):
+                self[c] = pack(e.ids)
         out = [b"".join(map(self.__getitem__, chunks)) for chunks in texts]
         for c in new:
             if len(c) > self.longest:
