@@ -87,7 +87,9 @@ def test_intervals_by_brute_force():
 
 
 def test_bitmap_holds_all_keys(spark):
-    h = np.random.default_rng(1).integers(-(2**63), 2**63, 5000)
-    bits = m.bitmap(spark.createDataFrame([(int(x),) for x in h], "h bigint"))
-    assert m.member(bits, h.view(np.uint64)).all()
+    rows = [(lang, f"w{i} v{i}" if i % 2 else f"w{i}") for i in range(2500) for lang in ("en", "")]
+    keys = spark.createDataFrame(rows, "lang string, phrase string")
+    h = np.array([r.h for r in keys.mapInArrow(m.phrase_hashes, "h bigint").collect()])
+    bits = m.bitmap(keys)
+    assert m.member(bits, h.view(np.uint64)).all() and len(set(h)) == 5000
     assert m.member(bits, np.random.default_rng(2).integers(0, 2**63, 5000).astype(np.uint64)).mean() < 0.2

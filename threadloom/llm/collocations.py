@@ -33,7 +33,7 @@ from .base import importable, table, written
 LONGEST = 4
 MIN_COUNT, TOP, SCALE, COVER = 30, 2000, 2_000_000, 80
 #: Bytes of text of a shard, from which its arrays take some 15 times as much.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 #: Bits of a bitmap: sixteen for each key, within these powers of two (7 at least).
 SIEVE_BITS = (16, 27)
 #: Separators of pieces become a line feed, a tab a space; everything else stays.
@@ -41,7 +41,7 @@ SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 TO_BLANKS = bytes.maketrans(SEPARATORS + b"\t", b"\n" * len(SEPARATORS) + b" ")
 #: Copies of a part's count, to spread a part that stands in very many phrases.
 SALTS = 8
-ROWS = "lang string, phrase string, h bigint, c bigint"
+ROWS = "lang string, phrase string, c bigint"
 
 
 # --- one shard -----------------------------------------------------------------------------------------------------------
@@ -129,11 +129,30 @@ def member(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[word.astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) != 0
 
 
+def phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of (lang, phrase), phrases of one word or two, as ``shard_rows`` looks them up."""
+    for b in batches:
+        out = np.zeros(b.num_rows, np.uint64)
+        for k, (lang, phrase) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            first, *rest = word_hashes(phrase.encode().split(b" "), [lang] * 2)
+            out[k] = mixed(np.array([first], np.uint64), np.array(rest, np.uint64))[0] if rest else first
+        yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["h"])
+
+
+def word_hashes(words: list[bytes], langs: list[str]) -> list[int]:
+    from xxhash import xxh64_intdigest
+
+    seeds = {x: xxh64_intdigest(x.encode()) for x in set(langs)}
+    return [xxh64_intdigest(w, seeds[x]) for w, x in zip(words, langs)]
+
+
 def bitmap(keys: DataFrame, limits: tuple[int, int] = SIEVE_BITS) -> np.ndarray:
-    """The bits of the hashes ``h`` of a written table, gathered by word on the executors. Its size is bounded by ``limits``."""
+    """The bits of the hashes of a written table's phrases (columns lang, phrase), gathered by word on the executors. Its size is bounded
+    by ``limits``."""
     power = min(max(int(keys.count() * 16).bit_length(), limits[0]), limits[1])
     out = np.zeros(1 << (power - 6), np.uint64)
-    got = keys.groupBy(F.expr(f"shiftrightunsigned(h, {64 - (power - 6)})").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b")).toArrow()
+    h = keys.select("lang", "phrase").mapInArrow(phrase_hashes, "h bigint")
+    got = h.groupBy(F.expr(f"shiftrightunsigned(h, {64 - (power - 6)})").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b")).toArrow()
     out[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
     return out
 
@@ -174,8 +193,6 @@ def parts(text: bytes, size: int) -> Iterator[bytes]:
 def shard_rows(texts: list[bytes], langs: list[str], sizes: tuple[int, ...], frequent: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Counts of the shard's phrases of ``sizes`` words. ``frequent`` is a bitmap of words (for pairs) or of pairs (for more), of which all
     of a phrase's must be in it. With single words come rows without phrase: the number of words of each language."""
-    from xxhash import xxh64_intdigest
-
     w = Words(texts)
     if not len(w.ids):
         return
@@ -185,20 +202,19 @@ def shard_rows(texts: list[bytes], langs: list[str], sizes: tuple[int, ...], fre
     lang, depth = code[w.text], max(sizes)
     distinct, first = np.unique(lang * len(w.vocabulary) + w.ids, return_inverse=True)
     first = first.astype(np.int64) + 1
-    seeds = [xxh64_intdigest(x.encode()) for x in names]
-    word_hash = np.array([xxh64_intdigest(v, seeds[k]) for v, k in zip(w.vocabulary.take(pa.array(distinct % len(w.vocabulary))).to_pylist(), (distinct // len(w.vocabulary)).tolist())], np.uint64)
     ranks = suffix_ranks(first, w.left, depth)
     order = np.argsort(ranks[-1], kind="stable")
     common = lcp(order, ranks, w.left, depth)
-    hashes = word_hash[first - 1]
     passes = None
     if frequent is not None:
+        spelled = w.vocabulary.take(pa.array(distinct % len(w.vocabulary))).to_pylist()
+        hashes = np.array(word_hashes(spelled, [names[k] for k in distinct // len(w.vocabulary)]), np.uint64)[first - 1]
         keys = hashes if sizes == (2,) else np.where(w.left > 1, mixed(hashes, shifted(hashes, 1)), np.uint64(0))
         passes = member(frequent, keys)
     lang_names = pa.array(names, pa.string())
 
-    def rows(lang_codes, phrase, h, c) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([lang_names.take(pa.array(lang_codes)), phrase, pa.array(h.view(np.int64)), pa.array(c)], ["lang", "phrase", "h", "c"])
+    def rows(lang_codes, phrase, c) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([lang_names.take(pa.array(lang_codes)), phrase, pa.array(c)], ["lang", "phrase", "c"])
 
     for n in sizes:
         at, count = intervals(order, common, w.left, n)
@@ -213,21 +229,20 @@ def shard_rows(texts: list[bytes], langs: list[str], sizes: tuple[int, ...], fre
         for k in range(0, len(at), 100_000):
             a, c = at[k : k + 100_000], count[k : k + 100_000]
             words = [w.vocabulary.take(pa.array(w.ids[a + d])).cast(pa.string()) for d in range(n)]
-            h = hashes[a] if n == 1 else mixed(hashes[a], hashes[a + 1])
-            yield rows(lang[a], words[0] if n == 1 else pc.binary_join_element_wise(*words, " "), h, c)
+            yield rows(lang[a], words[0] if n == 1 else pc.binary_join_element_wise(*words, " "), c)
     if sizes == (1,):
         codes, c = np.unique(lang, return_counts=True)
-        yield rows(codes, pa.nulls(len(codes), pa.string()), np.zeros(len(codes), np.uint64), c)
+        yield rows(codes, pa.nulls(len(codes), pa.string()), c)
 
 
 def phrase_counts(docs: DataFrame, sizes: tuple[int, ...], frequent=None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``lang, phrase, h, c`` over all texts (columns _lang, _text): the phrases of ``sizes`` words. ``frequent`` is a broadcast bitmap."""
+    """``lang, phrase, c`` over all texts (columns _lang, _text): the phrases of ``sizes`` words. ``frequent`` is a broadcast bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, langs in shards(batches, shard_bytes):
             yield from shard_rows(texts, langs, sizes, None if frequent is None else frequent.value)
 
-    return docs.mapInArrow(run, ROWS).groupBy("lang", "phrase").agg(F.min("h").alias("h"), F.sum("c").alias("c"))
+    return docs.mapInArrow(run, ROWS).groupBy("lang", "phrase").agg(F.sum("c").alias("c"))
 
 
 # --- scores --------------------------------------------------------------------------------------------------------------
