@@ -35,15 +35,21 @@ def test_entries_in_splits(spark, tmp_path, compression):
         assert (r.title, r.mime, None if r.content is None else bytes(r.content), r.target, r.error) == (w["title"], w["mime"], w["content"], w["target"], None)
 
 
-def test_filters_reach_the_pointer_list(spark, tmp_path):
+def test_what_is_asked_for_is_found_by_bisection(spark, tmp_path):
     rows = fixture(3000)
     uri = written(tmp_path, rows)
-    listing = m.entries(spark, uri, split_entries=10)
     paths = [r["path"] for r in rows]
-    for condition, keep in [("path = 'a/9'", lambda p: p == "a/9"), ("path = 'a/10'", lambda p: False), ("path like 'questions/12%'", lambda p: p.startswith("questions/12")), ("path in ('a/3', 'Title', 'nowhere')", lambda p: p in ("a/3", "Title")), ("namespace = 'M'", lambda p: p == "Title"), ("path like 'long/%' and title like 't%'", lambda p: p.startswith("long/"))]:
-        some = listing.where(condition)
-        assert sorted(r.path for r in some.collect()) == sorted(filter(keep, paths)), condition
-        assert some.rdd.getNumPartitions() <= 13, condition  # of more than 400
+    cases = [
+        ({"paths": ["a/9"]}, lambda p: p == "a/9"), ({"paths": ["a/10"]}, lambda p: False), ({"prefixes": ["questions/12"]}, lambda p: p.startswith("questions/12")),
+        ({"paths": ["a/3", "Title", "nowhere", "a/3"]}, lambda p: p in ("a/3", "Title")), ({"namespaces": ["M"]}, lambda p: p == "Title"), ({"namespaces": ["X"], "prefixes": ["long/"]}, lambda p: p.startswith("long/")),
+        ({"namespaces": ["M"], "prefixes": ["long/"]}, lambda p: False), ({"prefixes": ["a/1", "a/12"], "paths": ["a/12"]}, lambda p: p.startswith("a/1")), ({"paths": []}, lambda p: False),
+    ]
+    for asked, keep in cases:
+        some = m.entries(spark, uri, split_entries=10, **asked)
+        assert sorted(r.path for r in some.collect()) == sorted(filter(keep, paths)), asked
+        assert some.rdd.getNumPartitions() <= 60, asked  # of more than 400
+    both = m.entries(spark, uri, paths=["a/9"]).unionByName(m.entries(spark, uri, paths=["a/3"]))
+    assert sorted(r.path for r in both.collect()) == ["a/3", "a/9"]
 
 
 def test_what_is_no_archive(spark, tmp_path):
@@ -56,7 +62,7 @@ def test_what_is_no_archive(spark, tmp_path):
     got = m.entries(spark, f"file://{tmp_path}").collect()
     assert {r.archive: r.error for r in got if r.path is None} == {"b.bin": "not a packed archive", "c.bin": "not a packed archive", "d.bin": "the archive ends before its lists of pointers"}
     assert sum(r.archive == "a.bin" for r in got) == len(fixture(20)) and not any(r.archive == "e.bin" for r in got)
-    assert [r.archive for r in m.entries(spark, f"file://{tmp_path}").where("path = 'a/3'").collect()] == ["a.bin"]
+    assert [r.archive for r in m.entries(spark, f"file://{tmp_path}", paths=["a/3"]).collect()] == ["a.bin"]
 
 
 def test_damaged_cluster_is_that_entry_s_error(spark, tmp_path):

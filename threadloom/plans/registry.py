@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bindings, checks  # noqa: F401  (checks adds its queries to those of bindings)
+from . import archives, bindings, checks  # noqa: F401  (all add their queries to those of bindings)
 
 
 def queries():

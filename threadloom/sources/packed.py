@@ -2,9 +2,10 @@
 
 An archive begins with a head of 80 bytes. Entries' records are found through a list of 8-byte pointers in the order of their names
 (namespace, then path), contents through a list of pointers to clusters, each compressed as one. ``spark.read.format("packed")`` deals runs of
-the pointer list to tasks; a task reads its pointers, the records they lead to, and, if contents are asked for, each cluster once. Filters on
-``path`` (equal, in, a prefix) and ``namespace`` are answered by bisection of the pointer list before tasks are made, so a search of an archive
-of any size reads some thirty records.
+the pointer list to tasks; a task reads its pointers, the records they lead to, and, if contents are asked for, each cluster once. Paths,
+prefixes and namespaces that are asked for are found by bisection of the pointer list before tasks are made, so a search of an archive of any
+size reads some thirty records. They are arguments, not filters that Spark pushes: it keeps those of a Python source with the relation, and two
+scans of one relation would share them.
 
 Files are opened through pyarrow's stores by their addresses, in tasks as on the driver; nothing is read whole.
 """
@@ -12,6 +13,7 @@ Files are opened through pyarrow's stores by their addresses, in tasks as on the
 from __future__ import annotations
 
 import bisect
+import json
 import lzma
 import struct
 from collections.abc import Iterator
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # Fixed values of the format: the head's layout, its number, kinds of records, compressions, a cluster's flag for wide offsets.
 HEAD = struct.Struct("<IHH16sIIQQQQIIQ")
@@ -165,7 +167,13 @@ def spans(archive: Archive, namespaces: set[str] | None, wanted: list[tuple[byte
                 if first < last:
                     out.append((first, last))
         lo = hi
-    return sorted(set(out))
+    joined: list[tuple[int, int]] = []
+    for low, high in sorted(out):  # a path may be asked for twice, or lie under a prefix
+        if joined and low < joined[-1][1]:
+            joined[-1] = joined[-1][0], max(high, joined[-1][1])
+        else:
+            joined.append((low, high))
+    return joined
 
 
 @dataclass
@@ -180,19 +188,9 @@ class PackedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.size = options["path"], int(options.get("splitentries", SPLIT_ENTRIES))
         self.contents = options.get("content", "false").lower() == "true"
-        self.namespaces: set[str] | None = None
-        self.wanted: list[tuple[bytes, bool]] | None = None
-
-    def pushFilters(self, filters):
-        """Takes the first filter on each column; Spark looks at the others."""
-        for f in filters:
-            values = f.value if isinstance(f, In) else (f.value,) if isinstance(f, (EqualTo, StringStartsWith)) else None
-            if values is not None and f.attribute == ("path",) and self.wanted is None:
-                self.wanted = [(v.encode(), isinstance(f, StringStartsWith)) for v in values if v is not None]
-            elif values is not None and f.attribute == ("namespace",) and self.namespaces is None and not isinstance(f, StringStartsWith):
-                self.namespaces = {v for v in values if v is not None}
-            else:
-                yield f
+        spaces, paths, prefixes = (json.loads(options.get(k, "null")) for k in ("namespaces", "names", "prefixes"))
+        self.namespaces = None if spaces is None else set(spaces)
+        self.wanted = None if paths is None and prefixes is None else [(p.encode(), False) for p in paths or []] + [(p.encode(), True) for p in prefixes or []]
 
     def partitions(self):
         out = []
@@ -249,7 +247,8 @@ class PackedReader(DataSourceReader):
 
 
 class Packed(DataSource):
-    """Entries of the packed archives at ``path`` (a file or a folder of them); options ``content`` and ``splitEntries``."""
+    """Entries of the packed archives at ``path`` (a file or a folder of them); options ``content``, ``splitEntries`` and, as JSON lists, ``namespaces``,
+    ``names`` (paths) and ``prefixes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -262,13 +261,13 @@ class Packed(DataSource):
         return PackedReader({k.lower(): v for k, v in self.options.items()})
 
 
-def entries(spark: SparkSession, path: str, content: bool = False, split_entries: int = SPLIT_ENTRIES) -> DataFrame:
+def entries(spark: SparkSession, path: str, content: bool = False, split_entries: int = SPLIT_ENTRIES, namespaces: list[str] | None = None, paths: list[str] | None = None, prefixes: list[str] | None = None) -> DataFrame:
     """A row for each entry of one archive or a folder of them: its place, namespace, path, title (the path if it has none), kind (item, redirect, link,
-    deleted), for redirects the place they lead to, for items mime and content. A file that is no archive is a row with an error and without path,
-    unless paths are filtered."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    deleted), for redirects the place they lead to, for items mime and content. With ``paths`` or ``prefixes``, those that are one of them or begin
+    with one. A file that is no archive is a row with an error and without path, unless something is asked for."""
     spark.dataSource.register(Packed)
-    return spark.read.format("packed").option("content", str(content).lower()).option("splitEntries", str(split_entries)).load(path)
+    asked = {k: json.dumps(v) for k, v in [("namespaces", namespaces), ("names", paths), ("prefixes", prefixes)] if v is not None}
+    return spark.read.format("packed").options(content=str(content).lower(), splitEntries=str(split_entries), **asked).load(path)
 
 
 def with_targets(listing: DataFrame) -> DataFrame:
@@ -277,6 +276,25 @@ def with_targets(listing: DataFrame) -> DataFrame:
     return listing.join(to, ["archive", "target_pos"], "left")
 
 
+def heads(spark: SparkSession, path: str) -> DataFrame:
+    """``archive, magic, major, minor, uuid, entry_count, cluster_count`` of each archive, from the first bytes alone; a null number for files too short."""
+    return spark.createDataFrame([(u,) for u in listed(path)], "uri string").repartition("uri").mapInArrow(read_heads, HEADS)
+
+
+HEADS = "archive string, magic bigint, major int, minor int, uuid string, entry_count bigint, cluster_count bigint"
+
+
+def read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in HEADS.split(", ")]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+    for b in batches:
+        for uri in b.column(0).to_pylist():
+            with opened(uri) as f:
+                h = head(f.read(HEAD.size)) or {}
+            row = [uri.rsplit("/", 1)[-1], *[h.get(n) for n in names[1:]]]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
+
+
 # --- building ------------------------------------------------------------------------------------------------------------
 
 
