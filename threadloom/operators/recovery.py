@@ -51,16 +51,26 @@ def archive_manifest(classified: DataFrame) -> DataFrame:
 def match_posts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """``lines``: (line_no, line); ``wanted``: (hash). ``hash, source_url``: a name counts where it is first seen, a hash with the
     first name whose candidates have it, and the address is always the live one."""
+    return match_names(first_seen(lines), wanted)
+
+
+def first_seen(lines: DataFrame) -> DataFrame:
+    """``name, _at``: each name of the lines with the place where it is first seen."""
     names = lines.select("line_no", F.posexplode_outer(urls.dump_names(F.col("line"))).alias("_pos", "name")).where("name is not null")
-    return match_names(names.groupBy("name").agg(F.min(F.struct("line_no", "_pos")).alias("_at")), wanted)
+    return names.groupBy("name").agg(F.min(F.struct("line_no", "_pos")).alias("_at"))
 
 
 def match_names(names: DataFrame, wanted: DataFrame) -> DataFrame:
     """``names``: (name, _at), distinct. Names are deduplicated before candidates multiply them."""
+    best = first_hits(names, wanted)
+    return best.select("hash", F.concat(F.lit(f"https://{urls.PRIMARY_HOST}/"), F.col("name")).alias("source_url"))
+
+
+def first_hits(names: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``hash, name, _first``: the first name whose candidates have a hash, and its place (of the name, then of the candidate)."""
     forms = names.select("name", "_at", F.posexplode(urls.posts_candidates(F.col("name"))).alias("_form", "_url")).withColumn("hash", urls.image_key(F.col("_url")))
     hit = forms.join(wanted.select("hash").distinct(), "hash", "left_semi")
-    best = hit.groupBy("hash").agg(F.min_by("name", F.struct("_at", "_form")).alias("name"))
-    return best.select("hash", F.concat(F.lit(f"https://{urls.PRIMARY_HOST}/"), F.col("name")).alias("source_url"))
+    return hit.groupBy("hash").agg(F.min(F.struct("_at", "_form", "name")).alias("_m")).select("hash", "_m.name", F.struct("_m._at", "_m._form").alias("_first"))
 
 
 def match_history(lines: DataFrame, wanted: DataFrame) -> DataFrame:
