@@ -8,7 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.functions import candidates, media, pages, records, urls
+from threadloom.functions import candidates, host_rules, media, pages, records, urls
 from threadloom.operators import archive, audit, decisions, incremental, manifests, ranking, recovery
 from threadloom.sources import readers, sinks
 
@@ -88,15 +88,44 @@ def test_sniffing(spark):
     assert one(spark, media.ext_matches(F.lit(".webp"), F.lit(bytearray(b"RIFF....WEBP")))) is True
 
 
-def test_special_candidates():
-    assert [c.rsplit("/", 1)[1] for c in candidates.special("https://www.youtube.com/watch?v=k1")] == [f"{t}.jpg" for t in candidates.THUMBS]
-    assert candidates.special("https://youtu.be/k1") == candidates.special("https://youtube.com/shorts/k1")
-    assert candidates.special("https://travis-ci.org/o/r") == ["https://travis-ci.org/o/r.svg", "https://travis-ci.org/o/r.png", "https://api.travis-ci.org/o/r.svg?branch=master"]
-    assert candidates.special("https://github.com/o/r/blob/main/a/b.png") == ["https://raw.githubusercontent.com/o/r/main/a/b.png"]
-    assert candidates.special("https://www.dropbox.com/s/x?dl=0") == ["https://www.dropbox.com/s/x?dl=1"]
-    assert candidates.special("https://imgur.com/abc")[0] == "https://i.imgur.com/abc.png"
-    assert candidates.special(f"https://camo.githubusercontent.com/d/{b'https://o.org/a'.hex()}") == ["https://o.org/a"]
-    assert candidates.special(None) == []
+SPECIAL = {
+    "https://www.youtube.com/watch?v=k1": [f"https://i.ytimg.com/vi/k1/{x}.jpg" for x in host_rules.THUMBS],
+    "https://youtu.be/k1/": [f"https://i.ytimg.com/vi/k1/{x}.jpg" for x in host_rules.THUMBS],
+    "https://www.youtube.com/shorts/abc?v=xyz": [f"https://i.ytimg.com/vi/abc/{x}.jpg" for x in host_rules.THUMBS],
+    "https://www.youtube.com/watch?v=&t=1&v=a%2Db+c": [f"https://i.ytimg.com/vi/a-b c/{x}.jpg" for x in host_rules.THUMBS],
+    "https://www.youtube.com/watch?list=v": [],
+    "https://www.youtube.com/shorts/": [],
+    "https://travis-ci.org/o/r": ["https://travis-ci.org/o/r.svg", "https://travis-ci.org/o/r.png", "https://api.travis-ci.org/o/r.svg?branch=master"],
+    "https://IMG.shields.io/x.svg?a": ["https://img.shields.io/x.svg.png", "https://IMG.shields.io/x.svg?a"],
+    "https://img.shields.io/x": ["https://img.shields.io/x.svg", "https://img.shields.io/x.png", "https://img.shields.io/x", "https://img.shields.io/x?style=flat"],
+    "https://codecov.io/gh/o/r/branch/x": ["https://codecov.io/gh/o/r/branch/x.svg", "https://codecov.io/gh/o/r/branch/x.png", "https://codecov.io/gh/o/r/branch/x/branch/master/graph/badge.svg"],
+    "https://github.com/o/r/blob/main/a/b.png": ["https://raw.githubusercontent.com/o/r/main/a/b.png"],
+    "https://github.com/o/r/tree/blob/main/x.png": ["https://raw.githubusercontent.com/o/r/blob/main/x.png"],
+    "https://github.com/o/r/blob/main": [],
+    "https://www.dropbox.com/s/x?dl=0": ["https://www.dropbox.com/s/x?dl=1"],
+    "https://www.dropbox.com/s/x": ["https://www.dropbox.com/s/x?dl=1"],
+    "https://www.dropbox.com/s/x?b=1&c=*~%20&dl=0&b=2#f": ["https://www.dropbox.com/s/x?b=1&b=2&c=%2A~+&dl=1#f"],
+    "https://1drv.ms/a": ["https://1drv.ms/a?download=1"],
+    "https://imgur.com/a/.abc.tar.gz/": [f"https://i.imgur.com/.abc.tar{e}" for e in host_rules.PICTURE_EXT],
+    "https://i.imgur.com/abc": [],
+    "https://imgur.com/": [],
+    "https://www.plantuml.com/plantuml/uml/A?/plantuml/uml/": [f"https://www.plantuml.com/plantuml/{k}/A?/plantuml/{k}/" for k in ("png", "svg")],
+    "https://mermaid.live/edit#pako:x#pako:y": ["https://mermaid.ink/img/pako:x#pako:y", "https://mermaid.ink/svg/pako:x#pako:y"],
+    f"https://camo.githubusercontent.com/d/{b'https://o.org/a'.hex()}": ["https://o.org/a"],
+    "https://camo.githubusercontent.com/d/zz": [],
+    "no address": [],
+    None: [],
+}
+
+
+def test_special_candidates(spark):
+    got = spark.createDataFrame([(u,) for u in SPECIAL], "u string").select("u", host_rules.special_candidates(F.col("u")).alias("c")).collect()
+    assert {r.u: r.c for r in got} == SPECIAL
+
+
+def test_largest_of_srcset():
+    for value, want in {"a 1x, b 3x,c 2x": ("b", 3), "a 100w, b 100w": ("a", 100), "a, b": (None, 0), "a 0w, b -2x": (None, 0), "": (None, 0), "a 1.5x, b 1x": ("b", 1), "x y 7w": ("x y", 7)}.items():
+        assert candidates.largest_of_srcset(value) == want
 
 
 def test_eleven_edge_candidates(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import candidates, media, pages, urls
+from ..functions import candidates, host_rules, media, pages, urls
 from . import ranking
 
 
@@ -97,7 +97,7 @@ def edge_candidates(classified: DataFrame) -> DataFrame:
     the cleaned address; an address counts once for a hash."""
     c = classified.withColumn("_u", urls.clean_url(F.col("source_url")))
     c = c.where(urls.worth_trying(F.col("_u")))
-    forms = c.withColumn("_all", F.array_append(candidates.special_candidates("_u"), F.col("_u")))
+    forms = c.withColumn("_all", F.array_append(host_rules.special_candidates(F.col("_u")), F.col("_u")))
     each = forms.select("hash", "seq", F.coalesce(F.nullif("source_class", F.lit("")), F.lit("other_http")).alias("source_class"), F.posexplode("_all").alias("_pos", "url"))
     one = ranking.first_wins(each, ["hash", "url"], ["seq", "_pos"])
     return one.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy("seq", "_pos"))).select("hash", "rank", "url", "source_class")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import candidates, media, pages, records, urls
+from ..functions import candidates, host_rules, media, pages, records, urls
 from ..operators import archive, audit, decisions, incremental, manifests, ranking, recovery
 
 QUERIES: dict = {}
@@ -584,11 +584,28 @@ def camo_decode(spark, d):
     return t(spark, d, "part").select("p_partkey", urls.decode_camo(path).alias("url"))
 
 
-@query("edge_candidates")
+#: Addresses by remainder of the part's key (its place marked by {}), and what the host rules make of each.
+EDGES = [
+    ("https://youtu.be/{}", [f"https://i.ytimg.com/vi/{{}}/{x}.jpg" for x in host_rules.THUMBS]),
+    ("https://travis-ci.org/o/{}", ["https://travis-ci.org/o/{}.svg", "https://travis-ci.org/o/{}.png", "https://api.travis-ci.org/o/{}.svg?branch=master"]),
+    ("https://github.com/o/r/tree/blob/main/{}.png", ["https://raw.githubusercontent.com/o/r/blob/main/{}.png"]),
+    ("https://www.youtube.com/shorts/{}?v=xyz", [f"https://i.ytimg.com/vi/{{}}/{x}.jpg" for x in host_rules.THUMBS]),
+    ("https://www.dropbox.com/s/x?b=1&dl=0&a=%20{}&b=2", ["https://www.dropbox.com/s/x?b=1&b=2&dl=1&a=+{}"]),
+    ("https://m.imgur.com/gallery/{}.jpg", [f"https://i.imgur.com/{{}}{x}" for x in host_rules.PICTURE_EXT]),
+    ("https://www.youtube.com/watch?a=1&v=a%2Db{}", [f"https://i.ytimg.com/vi/a-b{{}}/{x}.jpg" for x in host_rules.THUMBS]),
+    ("http://www.plantuml.com/plantuml/uml/{}#x", ["http://www.plantuml.com/plantuml/png/{}#x", "http://www.plantuml.com/plantuml/svg/{}#x"]),
+]
+EDGES_SQL = ", ".join(f"({i}, {pos}, '{form}')" for i, (own, forms) in enumerate(EDGES) for pos, form in enumerate([*forms, own]))
+
+
+@query("edge_candidates", f"""
+WITH each AS (SELECT md5(p_name) AS hash, p_partkey AS seq, pos, replace(form, '{{}}', p_partkey::VARCHAR) AS url FROM part JOIN (VALUES {EDGES_SQL}) v(i, pos, form) ON p_partkey % {len(EDGES)} = i),
+one AS (SELECT * FROM each QUALIFY row_number() OVER (PARTITION BY hash, url ORDER BY seq, pos) = 1)
+SELECT hash, row_number() OVER (PARTITION BY hash ORDER BY seq, pos) AS rank, url, 'other_http' AS source_class FROM one""")
 def edge_candidates(spark, d):
-    """Special forms and cleaned addresses of each hash in order (host rules need a query parser)."""
+    """Special forms and cleaned addresses of each hash in order."""
     k = F.col("p_partkey")
-    url = F.when(k % 3 == 0, F.concat(F.lit("https://youtu.be/"), k)).when(k % 3 == 1, F.concat(F.lit("https://travis-ci.org/o/"), k)).otherwise(F.concat(F.lit("https://github.com/o/r/blob/main/"), k, F.lit(".png")))
+    url = F.replace(F.get(F.array(*[F.lit(own) for own, _ in EDGES]), (k % len(EDGES)).cast("int")), F.lit("{}"), k.cast("string"))
     return recovery.edge_candidates(t(spark, d, "part").select(F.md5("p_name").alias("hash"), k.alias("seq"), url.alias("source_url"), F.lit("other_http").alias("source_class")))
 
 
