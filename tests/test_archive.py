@@ -342,3 +342,9 @@ def test_stream_equals_batch(spark):
     a = {tuple(r) for r in scan.names_to_matches(spark, names, list("0123456789abcdef")).select("name", "url").collect()}
     b = {tuple(r) for r in scan.matches(names, list("0123456789abcdef")).select("name", "url").collect()}
     assert a == b and len(a) == 9
+
+
+def test_redirects_are_a_list_by_their_type(spark):
+    rows = [("a", '{"answer_redirects":[]}'), ("b", '{"answer_redirects":"[1]"}'), ("c", '{"answer_redirects":null}'), ("d", "[]"), ("e", None), ("f", '{"answer_redirects":[{"x":1},"y"]}'), ("g", '{"answer_redirects":{"0":1}}')]
+    r = audit.answer_redirects(spark.createDataFrame(rows, "path string, json string")).first()
+    assert (r.status, r.n) == ("FAIL", 5)

@@ -95,9 +95,13 @@ def is_unrecoverable(url: Column) -> Column:
     return F.lower(url).rlike(f"^(?:{'|'.join(p.replace('.', '[.]') for p in HOPELESS)})")
 
 
+def is_usable(url: Column) -> Column:
+    return url.rlike("^https?://")
+
+
 def worth_trying(url: Column) -> Column:
-    """An http(s) address that isn't hopeless, by one pattern."""
-    return url.rlike(f"^(?!(?i:{'|'.join(p.replace('.', '[.]') for p in HOPELESS)}))https?://")
+    """An http(s) address that isn't hopeless."""
+    return is_usable(url) & ~is_unrecoverable(url)
 
 
 def decode_camo(path: Column) -> Column:
