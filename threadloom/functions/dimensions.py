@@ -81,6 +81,10 @@ def _jpeg(c: Column) -> Column:
 def dimensions(content: Column) -> Column:
     """struct(width, height) by the kind of the bytes; null where there is none or the head is cut off. Leading white space, which kinds overlook,
     makes a head unreadable, as it would for a decoder."""
+    return urls.let(content, _dimensions)
+
+
+def _dimensions(content: Column) -> Column:
     h = F.hex(F.substring(content, 1, 12))
     png = F.when(F.hex(F.substring(content, 13, 4)) == "49484452", pair(number(content, 16, 4), number(content, 20, 4)))
     gif = pair(number(content, 6, 2, True), number(content, 8, 2, True))
