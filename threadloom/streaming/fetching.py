@@ -25,7 +25,12 @@ ITEM = "url string, attempt int, due bigint, seq bigint"
 LONGEST_WAIT = 60.0
 #: Fetches of a host in one micro-batch; the rest wait for the next timer.
 PER_BATCH = 64
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The one store that keeps state by key and timers; changes of a batch instead of copies of all state, and few batches kept.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+}
 
 #: url, attempt from 0 -> (HTTP status or None for a network error, payload, Retry-After in seconds or None)
 Fetcher = Callable[[str, int], tuple[int | None, bytes, float | None]]
@@ -117,17 +122,15 @@ def run(items: DataFrame, out: str, checkpoint: str, fetch: Fetcher, stop: Calla
     open, in its attempt."""
     spark = items.sparkSession
     ledger = Ledger(spark, out, OUTCOMES)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, STATE_STORE)  # the one store that keeps state by key and timers
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
     try:
         sink = outcomes(items, fetch, **options).writeStream.outputMode("append").foreachBatch(lambda rows, number: ledger.put(number, rows))
         query = sink.option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
     finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     try:
         while not query.awaitTermination(every):
             if stop(ledger):
