@@ -113,6 +113,43 @@ def test_near_duplicates_that_share_a_common_passage(spark, monkeypatch):
     assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
 
 
+def test_equal_parts_find_all_similar_sets():
+    """Pairs at the very threshold, of all sizes: one part is equal at least, in the group of the smaller set's band."""
+    r = np.random.default_rng(5)
+    for percent in (80, 85):
+        for n in [*range(1, 60), 150, 700, 4000]:
+            s = r.integers(0, 1 << 62, n, dtype=np.uint64)
+            off = n * (100 - percent) // (100 + percent)
+            more = int(n * 100 / percent) - n
+            near = [np.r_[s[off:], r.integers(0, 1 << 62, off, dtype=np.uint64)], np.r_[s, r.integers(0, 1 << 62, more, dtype=np.uint64)]]
+            for t in near:
+                band = [math.floor(math.log(len(x)) / math.log(100 / percent)) for x in (s, t)]
+                assert band[1] - band[0] in (0, 1)
+                assert np.intersect1d(*[minhash.part_keys(np.unique(x), band[0], percent) for x in (s, t)]).size
+
+
+def pool_texts(n, seed):
+    """Texts of six sentences out of a pool of 24: many share sentences, few are near each other."""
+    r, pool = random.Random(seed), [prose(17, 9000 + k) for k in range(24)]
+    return [" ".join(r.sample(pool, 6)) for _ in range(n)]
+
+
+def test_near_duplicates_out_of_a_pool_of_sentences(spark, monkeypatch):
+    """Pairs compared last grow with the documents, not with the pairs that share a sentence; near ones among them are found."""
+    across = []
+    for n in (200, 400):
+        texts = pool_texts(n, n)
+        texts += [edited(t, 2, 70 + k) for k, t in enumerate(texts[:12])]
+        sizes, write = [], minhash.written
+        monkeypatch.setattr(minhash, "written", lambda df, name: (sizes.append(out.count()) if name == "across" else None, out)[1] if (out := write(df, name)) is not None else None)
+        got = rows(minhash.near_duplicates(frame(spark, texts), shingle=3, percent=85))
+        monkeypatch.setattr(minhash, "written", write)
+        want = brute_components(dict(enumerate(texts, 1)), 3, 85)
+        assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
+        across.append(sum(sizes))
+    assert across[1] < 3 * across[0], across
+
+
 def test_near_duplicates_empty_and_repeated(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     d = frame(spark, ["a b c d e f", "a b c d e f"])

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .base import guarded, importable, table, written
+from .base import guarded, importable, narrowed, table, written
 from .components import components
 from .shingles import mix, sets
 
@@ -40,6 +40,8 @@ SIGMAS, LONG_LIST = 5.5, 48
 BROADCAST_ROWS = 400_000
 #: Rows of one list that one group of the last comparison holds. Pairs for each row of a list up to which heads aren't sought.
 BLOCK, PAIRS_A_ROW = 512, 8
+#: Rows of one list that meet its heads in one group.
+HEAD_BLOCK = 20_000
 #: Pairs of one document that one group of the exact check holds.
 GROUP = 256
 
@@ -120,12 +122,13 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFram
 
 
 def check_batches(batches: Iterator[pa.RecordBatch], kind: pa.DataType, shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (_x, _salt, _role, _y, _text), sorted: the text of x (role 0), then of its candidates."""
+    """Rows (_x, _salt, _role, _y, and _text or _sk, a full set), sorted: the text or set of x (role 0), then of its candidates."""
     now, heads = None, []
     for b in batches:
         xs, salts, roles, ys = (b.column(i).to_pylist() for i in range(4))
-        out = []
-        for x, salt, role, y, s in zip(xs, salts, roles, ys, sets(b.column(4).cast(pa.binary()).to_pylist(), shingle)):
+        out, last = [], b.column(4)
+        made = (v.values.to_numpy() for v in last) if pa.types.is_list(last.type) else sets(last.cast(pa.binary()).to_pylist(), shingle)
+        for x, salt, role, y, s in zip(xs, salts, roles, ys, made):
             if (x, salt) != now:
                 now, heads = (x, salt), []
             if role == 0:
@@ -140,32 +143,84 @@ def check_batches(batches: Iterator[pa.RecordBatch], kind: pa.DataType, shingle:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], kind), pa.array([y for _, y in out], kind)], ["_x", "_y"])
 
 
-def full_prefixes(d: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``d``: (_id, _text). Rows (_v, _id, _n, _r) of the full sets' values that two sets share at least, rarest first, as far
-    as a set similar enough must have one of them; ``_r`` tells how many values of the set are left from this one on."""
+def full_sets(d: DataFrame, shingle: int) -> DataFrame:
+    """``d``: (_id, _text). The different full sets of each id, (_id, _n, _f1, _f2, _sk)."""
     name = d.schema["_id"].dataType.simpleString()
     full = d.mapInArrow(lambda b: sketch_batches(b, shingle, None), f"_id {name}, _n bigint, _f1 bigint, _f2 bigint, _sk array<bigint>").where("_n > 0")
+    return written(full.dropDuplicates(["_id", "_n", "_f1", "_f2"]), "full-sets")
+
+
+def full_prefixes(full: DataFrame, percent: int) -> DataFrame:
+    """``full``: full sets. Rows (_v, _id, _n, _r) of the values that two sets share at least, rarest first, as far as a set similar
+    enough must have one of them; ``_r`` tells how many values of the set are left from this one on."""
     key = ["_id", "_n", "_f1", "_f2"]
-    full = written(full.dropDuplicates(key), "full-sets")
     rows = full.select(*key, F.explode_outer("_sk").alias("_v"))
     shared = written(rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1"), "full-values")
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("_df"), F.desc("_v")))
     return rows.join(guarded(shared, BROADCAST_ROWS), "_v").withColumn("_r", rank).where(100 * F.col("_r") >= percent * F.col("_n")).select("_v", "_id", "_n", "_r")
 
 
+def part_numbers(group: int, percent: int) -> tuple[int, int]:
+    """Of a group of sizes, the bands ``group`` and the one above it: the number of parts that values are dealt to, and how many parts
+    may be empty before empty ones count as well."""
+    most = int((100 / percent) ** (group + 2)) + 1
+    differ = 2 * most * (100 - percent) // (100 + percent)
+    spare = differ // 6 + 1
+    return differ + 1 + spare, spare
+
+
+def part_keys(s: np.ndarray, group: int, percent: int) -> np.ndarray:
+    """Hashes of the parts of a set. Of two sets of the group that are similar enough, at most ``differ`` values stand in one alone, so
+    more than ``spare`` parts are equal. Either one of these isn't empty, or both sets have more than ``spare`` empty parts."""
+    m, spare = part_numbers(group, percent)
+    part = mix(s + np.uint64(177)) % np.uint64(m)
+    order = np.argsort(part, kind="stable")
+    at = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0])
+    place, sums = part[order][at], np.add.reduceat(mix(s + np.uint64(277))[order], at)
+    if m - len(place) > spare:
+        none = np.setdiff1d(np.arange(m, dtype=np.uint64), place, assume_unique=True)
+        place, sums = np.r_[place, none], np.r_[sums, np.zeros(len(none), np.uint64)]
+    return mix(mix(sums) + place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(group + 2)).view(np.int64)
+
+
+def part_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Columns _id, _n, _band, _sk. The parts of each set in the group that its band begins (``_own``), and in the one that it ends."""
+    for b in batches:
+        own, other, n1, n2 = [], [], [0], [0]
+        for v, band in zip(b.column(3), b.column(2).to_pylist()):
+            s = v.values.to_numpy().view(np.uint64)
+            own.append(part_keys(s, band, percent))
+            other.append(part_keys(s, band - 1, percent))
+            n1.append(n1[-1] + len(own[-1]))
+            n2.append(n2[-1] + len(other[-1]))
+        lists = [pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))) for n, x in ((n1, own), (n2, other))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *lists], ["_id", "_n", "_band", "_ours", "_others"])
+
+
+def parts(full: DataFrame, percent: int) -> DataFrame:
+    """``full``: (_id, _n, _band, _sk). Rows (_v, _id, _n, _band, _own) of the parts of these sets that two sets share at least."""
+    name = full.schema["_id"].dataType.simpleString()
+    d = full.mapInArrow(lambda b: part_batches(b, percent), f"_id {name}, _n bigint, _band int, _ours array<bigint>, _others array<bigint>")
+    rows = d.select("_id", "_n", "_band", F.size("_ours").alias("_k"), F.posexplode_outer(F.concat("_ours", "_others")).alias("_i", "_v"))
+    rows = written(rows.select("_v", "_id", "_n", "_band", (F.col("_i") < F.col("_k")).alias("_own")), "parts")
+    shared = written(rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_v"), "shared-parts")
+    return narrowed(rows, shared, "_v").join(shared, "_v")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The written pairs (_x, _y) whose full sets are similar enough."""
+    """The written pairs (_x, _y) whose full sets are similar enough. ``docs``: (_id, and _text or _sk, a full set)."""
+    last = "_sk" if "_sk" in docs.columns else "_text"
     salted = pairs.join(pairs.groupBy("_x").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("_salts")), "_x")
     salted = written(salted.withColumn("_salt", F.pmod(F.xxhash64("_y"), "_salts")), "salted-pairs")
     ids = guarded(written(pairs.select(F.explode(F.array("_x", "_y")).alias("_id")).distinct(), "pair-ids"), BROADCAST_ROWS)
     texts = docs.join(ids, "_id", "left_semi")
     heads = salted.select("_x", "_salt").distinct().withColumn("_id", F.col("_x"))
-    rows = heads.join(texts, "_id").select("_x", "_salt", F.lit(0).alias("_role"), F.col("_id").alias("_y"), "_text")
-    rows = rows.unionByName(salted.select("_x", "_salt", F.col("_y").alias("_id")).join(texts, "_id").select("_x", "_salt", F.lit(1).alias("_role"), F.col("_id").alias("_y"), "_text"))
+    rows = heads.join(texts, "_id").select("_x", "_salt", F.lit(0).alias("_role"), F.col("_id").alias("_y"), last)
+    rows = rows.unionByName(salted.select("_x", "_salt", F.col("_y").alias("_id")).join(texts, "_id").select("_x", "_salt", F.lit(1).alias("_role"), F.col("_id").alias("_y"), last))
     kind = docs.schema["_id"].dataType
     arrow, name = to_arrow_type(kind), kind.simpleString()
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts, "_x", "_salt").sortWithinPartitions("_x", "_salt", "_role")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(tasks, "_x", "_salt").sortWithinPartitions("_x", "_salt", "_role")
     return ordered.mapInArrow(lambda b: check_batches(b, arrow, shingle, percent), f"_x {name}, _y {name}")
 
 
@@ -197,8 +252,8 @@ def link_nodes(nodes: DataFrame, d: DataFrame, shingle: int, percent: int, k: in
     band = F.floor(F.log(F.col("_n")) / math.log(100 / percent)).cast("int")
     lists = written(prefixes(nodes, percent, k).withColumn("_band", band), "lists")
 
-    def check(pairs: DataFrame) -> DataFrame:
-        return written(verified(written(likely(pairs, nodes, percent, k), "likely"), d, shingle, percent), "links")
+    def check(pairs: DataFrame, texts: DataFrame = d) -> DataFrame:
+        return written(verified(written(likely(pairs, nodes, percent, k), "likely"), texts, shingle, percent), "links")
 
     def across(rows: DataFrame, tried: DataFrame) -> DataFrame:
         """Pairs of rows (_v, _id, _n, _band, _comp) of one list in different components."""
@@ -208,14 +263,12 @@ def link_nodes(nodes: DataFrame, d: DataFrame, shingle: int, percent: int, k: in
         return written(ordered(pairs).distinct().join(ordered(tried), ["_x", "_y"], "left_anti"), "across")
 
     tried = written(star(lists, percent), "star")
-    links = check(tried)
-    comp = components(links)
+    comp = components(check(tried))
 
     short = named(lists.where("not _long"), comp)
     mixed = short.groupBy("_v").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"), F.count(F.lit(1)).alias("_c")).where("_lo <> _hi and _c > 2").select("_v")
     rest = across(written(short.join(guarded(written(mixed, "mixed-lists"), BROADCAST_ROWS), "_v"), "open-lists"), tried)
-    links = written(links.unionByName(check(rest)), "links")
-    comp = components(links)
+    comp = merged(comp, check(rest))
 
     long = named(lists.where("_long"), comp).withColumn("_band", F.explode(bands()))
     mixed = long.groupBy("_v", "_band").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo <> _hi").select("_v", "_band")
@@ -223,22 +276,48 @@ def link_nodes(nodes: DataFrame, d: DataFrame, shingle: int, percent: int, k: in
     ids = guarded(written(ids, "long-documents"), BROADCAST_ROWS)
     if ids.isEmpty():
         return comp
-    rows = full_prefixes(d.join(ids, "_id", "left_semi"), shingle, percent)
-    rows = written(rows.join(ids, "_id").withColumn("_band", band), "full-lists")
-    return full_links(rows, tried.unionByName(rest), links, comp, check, percent)
+    full = full_sets(d.join(ids, "_id", "left_semi"), shingle)
+    rows = written(full_prefixes(full, percent).join(ids, "_id").withColumn("_band", band), "full-lists")
+    return full_links(rows, full.withColumn("_band", band), tried.unionByName(rest), comp, check, percent)
+
+
+def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp``: (_node, _comp) with the written links (_x, _y) added. Components are nodes of the new rounds, which cost as much as there is new."""
+    at = {c: named(links.select(F.col(c).alias("_id")).distinct(), comp).select(F.col("_id").alias(c), F.col("_comp").alias(c + "c")) for c in ("_x", "_y")}
+    new = components(links.join(at["_x"], "_x").join(at["_y"], "_y").select(F.col("_xc").alias("_x"), F.col("_yc").alias("_y")))
+    to = guarded(new.select(F.col("_node").alias("_old"), F.col("_comp").alias("_new")), BROADCAST_ROWS)
+    old = comp.withColumnRenamed("_comp", "_old").join(to, "_old", "left").select("_node", F.coalesce("_new", "_old").alias("_comp"))
+    # What was alone until now.
+    return written(old.unionByName(new.join(comp.select("_node"), "_node", "left_anti").select("_node", "_comp")), "components")
 
 
 def named(df: DataFrame, comp: DataFrame) -> DataFrame:
     return df.join(comp.select(F.col("_node").alias("_id"), "_comp"), "_id", "left").withColumn("_comp", F.coalesce("_comp", "_id"))
 
 
-def full_links(rows: DataFrame, tried: DataFrame, links: DataFrame, comp: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """``rows``: (_v, _id, _n, _r, _band, _common) of full prefixes. The components once all pairs of one list that are in different
-    ones, and that sizes and places in the lists don't rule out, have been checked.
+def cheaper(at: DataFrame, full: DataFrame, comp: DataFrame, least: Column, percent: int) -> DataFrame:
+    """Lists of the last comparison, (_v, _id, _n, _r, _band, _comp, _c, _asks). They are those of ``at`` and those of equal parts: either
+    kind alone holds all pairs wanted. A document asks in the kind in which its lists are shorter (``_asks``) and is found in both."""
+    sets = full.join(at.select("_id").distinct(), "_id", "left_semi").select("_id", "_n", "_band", "_sk")
+    part = named(parts(sets, percent), comp)
+    mixed = part.groupBy("_v").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"), F.count(F.lit(1)).alias("_c")).where("_lo <> _hi").select("_v", "_c")
+    part = written(part.join(guarded(written(mixed, "mixed-parts"), BROADCAST_ROWS), "_v"), "open-parts")
+    cost = at.where(least).groupBy("_id").agg(F.sum("_c").alias("_a")).join(part.where("_own").groupBy("_id").agg(F.sum("_c").alias("_b")), "_id", "left")
+    cost = guarded(written(cost.select("_id", (F.col("_a") > F.coalesce("_b", F.lit(0))).alias("_by_parts")), "costs"), BROADCAST_ROWS)
+    columns = ["_v", "_id", "_n", "_r", "_band", "_comp", "_c", "_asks"]
+    a = at.join(cost, "_id", "left").withColumn("_asks", least & F.coalesce(~F.col("_by_parts"), F.lit(False))).select(columns)
+    b = part.join(cost, "_id", "left").withColumn("_asks", F.col("_own") & F.coalesce("_by_parts", F.lit(False))).withColumn("_r", F.col("_n")).select(columns)
+    return written(a.unionByName(b), "last-lists")
+
+
+def full_links(rows: DataFrame, full: DataFrame, tried: DataFrame, comp: DataFrame, check: Callable[[DataFrame, DataFrame], DataFrame], percent: int) -> DataFrame:
+    """``rows``: (_v, _id, _n, _r, _band, _common) of full prefixes, ``full``: (_id, _n, _band, _sk) their sets. The components once all
+    pairs of one list that are in different ones, and that sizes and places in the lists don't rule out, have been checked.
 
     While these pairs are many, heads come first: one for each list and band, then four, then sixteen, out of components
-    that have had none in the list. They join what belongs together at a cost in proportion to the documents. Whatever
-    they leave open is compared pair by pair, large lists in blocks.
+    that have had none in the list. They join what belongs together at a cost in proportion to the documents. What they
+    leave open is compared in lists, large ones in blocks: those of ``rows``, or, where common values make too many pairs of these,
+    those of equal parts (``cheaper``).
     """
     heads, new, buckets = None, None, 1
     # Rows that may be the smaller set of a pair.
@@ -252,18 +331,22 @@ def full_links(rows: DataFrame, tried: DataFrame, links: DataFrame, comp: DataFr
         n, pairs = mixed.agg(F.coalesce(F.sum("_c"), F.lit(0)), F.coalesce(F.sum("_pairs"), F.lit(0))).first()
         if n == 0:
             return comp
-        last = pairs <= PAIRS_A_ROW * n or new == 0
+        few = pairs <= PAIRS_A_ROW * n
+        last = few or new == 0
         x = at
         if last:
-            x = at.where(least).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.floor(F.col("_c") / BLOCK))))
+            at = at.withColumn("_asks", least) if few else cheaper(at, full, comp, least, percent)
+            x = at.where("_asks").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.floor(F.col("_c") / BLOCK))))
             y = at.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.floor(F.col("_c") / BLOCK) + 1))
         else:
             if heads is not None:
                 x = at.join(named(heads, comp).select("_v", "_comp").distinct(), ["_v", "_comp"], "left_anti")
             x = x.groupBy("_v", "_band", F.pmod(F.xxhash64("_id"), F.lit(buckets)).alias("_b")).agg(F.min(F.struct((-F.col("_common")).alias("c"), "_id", "_n", "_r", "_comp")).alias("_h"))
-            x = written(x.select("_v", "_band", F.lit(0).cast("bigint").alias("_salt"), "_h._id", "_h._n", "_h._r", "_h._comp"), "heads")
-            y = at.withColumn("_salt", F.lit(0).cast("bigint"))
+            x = written(x.select("_v", "_band", "_h._id", "_h._n", "_h._r", "_h._comp"), "heads")
             heads = x.select("_v", "_id") if heads is None else heads.unionByName(x.select("_v", "_id"))
+            # Heads are few; each meets every block of its list.
+            x = x.join(mixed.select("_v", "_c"), "_v").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.floor(F.col("_c") / HEAD_BLOCK))))
+            y = at.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.floor(F.col("_c") / HEAD_BLOCK) + 1))
             buckets *= 4
         x = x.select("_v", "_band", "_salt", F.col("_id").alias("_x"), F.col("_n").alias("_xn"), F.col("_r").alias("_xr"), F.col("_comp").alias("_xc"))
         y = y.select("_v", F.explode(bands()).alias("_band"), "_salt", F.col("_id").alias("_y"), F.col("_n").alias("_yn"), F.col("_r").alias("_yr"), F.col("_comp").alias("_yc"))
@@ -273,11 +356,10 @@ def full_links(rows: DataFrame, tried: DataFrame, links: DataFrame, comp: DataFr
         if last:
             both = both.where("_xn <= _yn")
         both = written(ordered(both).distinct().join(ordered(tried), ["_x", "_y"], "left_anti"), "across")
-        found = check(both)
+        found = check(both, full.select("_id", "_sk"))
         new = found.count()
         if new:
-            links = written(links.unionByName(found), "links")
-            comp = components(links)
+            comp = merged(comp, found)
         if last:
             return comp
         tried = tried.unionByName(both)
