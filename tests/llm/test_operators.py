@@ -645,3 +645,31 @@ def test_decontamination(spark):
         assert (got[i].n_words, got[i].n_hit, got[i].n_items, got[i].items, got[i].contaminated) == (len(w), len(hit), len(found), ",".join(sorted(found)), bool(hit)), t
     assert decontamination.decontaminate(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
     assert decontamination.decontaminate(frame(spark, texts), spark.createDataFrame([], "item_id long, text string")).where("contaminated").count() == 0
+
+
+def test_decontamination_rows_of_one_id_and_shuffled_joins(spark, monkeypatch):
+    """Rows that share a doc_id but not the text keep their own hits, repeated rows have equal ones; the same rows without broadcasts."""
+    span, few = prose(14, 61), prose(4, 62)
+    texts = [(1, span), (1, "nothing at all"), (1, None), (None, f"x {few} y"), (None, "clean"), (2, span), (2, span), (3, f"{prose(30000, 63)} {span}")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, _id string")
+    items = spark.createDataFrame([(7, span), (8, span + " more"), (9, few)], "item_id long, text string")
+    want = sorted([(1, 14, 14, "7,8"), (1, 3, 0, ""), (1, 0, 0, ""), (-1, 6, 4, "9"), (-1, 1, 0, ""), (2, 14, 14, "7,8"), (2, 14, 14, "7,8"), (3, 30014, 14, "7,8")])
+    for rows_ in (decontamination.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", rows_)
+        got = decontamination.decontaminate(docs, items).collect()
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got) == want
+        stay = decontamination.without_contaminated(docs, items)
+        assert stay.columns == docs.columns and sorted(r.text or "" for r in stay.collect()) == ["", "clean", "nothing at all"]
+
+
+def test_packing_of_one_very_long_document():
+    """Cutting takes time in proportion to the length."""
+    import time
+
+    p = packing.Packer(0, 2048, 48, 2048, 512, True)
+    began = time.time()
+    p.add(1, np.arange(16_000_001, dtype="<u4").tobytes())
+    p.drain(0)
+    assert time.time() - began < 5
+    out = p.taken()
+    assert sum(r[2] for r in out) == 16_000_001 and [r[1] for r in out] == list(np.cumsum([0] + [r[2] for r in out[:-1]]))

@@ -35,7 +35,6 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = f"file://{tempfile.gettempdir()}/threadloom-{os.getpid()}"
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

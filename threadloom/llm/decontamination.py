@@ -12,7 +12,8 @@ array, which it would compute a second time, with all that it is made of written
 third of all documents is a row for each of them.
 
 Defined results: a null or empty text, of a document or an item, has no words; an item without an id marks words but isn't
-listed; rows that share a doc_id pool their hits (so repeated rows get equal results); other columns are not looked at.
+listed; rows that share a doc_id but not the text are documents of their own, and repeated rows get equal results; an empty table gives
+an empty one; a text may be of any length that fits a row; a window that stands in several items counts for each of them; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import LOWER, NON_WORD_RUN, UPPER, ascii_lower, guarded, table, written
+from .base import LOWER, NON_WORD_RUN, UPPER, ascii_lower, guarded, narrowed, table, written
 
 SPAN, GRAM = 10, 5
 #: Rows of a table of two or three longs that may be broadcast: some 16 MB.
@@ -48,6 +49,13 @@ def winnow(grams: str, run: int) -> Column:
     return F.slice(least, 1, F.greatest(F.size(grams) - (run - 1), F.lit(0)))
 
 
+def looked_up(df: DataFrame, found: DataFrame, on: list[str], key: str) -> DataFrame:
+    """``df`` joined with a written table of narrow rows: broadcast if it is small, else a shuffle of what passes a bitmap of the hashes ``key``."""
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(found), on)
+    return narrowed(df, found, key).join(found, on)
+
+
 def matches(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """``docs``: (_id, _text), ``items``: (_item, _itext). A row (_id, _at, _len, _item) for each place of a window in a document."""
     run = span - gram + 1
@@ -55,11 +63,11 @@ def matches(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRA
     it = it.withColumn("_g", gram_hashes("_iw", gram)).withColumn("_least", winnow("_g", run))
     long_items = it.where(F.size("_iw") >= span).select("_item", "_iw", F.posexplode_outer("_least").alias("_i", "_p")).where("_p is not null")
     windows = written(long_items.select("_item", "_p", *whole([F.get("_iw", F.col("_i") + k) for k in range(span)])).distinct(), "item-windows")
-    prints = guarded(written(windows.select("_p").distinct(), "item-prints"), BROADCAST_ROWS)
+    prints = written(windows.select("_p").distinct(), "item-prints")
 
     w = docs.select("_id", words(F.col("_text")).alias("_w"))
     own = w.withColumn("_g", gram_hashes("_w", gram)).select("_id", F.array_distinct(winnow("_g", run)).alias("_ps"))
-    hit = own.select("_id", F.explode_outer("_ps").alias("_p")).join(prints, "_p")
+    hit = looked_up(own.select("_id", F.explode_outer("_ps").alias("_p")), prints, ["_p"], "_p")
     # A document has few fingerprints that match; the set is bounded by its own text.
     hit = written(hit.groupBy("_id").agg(F.collect_set("_p").alias("_hits")), "hit-documents")
     few = hit.agg(F.coalesce(F.sum(F.size("_hits") + 1), F.lit(0))).first()[0] <= BROADCAST_ROWS
@@ -68,17 +76,17 @@ def matches(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRA
     again = again.withColumn("_g", gram_hashes("_w", gram)).withColumn("_least", winnow("_g", run))
     places = again.select("_id", "_w", F.explode_outer(F.filter(F.transform("_least", lambda p, i: F.when(F.array_contains("_hits", p), i)), lambda i: i.isNotNull())).alias("_at")).where("_at is not null")
     places = places.select("_id", "_at", *whole([F.get("_w", F.col("_at") + k) for k in range(span)]))
-    found = places.join(guarded(written(windows.select("_h", "_h2", "_item").distinct(), "item-full"), BROADCAST_ROWS), ["_h", "_h2"]).select("_id", "_at", F.lit(span).alias("_len"), "_item")
+    found = looked_up(places, written(windows.select("_h", "_h2", "_item").distinct(), "item-full"), ["_h", "_h2"], "_h").select("_id", "_at", F.lit(span).alias("_len"), "_item")
 
     joined = F.array_join("_iw", " ")
     short = it.where(F.size("_iw") < span).select("_item", F.size("_iw").alias("_len"), *whole([joined], 7)).distinct()
-    short = guarded(written(short, "item-short"), BROADCAST_ROWS)
+    short = written(short, "item-short")
     lengths = sorted(r[0] for r in short.select("_len").distinct().collect())  # at most SPAN - 1
     if not lengths:
         return found
     every = docs.select("_id", words(F.col("_text")).alias("_w"))
     every = every.select("_id", F.explode_outer(F.concat(*[_windows("_w", n) for n in lengths])).alias("_x")).select("_id", "_x.*")
-    return found.unionByName(every.join(short, ["_len", "_h", "_h2"]).select("_id", "_at", "_len", "_item"))
+    return found.unionByName(looked_up(every, short, ["_len", "_h", "_h2"], "_h").select("_id", "_at", "_len", "_item"))
 
 
 def _windows(w: str, n: int) -> Column:
@@ -90,6 +98,11 @@ def _windows(w: str, n: int) -> Column:
     return F.slice(F.transform(w, one), 1, F.greatest(F.size(w) - (n - 1), F.lit(0)))
 
 
+def own(doc_id: str, text: str) -> Column:
+    """What tells documents apart: the id and a hash of the text."""
+    return F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """``_id, _n_hit, _n_items, _items`` (sorted strings, comma-joined) of the documents with a hit."""
     m = matches(docs, items, span, gram)
@@ -104,19 +117,19 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items, contaminated`` for each row of ``docs``."""
-    d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    d = docs.select(own(doc_id, text).alias("_id"), F.col(text).alias("_text"))
     c = contamination(d, items.select(F.col(item_id).alias("_item"), F.col(item_text).alias("_itext")), span, gram).withColumnRenamed("_id", "_hit_id")
     base = d.select("_id", F.size(words(F.col("_text"))).cast("long").alias("n_words"))
     out = base.join(c, F.col("_id").eqNullSafe(F.col("_hit_id")), "left")
     n = F.coalesce("_n_hit", F.lit(0).cast("long"))
-    return out.select(F.col("_id").alias("doc_id"), "n_words", n.alias("n_hit"), F.coalesce("_n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("_items", F.lit("")).alias("items"), (n > 0).alias("contaminated"))
+    return out.select(F.col("_id.id").alias("doc_id"), "n_words", n.alias("n_hit"), F.coalesce("_n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("_items", F.lit("")).alias("items"), (n > 0).alias("contaminated"))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that share no window with an item."""
-    c = contamination(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), items.select(F.col("item_id").alias("_item"), F.col("text").alias("_itext")))
+    c = contamination(docs.select(own(doc_id, text).alias("_id"), F.col(text).alias("_text")), items.select(F.col("item_id").alias("_item"), F.col("text").alias("_itext")))
     gone = guarded(written(c.select("_id"), "contaminated"), BROADCAST_ROWS)
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["_id"]), "left_anti")
+    return docs.join(gone, own(doc_id, text).eqNullSafe(gone["_id"]), "left_anti")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,15 +140,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql() -> str:
     cut = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
     return f"""
-WITH d AS (SELECT doc_id, {cut} AS w FROM documents),
+WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS th, {cut} AS w FROM documents),
 b AS (SELECT item_id, w, least({SPAN}, len(w)) AS n FROM (SELECT item_id, {cut} AS w FROM benchmark) WHERE len(w) > 0),
 bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
-dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM b) WHERE len(w) >= n)),
-hit AS (SELECT DISTINCT doc_id, item_id, i, n FROM dw JOIN bw USING (n, g)),
-word AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT doc_id, i, unnest(range(0, n)) AS k FROM hit) GROUP BY doc_id),
-item AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM hit GROUP BY doc_id)
+dw AS (SELECT doc_id, th, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, th, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM b) WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT doc_id, th, item_id, i, n FROM dw JOIN bw USING (n, g)),
+word AS (SELECT doc_id, th, count(DISTINCT i + k) AS n_hit FROM (SELECT doc_id, th, i, unnest(range(0, n)) AS k FROM hit) GROUP BY doc_id, th),
+item AS (SELECT doc_id, th, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM hit GROUP BY doc_id, th)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)
+FROM d LEFT JOIN word USING (doc_id, th) LEFT JOIN item USING (doc_id, th)
 """.strip()

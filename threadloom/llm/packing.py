@@ -108,7 +108,8 @@ class Packer:
         return min(n, int(room[2])) if piece[2] is None else int(np.searchsorted(np.cumsum(piece[2][:n]), room[2], side="right"))
 
     def add(self, doc, ids: bytes, mask: np.ndarray | None = None) -> None:
-        piece = (doc, ids, mask, 0, len(ids) // 4)
+        # A view: each cut would otherwise copy all that is left of a long document.
+        piece = (doc, memoryview(ids), mask, 0, len(ids) // 4)
         while (n := self.longest(piece, self.cap)) < len(piece[1]) // 4 or (n == self.tokens):
             if not self.cut and len(ids) // 4 > n:
                 raise ValueError(f"document {doc}: {len(ids) // 4} tokens don't fit a sequence, and cutting is off")
@@ -118,7 +119,7 @@ class Packer:
             self.close([head])
             if not piece[1]:
                 return
-        self.waiting.append(piece)
+        self.waiting.append((doc, bytes(piece[1]), mask if mask is None else piece[2].copy(), *piece[3:]))
         if len(self.waiting) >= self.pool:
             self.drain(self.pool // 2)
 
