@@ -118,5 +118,7 @@ def url_prefix(url: Column, n: int = 120) -> Column:
 
 
 def bundle_entry_problem(path: Column) -> Column:
-    """Why an entry of a bundle may not be restored; null if it may."""
-    return F.when(path.isNull() | (path == ""), "not-a-path").when(path.startswith("/"), "absolute").when(F.array_contains(F.split(path, "/"), ".."), "escapes").when(path.contains("\\"), "backslash")
+    """Why an entry of a bundle may not be restored; null if it may. A part ``..`` counts between slashes of either kind; the bundle's own
+    folder is no entry of it."""
+    up = F.array_contains(F.split(path, r"[/\\]"), "..")
+    return F.when(path.isNull() | (path == ""), "not-a-path").when(path.rlike(r"^[/\\]"), "absolute").when(up | path.rlike("^[./]+\\z") & ~path.rlike("[.]{3}"), "escapes")

@@ -182,7 +182,7 @@ def tag_id_names(spark, d):
 
 
 @query("bundle_entries", """
-SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'absolute' WHEN 2 THEN 'escapes' WHEN 3 THEN 'not-a-path' ELSE 'backslash' END AS problem FROM part""")
+SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'absolute' WHEN 2 THEN 'escapes' WHEN 3 THEN 'not-a-path' END AS problem FROM part""")
 def bundle_entries(spark, d):
     k = F.col("p_partkey")
     path = F.when(k % 5 == 0, F.concat(F.lit("stage/"), k)).when(k % 5 == 1, F.concat(F.lit("/etc/"), k)).when(k % 5 == 2, F.concat(F.lit("a/../../"), k)).when(k % 5 == 4, F.lit("a\\\\b"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import archives, bindings, checks, pictures, streams  # noqa: F401  (all add their queries to those of bindings)
+from . import archives, bindings, checks, pictures, runs, streams  # noqa: F401  (all add their queries to those of bindings)
 
 
 def queries():
