@@ -346,8 +346,7 @@ def brute_lines(texts):
             continue
         lines, kept = texts[i].split("\n"), []
         for x in lines:
-            near = len(x) >= 60
-            if len(x) >= 20 and any(x == y or near and len(y) >= 60 and abs(len(x) - len(y)) <= 2 and distance(x, y) <= 2 for y in seen):
+            if len(x) >= 20 and any(x == y or len(y) >= 20 and abs(len(x) - len(y)) <= 2 and distance(x, y) <= 2 for y in seen):
                 pass
             else:
                 kept.append(x)
@@ -373,6 +372,30 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_of_short_lines(spark):
+    """Lines of 18 to 64 characters, across both ways of indexing and the least length, with up to three typos."""
+    r = random.Random(17)
+    lines = []
+    for k, n in enumerate([*range(18, 65, 2), 20, 21, 58, 59, 60, 61, 62]):
+        line = prose(20, 700 + k)[:n]
+        lines += [line, *(typo(line, e, 900 + 7 * k + e) for e in (1, 2, 2, 3))]
+    lines += [f"page {k} of the same report" for k in range(95, 105)]
+    r.shuffle(lines)
+    texts = ["\n".join(lines[k : k + 9]) for k in range(0, len(lines), 9)]
+    want = brute_lines(dict(enumerate(texts, 1)))
+    got = rows(line_dedup.dedup_lines(frame(spark, texts), counts=True))
+    assert {i: (x.text, x.n_lines, x.n_removed) for i, x in got.items()} == want
+    assert sum(n for _, _, n in want.values()) > 60
+
+
+def test_parts_in_common(spark):
+    """Never refuses strings within two edits, and nearly always those of other words."""
+    lines = [(prose(20, 40 + k)[: 20 + k], k % 3, k) for k in range(60)]
+    d = spark.createDataFrame([(x, typo(x, e, k), prose(20, 500 + k)[: len(x)]) for x, e, k in lines], "a string, b string, c string")
+    got = d.select(line_dedup.parts_in_common("a", "b", 2).alias("near"), line_dedup.parts_in_common("b", "a", 2).alias("back"), line_dedup.parts_in_common("a", "c", 2).alias("far")).collect()
+    assert all(x.near and x.back for x in got) and sum(x.far for x in got) <= 1
+
+
 def test_line_dedup_of_lists_without_near_lines(spark):
     """Many variants of one line, far from each other but for a few: no head settles them."""
     r = random.Random(11)

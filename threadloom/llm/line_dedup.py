@@ -1,19 +1,21 @@
 """Line dedup by a segment-partition edit join.
 
-A line of enough characters goes if an equal line, or one within MAX_EDITS edits, stands earlier (smaller doc_id, or
-higher up in the document). Equal lines need MIN_CHARS characters; near ones NEAR_CHARS on both sides.
+A line of at least MIN_CHARS characters goes if an equal line, or one of at least NEAR_CHARS within MAX_EDITS edits, stands earlier
+(smaller doc_id, or higher up in the document).
 
 Equal lines are found by two hashes. For near ones a line is split into MAX_EDITS + 1 segments: of two lines within that
 many edits, one segment of the shorter stands unchanged in the longer. A line's segments are indexed by (length,
 segment number, contents), and a line probes the indexes of its own length and of up to MAX_EDITS characters less, at the
-few places that the edits left and right of a segment allow. Only keys that two different lines share go on; a bitmap of
-these keys (``base.sieve``, bounded) keeps all other probes from a second shuffle.
+few places that the edits left and right of a segment allow. A third of a short line is so short that it stands in very many
+others: lines under LONG_CHARS are split into MAX_EDITS + 2 segments, two of which must stand unchanged, and indexed by the first
+two that do. Only keys that two different lines share go on; a bitmap of these keys (``base.sieve``, bounded) keeps all other
+probes from a second shuffle.
 
 The lines of a key are a list. Each is first held against the list's earliest line, its head, which settles groups of near
 copies at a cost in proportion to their size. What is left open isn't compared pair by pair: a line's place of first
 difference from the list's most typical line splits the list (``typical``, ``deviations``), and only lines with the same place, or with equal repairs of such
-differences, go on. A compiled thresholded distance drops most candidates, and a bit-parallel automaton on a band of
-2 * MAX_EDITS + 1 diagonals verifies the rest.
+differences, go on. Most candidates have too few of PARTS parts in common to be near each other; a bit-parallel automaton on a
+band of 2 * MAX_EDITS + 1 diagonals verifies the rest.
 
 DataFrame functions only. Keys are aggregated before they are shuffled, so copies of a line cost a row for each task.
 
@@ -30,7 +32,11 @@ from pyspark.sql import functions as F
 
 from .base import narrowed, split_by, table, written
 
-MIN_CHARS, NEAR_CHARS, MAX_EDITS = 20, 60, 2
+MIN_CHARS, NEAR_CHARS, MAX_EDITS = 20, 20, 2
+#: Lines of fewer characters are indexed by pairs of segments.
+LONG_CHARS = 60
+#: Parts of a candidate, all but MAX_EDITS of which must stand in the other line.
+PARTS = 8
 #: Powers of two, from a length that no string has, by which a common prefix is measured.
 STEPS = [1 << k for k in range(30, -1, -1)]
 #: Beginnings of a line by which the most typical line of a list is found.
@@ -54,8 +60,8 @@ def segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
     return (i - 1) * base + longer + 1, base + F.when(extra > parts - i, 1).otherwise(0)
 
 
-def keys(line: str, length: str, edits: int, least: int) -> tuple[list[Column], int]:
-    """Hashes of a line's index keys, which are probes as well, and after those of its other probes; and how many are index keys."""
+def keys(line: str, length: str, edits: int, least: int) -> tuple[list[Column], list[Column]]:
+    """Hashes of a line's index keys, which are probes as well, and those of its other probes."""
     parts, index, probes = edits + 1, [], []
     n = F.col(length)
     for less in range(edits + 1):
@@ -66,15 +72,48 @@ def keys(line: str, length: str, edits: int, least: int) -> tuple[list[Column],
                 key = F.xxhash64(n - less, F.lit(i), F.col(line).substr(start, size))
                 key = F.when((n - less >= least) & (start >= 1) & (start + size - 1 <= n), key)
                 (index if less == 0 and shift == 0 else probes).append(key)
-    return index + probes, len(index)
+    return index, probes
+
+
+def pair_places(edits: int) -> list[tuple]:
+    """(less, i, j, si, sj): segments i and j of a line with ``less`` characters less are its first two that stand unchanged in a line within
+    ``edits`` edits, moved by si and sj. Each segment before i and between i and j has an edit, and each move takes as many. Index keys come first."""
+    parts, moves = range(1, edits + 3), range(-edits, edits + 1)
+    out = [
+        (less, i, j, si, sj)
+        for less in range(edits + 1) for i in parts for j in parts if i < j for si in moves for sj in moves
+        if max(i - 1, abs(si)) + max(j - i - 1, abs(sj - si)) + abs(less - sj) <= edits
+    ]
+    return sorted(out, key=lambda x: (any((x[0], *x[3:])), x))
+
+
+def pair_keys(line: str, length: str, edits: int, least: int, long: int) -> tuple[Column, int]:
+    """As ``keys``, for shorter lines of at least ``least`` and less than ``long`` characters: an array of all, and how many are index keys."""
+    places = pair_places(edits)
+    names = ("less", "i", "j", "si", "sj")
+    table = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, x)]) for x in places])
+    n = F.col(length)
+
+    def key(x: Column) -> Column:
+        m = n - x["less"]
+        end = lambda k: F.floor(m * k / (edits + 2)).cast("int")
+        at, to = end(x["i"] - 1) + x["si"], end(x["i"]) + x["si"]
+        at2, to2 = end(x["j"] - 1) + x["sj"], end(x["j"]) + x["sj"]
+        inside = (m >= least) & (m < long) & (at >= 0) & (to2 <= n) & (to <= n) & (at2 >= 0)
+        return F.when(inside, F.xxhash64(m, x["i"], x["j"], F.col(line).substr(at + 1, to - at), F.col(line).substr(at2 + 1, to2 - at2)))
+
+    none = F.array().cast("array<bigint>")
+    return F.when(n < long + edits, F.transform(table, key)).otherwise(none), sum(not any((x[0], *x[3:])) for x in places)
 
 
-def keyed(docs: DataFrame, edits: int, least: int) -> DataFrame:
+def keyed(docs: DataFrame, edits: int, least: int, long: int = LONG_CHARS) -> DataFrame:
     """(_h, _len, _key, _index) for the lines long enough to have near ones."""
-    cols, n = keys("_line", "_len", edits, least)
-    rows = lines_of(docs, least).select(F.xxhash64("_line").alias("_h"), "_len", F.array(*cols).alias("_keys"))
+    index, probes = keys("_line", "_len", edits, max(least, long))
+    pairs, n = pair_keys("_line", "_len", edits, least, long)
+    rows = lines_of(docs, least).select(F.xxhash64("_line").alias("_h"), "_len", F.concat(F.array(*index, *probes), pairs).alias("_keys"))
     rows = rows.select("_h", "_len", F.posexplode_outer("_keys").alias("_i", "_key")).where("_key is not null")
-    return rows.select("_h", "_len", "_key", (F.col("_i") < n).alias("_index"))
+    first = len(index) + len(probes)
+    return rows.select("_h", "_len", "_key", ((F.col("_i") < len(index)) | F.col("_i").between(first, first + n - 1)).alias("_index"))
 
 
 def within(a: str, b: str, edits: int) -> Column:
@@ -106,11 +145,22 @@ def within(a: str, b: str, edits: int) -> Column:
     return (offset >= 0) & (offset < band) & (F.floor(last / F.pow(F.lit(2), offset)) % 2 == 1)
 
 
+def parts_in_common(a: str, b: str, edits: int, parts: int = PARTS) -> Column:
+    """Whether all but ``edits`` of the parts of ``a`` stand in ``b``, moved by no more than ``edits`` places: so it is for any two strings within
+    as many edits, as an edit changes one part at most. It is seldom so for others."""
+    n, found = F.length(a), F.lit(0)
+    for k in range(parts):
+        at, to = F.floor(n * k / parts).cast("int"), F.floor(n * (k + 1) / parts).cast("int")
+        near = F.col(b).substr(F.greatest(at - edits, F.lit(0)) + 1, to - at + 2 * edits)
+        found = found + F.contains(near, F.col(a).substr(at + 1, to - at)).cast("int")
+    return found >= parts - edits
+
+
 def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    """The pairs (_x, _y) of line hashes whose lines (``texts``: _h, _line) are within ``edits`` edits. Nearly all candidates fail, and
-    do so in the compiled, thresholded built-in; the automaton, which is interpreted, verifies what is left."""
+    """The pairs (_x, _y) of line hashes whose lines (``texts``: _h, _line) are within ``edits`` edits, by the automaton. As that is
+    interpreted, it is only asked about lines with enough parts in common."""
     a, b = texts.select(F.col("_h").alias("_x"), F.col("_line").alias("_la")), texts.select(F.col("_h").alias("_y"), F.col("_line").alias("_lb"))
-    both = pairs.join(a, "_x").join(b, "_y").where(F.levenshtein("_la", "_lb", edits) >= 0)
+    both = pairs.join(a, "_x").join(b, "_y").where(parts_in_common("_la", "_lb", edits))
     # Written, so that splitting into characters isn't moved into every step of the automaton.
     chars = written(both, "near-passed").select("_x", "_y", F.split("_la", "").alias("_a"), F.split("_lb", "").alias("_b"))
     return chars.withColumn("_ok", within("_a", "_b", edits) & (F.monotonically_increasing_id() >= 0)).where("_ok").select("_x", "_y")
