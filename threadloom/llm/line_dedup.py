@@ -34,9 +34,9 @@ from .base import narrowed, split_by, table, written
 
 MIN_CHARS, NEAR_CHARS, MAX_EDITS = 20, 20, 2
 #: Lines of fewer characters are indexed by pairs of segments.
-LONG_CHARS = 60
-#: Parts of a candidate, all but MAX_EDITS of which must stand in the other line.
-PARTS = 8
+LONG_CHARS = 40
+#: Parts of a candidate, all but MAX_EDITS of which must stand in the other line: a character each at the least length.
+PARTS = 20
 #: Powers of two, from a length that no string has, by which a common prefix is measured.
 STEPS = [1 << k for k in range(30, -1, -1)]
 #: Beginnings of a line by which the most typical line of a list is found.
@@ -53,67 +53,42 @@ def hashes() -> list[Column]:
     return [F.xxhash64("_line").alias("_h"), F.xxhash64(F.lit(1), F.col("_line")).alias("_h2")]
 
 
-def segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Place (from 1) and length of segment i (from 1) of a line of n characters; the last ones are the longer."""
-    base, extra = F.floor(n / parts).cast("int"), (n % parts).cast("int")
-    longer = F.greatest(extra - (parts - i) - 1, F.lit(0))
-    return (i - 1) * base + longer + 1, base + F.when(extra > parts - i, 1).otherwise(0)
-
-
-def keys(line: str, length: str, edits: int, least: int) -> tuple[list[Column], list[Column]]:
-    """Hashes of a line's index keys, which are probes as well, and those of its other probes."""
-    parts, index, probes = edits + 1, [], []
-    n = F.col(length)
-    for less in range(edits + 1):
-        for i in range(1, parts + 1):
-            at, size = segment(n - less, i, parts)
-            for shift in range(max(-(i - 1), less - (parts - i)), min(i - 1, less + (parts - i)) + 1):
-                start = at + shift
-                key = F.xxhash64(n - less, F.lit(i), F.col(line).substr(start, size))
-                key = F.when((n - less >= least) & (start >= 1) & (start + size - 1 <= n), key)
-                (index if less == 0 and shift == 0 else probes).append(key)
-    return index, probes
-
-
-def pair_places(edits: int) -> list[tuple]:
-    """(less, i, j, si, sj): segments i and j of a line with ``less`` characters less are its first two that stand unchanged in a line within
-    ``edits`` edits, moved by si and sj. Each segment before i and between i and j has an edit, and each move takes as many. Index keys come first."""
-    parts, moves = range(1, edits + 3), range(-edits, edits + 1)
-    out = [
-        (less, i, j, si, sj)
-        for less in range(edits + 1) for i in parts for j in parts if i < j for si in moves for sj in moves
-        if max(i - 1, abs(si)) + max(j - i - 1, abs(sj - si)) + abs(less - sj) <= edits
-    ]
-    return sorted(out, key=lambda x: (any((x[0], *x[3:])), x))
-
-
-def pair_keys(line: str, length: str, edits: int, least: int, long: int) -> tuple[Column, int]:
-    """As ``keys``, for shorter lines of at least ``least`` and less than ``long`` characters: an array of all, and how many are index keys."""
-    places = pair_places(edits)
-    names = ("less", "i", "j", "si", "sj")
-    table = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, x)]) for x in places])
-    n = F.col(length)
-
-    def key(x: Column) -> Column:
-        m = n - x["less"]
-        end = lambda k: F.floor(m * k / (edits + 2)).cast("int")
-        at, to = end(x["i"] - 1) + x["si"], end(x["i"]) + x["si"]
-        at2, to2 = end(x["j"] - 1) + x["sj"], end(x["j"]) + x["sj"]
-        inside = (m >= least) & (m < long) & (at >= 0) & (to2 <= n) & (to <= n) & (at2 >= 0)
-        return F.when(inside, F.xxhash64(m, x["i"], x["j"], F.col(line).substr(at + 1, to - at), F.col(line).substr(at2 + 1, to2 - at2)))
-
-    none = F.array().cast("array<bigint>")
-    return F.when(n < long + edits, F.transform(table, key)).otherwise(none), sum(not any((x[0], *x[3:])) for x in places)
+def places(edits: int, pairs: bool) -> list[tuple]:
+    """(less, i, si, j, sj): of a line with ``less`` characters less, in edits + 1 segments, segment i stands in a line within ``edits`` edits, moved by si;
+    with ``pairs``, segments i and j (of edits + 2) are the first two that do. There are as many edits before a segment as it is moved, and one
+    in each segment passed over. Index keys, nothing less and nothing moved, come first."""
+    moves, parts = range(-edits, edits + 1), range(1, edits + 2 + pairs)
+    if pairs:
+        out = [
+            (less, i, si, j, sj)
+            for less in range(edits + 1) for i in parts for j in parts if i < j for si in moves for sj in moves
+            if max(i - 1, abs(si)) + max(j - i - 1, abs(sj - si)) + abs(less - sj) <= edits
+        ]
+    else:
+        # Of the segments that stand, one has no more edits before it than segments, and no more after it.
+        out = [(less, i, si, 0, 0) for less in range(edits + 1) for i in parts for si in moves if abs(si) <= i - 1 and abs(less - si) <= len(parts) - i]
+    return sorted(out, key=lambda x: (any((x[0], x[2], x[4])), x))
 
 
 def keyed(docs: DataFrame, edits: int, least: int, long: int = LONG_CHARS) -> DataFrame:
-    """(_h, _len, _key, _index) for the lines long enough to have near ones."""
-    index, probes = keys("_line", "_len", edits, max(least, long))
-    pairs, n = pair_keys("_line", "_len", edits, least, long)
-    rows = lines_of(docs, least).select(F.xxhash64("_line").alias("_h"), "_len", F.concat(F.array(*index, *probes), pairs).alias("_keys"))
-    rows = rows.select("_h", "_len", F.posexplode_outer("_keys").alias("_i", "_key")).where("_key is not null")
-    first = len(index) + len(probes)
-    return rows.select("_h", "_len", "_key", ((F.col("_i") < len(index)) | F.col("_i").between(first, first + n - 1)).alias("_index"))
+    """(_h, _len, _key, _index) for the lines long enough to have near ones. A line's places become rows before its keys are made of them,
+    so keys are one compiled expression."""
+    kinds = "array<struct<less:int,i:int,si:int,j:int,sj:int>>"
+    singles, doubles = (F.array(*[F.struct(*map(F.lit, x)) for x in places(edits, p)]).cast(kinds) for p in (False, True))
+    both = F.array(*[F.struct(*map(F.lit, x)) for p in (True, False) for x in places(edits, p)]).cast(kinds)
+    n = F.col("_len")
+    rows = lines_of(docs, least).withColumn("_h", F.xxhash64("_line"))
+    rows = rows.select("_h", "_len", "_line", F.explode_outer(F.when(n < long, doubles).when(n < long + edits, both).otherwise(singles)).alias("_x"))
+    rows = rows.select("_h", "_len", "_line", "_x.*", (n - F.col("_x.less")).alias("_m"))
+    pair = F.col("j") > 0
+    parts = F.when(pair, edits + 2).otherwise(edits + 1)
+    end = lambda k: F.floor(F.col("_m") * k / parts).cast("int")
+    at, size = end(F.col("i") - 1) + F.col("si"), end(F.col("i")) - end(F.col("i") - 1)
+    at2, size2 = end(F.col("j") - 1) + F.col("sj"), end(F.col("j")) - end(F.col("j") - 1)
+    fits = (F.col("_m") >= least) & (pair == (F.col("_m") < long)) & (at >= 0) & (at + size <= n) & (~pair | ((at2 >= 0) & (at2 + size2 <= n)))
+    second = F.when(pair, F.col("_line").substr(at2 + 1, size2)).otherwise("")
+    key = F.xxhash64("_m", "i", "j", F.col("_line").substr(at + 1, size), second)
+    return rows.where(fits).select("_h", "_len", key.alias("_key"), ((F.col("less") == 0) & (F.col("si") == 0) & (F.col("sj") == 0)).alias("_index"))
 
 
 def within(a: str, b: str, edits: int) -> Column:
@@ -156,6 +131,14 @@ def parts_in_common(a: str, b: str, edits: int, parts: int = PARTS) -> Column:
     return found >= parts - edits
 
 
+def common_prefix(a: Column, b: Column) -> Column:
+    """Length of the longest common prefix of two strings."""
+    room = F.least(F.length(a), F.length(b))
+    same = lambda lo, n: (lo + n <= room) & (a.substr(lo + 1, n) == b.substr(lo + 1, n))
+    steps = F.slice(F.array(*[F.lit(n) for n in STEPS]), F.lit(len(STEPS)) - F.floor(F.log2(F.greatest(room, F.lit(1)))).cast("int"), F.lit(len(STEPS)))
+    return F.aggregate(steps, F.lit(0), lambda lo, n: F.when(same(lo, n), lo + n).otherwise(lo))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """The pairs (_x, _y) of line hashes whose lines (``texts``: _h, _line) are within ``edits`` edits, by the automaton. As that is
     interpreted, it is only asked about lines with enough parts in common."""
@@ -166,14 +149,6 @@ def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return chars.withColumn("_ok", within("_a", "_b", edits) & (F.monotonically_increasing_id() >= 0)).where("_ok").select("_x", "_y")
 
 
-def common_prefix(a: Column, b: Column) -> Column:
-    """Length of the longest common prefix of two strings."""
-    room = F.least(F.length(a), F.length(b))
-    same = lambda lo, n: (lo + n <= room) & (a.substr(lo + 1, n) == b.substr(lo + 1, n))
-    steps = F.slice(F.array(*[F.lit(n) for n in STEPS]), F.lit(len(STEPS)) - F.floor(F.log2(F.greatest(room, F.lit(1)))).cast("int"), F.lit(len(STEPS)))
-    return F.aggregate(steps, F.lit(0), lambda lo, n: F.when(same(lo, n), lo + n).otherwise(lo))
-
-
 def repairs(a: Column, head: Column, at: Column) -> Column:
     """The strings that one edit at the first difference from ``head`` (``at`` characters in) makes of ``a``: the head's character put in
     place of a's own, put before it, or a's own taken out."""
