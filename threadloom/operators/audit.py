@@ -113,7 +113,8 @@ def manifest_digests(manifests: DataFrame, files: DataFrame) -> DataFrame:
     fields = fields.where(F.col("_key").endswith("_sha256") & (F.coalesce("_value", F.lit("")) != ""))
     base = F.expr("substring(_key, 1, length(_key) - 7)")
     each = fields.select("dir", "_key", "_value", F.posexplode(F.array(base, F.concat(base, F.lit(".html")), F.concat(base, F.lit(".json")))).alias("_pos", "name"))
-    best = each.join(files, ["dir", "name"]).groupBy("dir", "_key", "_value").agg(F.min(F.struct("_pos", "name", "sha256")).alias("_f"))
+    # digests of all files: never broadcast, though few bytes of a compressed table may look like little
+    best = each.hint("merge").join(files, ["dir", "name"]).groupBy("dir", "_key", "_value").agg(F.min(F.struct("_pos", "name", "sha256")).alias("_f"))
     return best.select("dir", F.col("_f.name").alias("name"), (F.col("_f.sha256") == F.lower("_value")).alias("matches"))
 
 
