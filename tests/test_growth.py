@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from threadloom.llm import collocations
 from threadloom.operators import audit
 
 
@@ -14,3 +15,12 @@ def test_digests_of_files_are_not_broadcast(spark):
     found = audit.manifest_digests(files.select("dir", F.lit('{"a_sha256": "11"}').alias("json")), files)
     assert "BroadcastHashJoin" not in plan(found)
     assert found.where("matches").count() == 20
+
+
+def test_phrases_are_not_broadcast(spark):
+    rows = [("en", "a", 1, 60), ("en", "b", 1, 40), ("en", "a b", 2, 35), ("en", "a b a", 3, 30), ("en", "b a", 2, 30)]
+    counts = spark.createDataFrame(rows, "lang string, phrase string, k int, c bigint")
+    scored, covered = collocations.scored(counts), collocations.covered(counts, 80)
+    assert "BroadcastHashJoin" not in plan(scored) + plan(covered)
+    assert {r.phrase: (r.l, r.r, r.score) for r in scored.collect()} == {"a b": (60, 40, 700_000), "b a": (40, 60, 600_000), "a b a": (35, 60, 631_578)}
+    assert {r.phrase for r in covered.collect()} == {"a b", "b a"}

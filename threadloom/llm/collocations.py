@@ -254,13 +254,14 @@ def exact(c: Column) -> Column:
 
 def scored(counts: DataFrame) -> DataFrame:
     """``counts``: lang, phrase, k (words), c, all phrases that occur often enough, single words too. A row for each of more words: the
-    lowest of its cuts' scores, with the counts of the two parts."""
+    lowest of its cuts' scores, with the counts of the two parts. Joins of phrases are by sorting: a compressed table of them looks small enough
+    to broadcast, and is many times as large in memory."""
     long = counts.where("k > 1").select("lang", "phrase", "c", F.split("phrase", " ").alias("_w"))
     cut = long.select("lang", "phrase", "c", F.explode(F.expr("transform(sequence(1, size(_w) - 1), i -> named_struct('cut', i, 'first', array_join(slice(_w, 1, i), ' '), 'rest', array_join(slice(_w, i + 1, size(_w)), ' ')))")).alias("_x")).select("lang", "phrase", "c", "_x.*")
     sides = cut.select("lang", "phrase", "c", "cut", F.explode(F.expr("array(struct(true as left, first as part), struct(false as left, rest as part))")).alias("_s")).select("lang", "phrase", "c", "cut", "_s.*")
     sides = sides.withColumn("_salt", F.expr(f"cast(pmod(xxhash64(phrase, cut), {SALTS}) as int)"))
     known = counts.select("lang", F.col("phrase").alias("part"), F.col("c").alias("_n"), F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("_salt"))
-    both = sides.join(known, ["lang", "part", "_salt"]).groupBy("lang", "phrase", "cut").agg(F.first("c").alias("a"), F.max(F.expr("if(left, _n, null)")).alias("l"), F.max(F.expr("if(left, null, _n)")).alias("r"))
+    both = sides.hint("merge").join(known, ["lang", "part", "_salt"]).groupBy("lang", "phrase", "cut").agg(F.first("c").alias("a"), F.max(F.expr("if(left, _n, null)")).alias("l"), F.max(F.expr("if(left, null, _n)")).alias("r"))
     score = F.expr(f"cast((cast({SCALE} as decimal(7,0)) * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0))) as bigint)")
     best = both.withColumn("score", score).groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct("score", "cut", "l", "r")).alias("_b"))
     return best.select("lang", "phrase", "a", "_b.l", "_b.r", "_b.score")
@@ -271,7 +272,7 @@ def covered(counts: DataFrame, cover: int) -> DataFrame:
     longer = counts.where("k > 2").select("lang", "c", "k", F.split("phrase", " ").alias("_w"))
     spans = "flatten(transform(sequence(2, k - 1), n -> transform(sequence(1, k - n + 1), i -> array_join(slice(_w, i, n), ' '))))"
     inside = longer.select("lang", "c", F.explode(F.expr(spans)).alias("phrase")).groupBy("lang", "phrase").agg(F.max("c").alias("_longer"))
-    both = inside.join(counts.where("k > 1").select("lang", "phrase", "c"), ["lang", "phrase"])
+    both = inside.hint("merge").join(counts.where("k > 1").select("lang", "phrase", "c"), ["lang", "phrase"])
     return both.where(exact(F.col("_longer")) * 100 >= exact(F.col("c")) * cover).select("lang", "phrase")
 
 
@@ -290,7 +291,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     pairs = counted((2,), bitmap(words, sieve_bits), "pairs")
     more = counted((3, 4), bitmap(pairs, sieve_bits), "phrases")
     counts = words.union(pairs).union(more).select("lang", "phrase", F.expr("size(split(phrase, ' '))").alias("k"), "c")
-    kept = scored(counts).join(covered(counts, cover), ["lang", "phrase"], "left_anti")
+    kept = scored(counts).hint("merge").join(covered(counts, cover), ["lang", "phrase"], "left_anti")
     w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
