@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm import collocations
 from threadloom.operators import audit
+from threadloom.sources import packed
 
 
 def plan(df) -> str:
@@ -24,3 +25,21 @@ def test_phrases_are_not_broadcast(spark):
     assert "BroadcastHashJoin" not in plan(scored) + plan(covered)
     assert {r.phrase: (r.l, r.r, r.score) for r in scored.collect()} == {"a b": (60, 40, 700_000), "b a": (40, 60, 600_000), "a b a": (35, 60, 631_578)}
     assert {r.phrase for r in covered.collect()} == {"a b", "b a"}
+
+
+def test_archives_and_tasks_are_bounded(spark, tmp_path, monkeypatch):
+    text = lambda c: F.lit(c).cast("string")
+    path = F.concat(F.lit("questions/"), F.col("id").cast("string"))
+    items = spark.range(600).select(F.lit("C").alias("namespace"), path.alias("path"), F.lit("t").alias("title"), F.lit("text/html").alias("mime"), F.encode(path, "utf-8").alias("content"), text(None).alias("target"))
+    short = spark.range(0, 600, 3).select(F.lit("C").alias("namespace"), F.concat(F.lit("a/"), F.col("id").cast("string")).alias("path"), F.lit("").alias("title"), text(None).alias("mime"), F.lit(None).cast("binary").alias("content"), path.alias("target"))
+    packed.write_packed(items.unionByName(short), f"file://{tmp_path}", 2, archive_bytes=100_000)
+    counts = [r.entry_count for r in packed.heads(spark, f"file://{tmp_path}").collect()]
+    assert len(counts) > 6 and sum(counts) == 800 and max(counts) < 250
+    monkeypatch.setattr(packed, "TASKS", 3)
+    reader = packed.PackedReader({"path": f"file://{tmp_path}", "splitentries": "10"})
+    runs = [r for p in reader.partitions() for r in p.runs]
+    assert len(reader.partitions()) <= 3 and sum(r.high - r.low for r in runs) == 800
+    listing = packed.entries(spark, f"file://{tmp_path}", content=True, split_entries=10)
+    got = packed.with_targets(listing, packed.entries(spark, f"file://{tmp_path}")).collect()
+    assert {r.path: r.target for r in got if r.kind == "redirect"} == {f"a/{i}": f"questions/{i}" for i in range(0, 600, 3)}
+    assert {r.path: bytes(r.content).decode() for r in got if r.kind == "item"} == {f"questions/{i}": f"questions/{i}" for i in range(600)}

@@ -30,9 +30,9 @@ SELECT page AS path, p AS title, 'item' AS kind, NULL AS target, sha256('<p>' ||
 UNION ALL SELECT 'a/' || k, 'a/' || k, 'redirect', page, NULL FROM o WHERE k % 4 = 0""")
 def archive_listing(spark, d):
     """All entries of several archives, read in splits, redirects with what they lead to."""
-    listing = packed.entries(spark, archive_of(spark, d), content=True, split_entries=1000)
-    whole = packed.with_targets(listing)
-    return whole.select("path", "title", "kind", "target", F.sha2("content", 256).alias("sha256"))
+    path = archive_of(spark, d)
+    listing = packed.entries(spark, path, content=True, split_entries=1000).withColumn("sha256", F.sha2("content", 256)).drop("content")
+    return packed.with_targets(listing, packed.entries(spark, path, split_entries=1000)).select("path", "title", "kind", "target", "sha256")
 
 
 @query("archive_search", """

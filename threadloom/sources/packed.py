@@ -32,8 +32,10 @@ PLAIN, XZ, ZSTD, WIDE = (0, 1), 4, 5, 0x10
 NONE = 0xFFFFFFFF
 
 COLUMNS = "archive string, pos bigint, namespace string, path string, title string, mime string, kind string, target_pos bigint, cluster bigint, blob bigint"
-#: Entries of a task; bytes read at once while a record's end isn't found.
-SPLIT_ENTRIES, RECORD_BYTES = 65_536, 512
+#: Entries of a run; tasks of a scan, among which runs are dealt beyond that number; bytes read at once while a record's end isn't found.
+SPLIT_ENTRIES, TASKS, RECORD_BYTES = 65_536, 512, 512
+#: Bytes of an archive that is built in a task's memory, and what an entry takes there beside its texts.
+ARCHIVE_BYTES, ENTRY_BYTES = 64 << 20, 1024
 
 
 def opened(uri: str):
@@ -177,13 +179,20 @@ def spans(archive: Archive, namespaces: set[str] | None, wanted: list[tuple[byte
 
 
 @dataclass
-class Run(InputPartition):
+class Run:
     uri: str
     low: int
     high: int
     error: str | None = None
 
 
+@dataclass
+class Runs(InputPartition):
+    """What a task reads, run by run."""
+
+    runs: list[Run]
+
+
 class PackedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.size = options["path"], int(options.get("splitentries", SPLIT_ENTRIES))
@@ -203,9 +212,14 @@ class PackedReader(DataSourceReader):
                     out.append(Run(uri, 0, 0, str(e)))
                 continue
             out += [Run(uri, k, min(k + self.size, high)) for low, high in runs for k in range(low, high, self.size)]
-        return out or [Run("", 0, 0)]
+        each = -(-len(out) // TASKS) or 1
+        return [Runs(out[k : k + each]) for k in range(0, len(out), each)] or [Runs([])]
 
-    def read(self, run: Run) -> Iterator[pa.RecordBatch]:
+    def read(self, part: Runs) -> Iterator[pa.RecordBatch]:
+        for run in part.runs:
+            yield from self.read_run(run)
+
+    def read_run(self, run: Run) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in COLUMNS.split(", ")]
         types = [pa.string(), pa.int64(), *[pa.string()] * 5, *[pa.int64()] * 3]
         fields = [*zip(names, types), *([("content", pa.binary())] if self.contents else []), ("error", pa.string())]
@@ -270,10 +284,11 @@ def entries(spark: SparkSession, path: str, content: bool = False, split_entries
     return spark.read.format("packed").options(content=str(content).lower(), splitEntries=str(split_entries), **asked).load(path)
 
 
-def with_targets(listing: DataFrame) -> DataFrame:
-    """Adds ``target``, the path that a redirect leads to."""
-    to = listing.select("archive", F.col("pos").alias("target_pos"), F.col("path").alias("target"))
-    return listing.join(to, ["archive", "target_pos"], "left")
+def with_targets(listing: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Adds ``target``, the path that a redirect leads to. ``names`` may be a listing of the same archives that doesn't read contents."""
+    to = (listing if names is None else names).select("archive", F.col("pos").alias("_to"), F.col("path").alias("target"))
+    # entries that lead nowhere have keys of their own, so that they don't meet in one task
+    return listing.withColumn("_to", F.coalesce("target_pos", -1 - F.col("pos"))).join(to, ["archive", "_to"], "left").drop("_to")
 
 
 def heads(spark: SparkSession, path: str) -> DataFrame:
@@ -353,10 +368,17 @@ def packed(rows: list[dict], cluster_bytes: int = 1 << 20, compression: int = ZS
     return data + hashlib.md5(data).digest()
 
 
-def write_packed(rows: DataFrame, out: str, archives: int, cluster_bytes: int = 1 << 20) -> None:
-    """Writes ``rows`` (namespace, path, title, mime, content, target) as so many archives into the folder ``out``, dealt by their first folder's and
-    target's hash, so that a redirect and what it leads to meet. An archive is built in a task's memory."""
-    dealt = rows.repartition(archives, F.coalesce("target", "path"))
+def archives_for(rows: DataFrame, least: int, archive_bytes: int = ARCHIVE_BYTES) -> int:
+    """How many archives ``rows`` take, so that one is built in a bounded memory whatever their number."""
+    size = F.octet_length("path") + F.coalesce(F.octet_length("title"), F.lit(0)) + F.coalesce(F.octet_length("content"), F.lit(0)) + ENTRY_BYTES
+    return max(least, -(-(rows.agg(F.sum(size.cast("long"))).first()[0] or 0) // archive_bytes))
+
+
+def write_packed(rows: DataFrame, out: str, archives: int, cluster_bytes: int = 1 << 20, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Writes ``rows`` (namespace, path, title, mime, content, target) as so many archives into the folder ``out``, or more, so that one has some
+    ``archive_bytes``: it is built in a task's memory. Rows are dealt by their path's or target's hash, so that a redirect and what it leads to
+    meet; all redirects to one entry are therefore in one archive."""
+    dealt = rows.repartition(archives_for(rows, archives, archive_bytes), F.coalesce("target", "path"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
