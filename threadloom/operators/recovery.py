@@ -95,10 +95,11 @@ def host_counts(sources: DataFrame, n: int | None = None) -> DataFrame:
 def edge_candidates(classified: DataFrame) -> DataFrame:
     """``classified``: (hash, seq, source_url, source_class). ``hash, rank, url, source_class``: for each row the special forms and then
     the cleaned address; an address counts once for a hash."""
-    c = classified.withColumn("_u", urls.clean_url(F.col("source_url")))
+    # dealt anew, as a small file of many rows is one task's; explode_outer, as for explode the optimizer computes the array a second time
+    c = classified.repartition("hash", "seq").withColumn("_u", urls.clean_url(F.col("source_url")))
     c = c.where(urls.worth_trying(F.col("_u")))
     forms = c.withColumn("_all", F.array_append(host_rules.special_candidates(F.col("_u")), F.col("_u")))
-    each = forms.select("hash", "seq", F.coalesce(F.nullif("source_class", F.lit("")), F.lit("other_http")).alias("source_class"), F.posexplode("_all").alias("_pos", "url"))
+    each = forms.select("hash", "seq", F.coalesce(F.nullif("source_class", F.lit("")), F.lit("other_http")).alias("source_class"), F.posexplode_outer("_all").alias("_pos", "url"))
     one = ranking.first_wins(each, ["hash", "url"], ["seq", "_pos"])
     return one.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy("seq", "_pos"))).select("hash", "rank", "url", "source_class")
 
