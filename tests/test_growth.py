@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from threadloom.llm import collocations
-from threadloom.operators import audit
+from threadloom.operators import audit, recovery
+from threadloom.plans import pictures
 from threadloom.sources import packed
 
 
@@ -43,3 +44,14 @@ def test_archives_and_tasks_are_bounded(spark, tmp_path, monkeypatch):
     got = packed.with_targets(listing, packed.entries(spark, f"file://{tmp_path}")).collect()
     assert {r.path: r.target for r in got if r.kind == "redirect"} == {f"a/{i}": f"questions/{i}" for i in range(0, 600, 3)}
     assert {r.path: bytes(r.content).decode() for r in got if r.kind == "item"} == {f"questions/{i}": f"questions/{i}" for i in range(600)}
+
+
+def test_costly_columns_are_dealt_to_tasks(spark, tmp_path):
+    rows = spark.range(30).select(F.lit("h").alias("hash"), F.col("id").alias("seq"), F.concat(F.lit("https://i.imgur.com/"), F.col("id"), F.lit(".png")).alias("source_url"), F.lit("").alias("source_class"))
+    edges = recovery.edge_candidates(rows.coalesce(1))
+    assert "REPARTITION_BY_COL" in plan(edges) and "size(array_append" not in plan(edges)
+    assert edges.select("url").distinct().count() >= 30
+    spark.range(1, 13).coalesce(1).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    sizes = pictures.image_limits(spark, str(tmp_path))
+    assert "REPARTITION_BY_COL" in plan(sizes)
+    assert {r.p_partkey: (r.width, r.height) for r in sizes.collect()} == {k: (1 + k * 37, 1 + k * 91) for k in range(1, 13)}

@@ -33,7 +33,9 @@ SELECT p_partkey, {WIDE} AS width, {HIGH} AS height, {WIDE} <= 16384 AND {HIGH}
 def image_limits(spark, d):
     """Sizes by the bytes of six kinds, JPEG's by its segments, and the limits of decoding."""
     c = F.unhex(payload(F.expr(WIDE), F.expr(HIGH)))
-    size = t(spark, d, "part").select("p_partkey", c.alias("c"), dimensions.dimensions(c).alias("s"))
+    # dealt anew: a small file of many rows is one task's, and bytes that come from a shuffle aren't made again for each use
+    files = t(spark, d, "part").select("p_partkey", c.alias("c")).repartition("p_partkey")
+    size = files.select("p_partkey", "c", dimensions.dimensions(F.col("c")).alias("s"))
     return size.select("p_partkey", "s.width", "s.height", dimensions.is_decodable_image(F.col("c")).alias("decodable"))
 
 
