@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from threadloom.llm import collocations
+from threadloom.llm import collocations, line_dedup
 from threadloom.operators import audit, recovery
 from threadloom.plans import pictures
 from threadloom.sources import packed
@@ -55,3 +55,22 @@ def test_costly_columns_are_dealt_to_tasks(spark, tmp_path):
     sizes = pictures.image_limits(spark, str(tmp_path))
     assert "REPARTITION_BY_COL" in plan(sizes)
     assert {r.p_partkey: (r.width, r.height) for r in sizes.collect()} == {k: (1 + k * 37, 1 + k * 91) for k in range(1, 13)}
+
+
+def test_beginnings_of_lines_are_counted_not_joined(spark):
+    base = "a line of which there are very many near copies, each with a change of its own somewhere"
+    lines = [base] * 2 + [f"{base[:k]}#{base[k + 1 :]}" for k in range(0, 80, 2)]
+    rows = spark.createDataFrame([(7, i, x) for i, x in enumerate(lines)], "_list long, _h long, _line string")
+    heads = line_dedup.typical(rows)
+    joins = [x for x in plan(heads).splitlines() if "Join" in x]
+    assert len(joins) == 1 and "_cut" not in joins[0].split("Inner")[0]
+    assert [(r._list, lines[r._head]) for r in heads.collect()] == [(7, base)]
+
+
+def test_keys_of_lines_are_shuffled_once(spark):
+    rows = [(1, 10, 40), (1, 11, -41), (2, 10, 40), (2, 10, 40), (3, 10, -40), (3, 12, -41), (4, 13, -40), (4, 13, 40), (4, 14, -40)]
+    shared = line_dedup.shared_keys(spark.createDataFrame(rows, "_key long, _h long, _x int"))
+    got = {(r._key, r._h, r._len, r._index) for r in shared.collect()}
+    assert got == {(1, 10, 40, True), (1, 11, 41, False), (4, 13, 40, True), (4, 14, 40, False)}
+    final = plan(shared).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "BroadcastHashJoin" not in final

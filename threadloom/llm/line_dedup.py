@@ -8,8 +8,8 @@ many edits, one segment of the shorter stands unchanged in the longer. A line's
 segment number, contents), and a line probes the indexes of its own length and of up to MAX_EDITS characters less, at the
 few places that the edits left and right of a segment allow. A third of a short line is so short that it stands in very many
 others: lines under LONG_CHARS are split into MAX_EDITS + 2 segments, two of which must stand unchanged, and indexed by the first
-two that do. Only keys that two different lines share go on; a bitmap of these keys (``base.sieve``, bounded) keeps all other
-probes from a second shuffle.
+two that do. Only keys that two different lines share, one of them as an index, go on; they are found where all keys have been shuffled to, so
+keys are made and shuffled once.
 
 The lines of a key are a list. Each is first held against the list's earliest line, its head, which settles groups of near
 copies at a cost in proportion to their size. What is left open isn't compared pair by pair: a line's place of first
@@ -17,7 +17,7 @@ difference from the list's most typical line splits the list (``typical``, ``dev
 differences, go on. Most candidates have too few of PARTS parts in common to be near each other; a bit-parallel automaton on a
 band of 2 * MAX_EDITS + 1 diagonals verifies the rest.
 
-DataFrame functions only. Keys are aggregated before they are shuffled, so copies of a line cost a row for each task.
+DataFrame functions only.
 
 Defined results: a null text stays null and has no lines; an empty one is one empty line; a document whose lines all go
 keeps an empty text. Repeated rows are one document and lose the same lines. Rows that share a doc_id but not the text are
@@ -27,6 +27,8 @@ other columns are kept as they are.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,15 +73,15 @@ def places(edits: int, pairs: bool) -> list[tuple]:
 
 
 def keyed(docs: DataFrame, edits: int, least: int, long: int = LONG_CHARS) -> DataFrame:
-    """(_h, _len, _key, _index) for the lines long enough to have near ones. A line's places become rows before its keys are made of them,
+    """(_key, _h, _x) for the lines long enough to have near ones; _x is a line's length, negative where it only probes. A line's places become rows before its keys are made of them,
     so keys are one compiled expression."""
     kinds = "array<struct<less:int,i:int,si:int,j:int,sj:int>>"
     singles, doubles = (F.array(*[F.struct(*map(F.lit, x)) for x in places(edits, p)]).cast(kinds) for p in (False, True))
     both = F.array(*[F.struct(*map(F.lit, x)) for p in (True, False) for x in places(edits, p)]).cast(kinds)
     n = F.col("_len")
     rows = lines_of(docs, least).withColumn("_h", F.xxhash64("_line"))
-    rows = rows.select("_h", "_len", "_line", F.explode_outer(F.when(n < long, doubles).when(n < long + edits, both).otherwise(singles)).alias("_x"))
-    rows = rows.select("_h", "_len", "_line", "_x.*", (n - F.col("_x.less")).alias("_m"))
+    rows = rows.select("_h", "_len", "_line", F.explode_outer(F.when(n < long, doubles).when(n < long + edits, both).otherwise(singles)).alias("_p"))
+    rows = rows.select("_h", "_len", "_line", "_p.*", (n - F.col("_p.less")).alias("_m"))
     pair = F.col("j") > 0
     parts = F.when(pair, edits + 2).otherwise(edits + 1)
     end = lambda k: F.floor(F.col("_m") * k / parts).cast("int")
@@ -88,7 +90,18 @@ def keyed(docs: DataFrame, edits: int, least: int, long: int = LONG_CHARS) -> Da
     fits = (F.col("_m") >= least) & (pair == (F.col("_m") < long)) & (at >= 0) & (at + size <= n) & (~pair | ((at2 >= 0) & (at2 + size2 <= n)))
     second = F.when(pair, F.col("_line").substr(at2 + 1, size2)).otherwise("")
     key = F.xxhash64("_m", "i", "j", F.col("_line").substr(at + 1, size), second)
-    return rows.where(fits).select("_h", "_len", key.alias("_key"), ((F.col("less") == 0) & (F.col("si") == 0) & (F.col("sj") == 0)).alias("_index"))
+    own = (F.col("less") == 0) & (F.col("si") == 0) & (F.col("sj") == 0)
+    return rows.where(fits).select(key.alias("_key"), "_h", F.when(own, n).otherwise(-n).alias("_x"))
+
+
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """``keys``: as of ``keyed``. (_key, _h, _len, _index), a row for each line of the keys that two different lines share, one of them as an index.
+    Keys are made and shuffled once: what is counted and what is kept read the same partitions, and live keys meet their lines there."""
+    keys = keys.repartition("_key")
+    # The aggregate reads all columns, so that its shuffle is the other side's, too.
+    live = keys.groupBy("_key").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b"), F.max("_x").alias("_c")).where("_a <> _b and _c > 0").select("_key")
+    most = keys.join(live.hint("shuffle_hash"), "_key").groupBy("_key", "_h").agg(F.max("_x").alias("_x"))
+    return most.select("_key", "_h", F.abs("_x").alias("_len"), (F.col("_x") > 0).alias("_index"))
 
 
 def within(a: str, b: str, edits: int) -> Column:
@@ -100,11 +113,11 @@ def within(a: str, b: str, edits: int) -> Column:
     for _ in range(edits):
         start.append((start[-1] | start[-1] << 1) & mask)
 
-    def step(state: Column, j: Column) -> Column:
-        same = None
-        for o in range(band):
-            bit = F.when(F.get(a, j + (o - edits)) == F.get(b, j), 1 << o).otherwise(0)
-            same = bit if same is None else same.bitwiseOR(bit)
+    def same_at(char: Column, j: Column) -> Column:
+        bits = [F.when(F.get(a, j + (o - edits)) == char, 1 << o).otherwise(0) for o in range(band)]
+        return functools.reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+    def step(state: Column, same: Column) -> Column:
         new = []
         for d in range(edits + 1):
             r = state[f"r{d}"].bitwiseAND(same)
@@ -116,7 +129,8 @@ def within(a: str, b: str, edits: int) -> Column:
 
     first = F.struct(*[F.lit(r).alias(f"r{d}") for d, r in enumerate(start)])
     offset = F.size(a) - F.size(b) + edits
-    last = F.aggregate(F.sequence(F.lit(0), F.size(b) - 1), first, step, lambda s: s[f"r{edits}"])
+    # Characters are compared once for each place of ``b``, not anew wherever a state refers to them.
+    last = F.aggregate(F.transform(b, same_at), first, step, lambda s: s[f"r{edits}"])
     return (offset >= 0) & (offset < band) & (F.floor(last / F.pow(F.lit(2), offset)) % 2 == 1)
 
 
@@ -173,12 +187,15 @@ def deviations(line: Column, head: Column) -> Column:
 
 
 def typical(rows: DataFrame) -> DataFrame:
-    """``rows``: (_list, _h, _line). A row (_list, _head) for each list: the line whose beginnings, up to CUTS places, most lines of
-    the list share. Others then differ from it at places of their own, not all at one of its."""
-    cuts = rows.select("_list", "_h", F.posexplode_outer(F.array(*[F.xxhash64(F.col("_line").substr(F.lit(1), F.floor(F.length("_line") * k / CUTS).cast("int"))) for k in range(1, CUTS)])).alias("_k", "_cut"))
-    shared = cuts.groupBy("_list", "_k", "_cut").agg(F.count(F.lit(1)).alias("_c"))
-    score = cuts.join(shared, ["_list", "_k", "_cut"]).groupBy("_list", "_h").agg(F.sum("_c").alias("_c"))
-    return score.groupBy("_list").agg(F.max(F.struct("_c", "_h")).alias("_top")).select("_list", F.col("_top._h").alias("_head"))
+    """``rows``: (_list, _h, _line). A row (_list, _head) for each list: the line that agrees with the list's commonest beginnings, of up to
+    CUTS places, for most lines. Others then differ from it at places of their own, not all at one of its. Beginnings are only counted;
+    a list's commonest ones, a row for each list, are what its lines meet."""
+    cuts = [F.xxhash64(F.col("_line").substr(F.lit(1), F.floor(F.length("_line") * k / CUTS).cast("int"))) for k in range(1, CUTS)]
+    shared = rows.select("_list", F.posexplode_outer(F.array(*cuts)).alias("_k", "_cut")).groupBy("_list", "_k", "_cut").agg(F.count(F.lit(1)).alias("_c"))
+    common = shared.groupBy("_list", "_k").agg(F.max(F.struct("_c", "_cut")).alias("_m"))
+    common = common.groupBy("_list").agg(*[F.max(F.when(F.col("_k") == k, F.col("_m"))).alias(f"_m{k}") for k in range(CUTS - 1)])
+    score = functools.reduce(lambda x, y: x + y, [F.when(cut == F.col(f"_m{k}._cut"), F.col(f"_m{k}._c")).otherwise(0) for k, cut in enumerate(cuts)])
+    return rows.join(common, "_list").groupBy("_list").agg(F.max(F.struct(score.alias("_c"), "_h")).alias("_top")).select("_list", F.col("_top._h").alias("_head"))
 
 
 def star(lists: DataFrame, edits: int) -> DataFrame:
@@ -210,11 +227,7 @@ def near_lines(docs: DataFrame, first: DataFrame, edits: int = MAX_EDITS, least:
     """Rows (_h, _h2) of the lines that have a near line before them. ``first``: (_h, _first) of all lines."""
     if edits != MAX_EDITS:
         raise ValueError(f"repairs are written out for {MAX_EDITS} edits")
-    rows = keyed(docs, edits, least)
-    live = rows.groupBy("_key").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a <> _b").select("_key")
-    live = written(live, "live-keys")
-    shared = narrowed(rows, live, "_key").join(live, "_key").groupBy("_key", "_h", "_len").agg(F.max("_index").alias("_index"))
-    shared = written(shared, "shared-keys")
+    shared = written(shared_keys(keyed(docs, edits, least)), "shared-keys")
     ids = written(shared.select("_h").distinct(), "near-candidates")
     lines = lines_of(docs, least).select(*hashes(), "_line")
     # An inner join: a semi join would be moved below the one with the sieve, and shuffle all lines.
