@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from threadloom.llm import collocations, line_dedup
 from threadloom.operators import audit, recovery
 from threadloom.plans import pictures
-from threadloom.sources import packed
+from threadloom.sources import nested, packed
 
 
 def plan(df) -> str:
@@ -74,3 +74,13 @@ def test_keys_of_lines_are_shuffled_once(spark):
     assert got == {(1, 10, 40, True), (1, 11, 41, False), (4, 13, 40, True), (4, 14, 40, False)}
     final = plan(shared).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final and "BroadcastHashJoin" not in final
+
+
+def test_elements_of_a_dump_are_parsed_once(spark, tmp_path):
+    posts = '<post Id="1"/><post Id="2" Score="3"/><post Id="3" Title="t"><answers><answer Id="5" Score="1"/><answer Id="4" Score="2"/></answers></post><post Id="4"><broken></post>'
+    (tmp_path / "a.xml").write_text(posts)
+    good, bad = nested.questions(spark, f"file://{tmp_path}")
+    optimized = good._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_xml(") == 1 and optimized.count("regexp_replace(") == 1 and optimized.count("regexp_extract_all(") == 1
+    assert {(r.Id, r.Score, tuple(a.Id for a in r.answers)) for r in good.collect()} == {(1, 0, ()), (2, 3, ()), (3, 0, (4, 5))}
+    assert [r._corrupt_record for r in bad.collect()] == ['<post Id="4"><broken></post>']

@@ -31,7 +31,7 @@ def split_tags(tags: Column) -> Column:
     """Sorted tags of ``<a><b>`` or ``|a|b|``, or of a plain list with bars."""
     wrapped = tags.rlike("(?s)^[<|].*[>|]\\z") & (F.length(tags) >= 2)
     inner = F.when(wrapped, tags.substr(F.lit(2), F.length(tags) - 2))
-    return F.array_sort(F.when(wrapped, F.split(inner, "\\||><")).otherwise(F.split(tags, "\\|")))
+    return F.sort_array(F.when(wrapped, F.split(inner, "\\||><")).otherwise(F.split(tags, "\\|")))
 
 
 def shard_of(post_id: Column) -> Column:
@@ -52,7 +52,8 @@ def canonical_json(struct: Column) -> Column:
 def by_id(array: Column) -> Column:
     """Elements in the order of their numeric ids, as they came where these are equal."""
     keyed = F.transform(array, lambda x, i: F.struct(lenient_int(x["Id"].cast("string")).alias("k"), i.alias("i"), x.alias("x")))
-    return F.transform(F.array_sort(keyed, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).when(a["i"] < b["i"], -1).otherwise(1)), lambda s: s["x"])
+    # Places differ, so elements themselves are never compared; array_sort would interpret a comparison for every two.
+    return F.transform(F.sort_array(keyed), lambda s: s["x"])
 
 
 def comment_json(c: Column) -> Column:

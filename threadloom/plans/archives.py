@@ -68,7 +68,7 @@ def posts_of(spark, d) -> str:
     s = lambda c: c.cast("string")
     note = F.when(F.col("l_returnflag") == "R", F.concat(F.lit('<comments><comment Id="'), s(line), F.lit('" Text="returned &amp; noted"/></comments>'))).otherwise(F.lit(""))
     answer = F.concat(F.lit('\n<answer Id="'), s(line), F.lit('" Score="'), s(F.col("l_quantity").cast("long")), F.lit('" Body="&lt;p&gt;'), s(F.col("l_partkey")), F.lit('&lt;/p&gt;">'), note, F.lit("</answer>"))
-    lists = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(line, answer.alias("x")))), lambda a: a["x"]), "").alias("answers"))
+    lists = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(line, answer.alias("x")))), lambda a: a["x"]), "").alias("answers"))
     j = t(spark, d, "orders").join(lists, k == F.col("l_orderkey"), "left")
     tags = F.when(k % 3 == 0, F.lit("<b><a>")).when(k % 3 == 1, F.lit("|x|")).otherwise(F.lit(""))
     link = F.when(k % 2 == 0, F.concat(F.lit('<links><link Id="'), s(F.col("o_custkey")), F.lit('" LinkTypeId="'), F.when(k % 4 == 0, F.lit("3")).otherwise(F.lit("1")), F.lit('" Name="n"/></links>'))).otherwise(F.lit("<links/>"))

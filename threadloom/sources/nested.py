@@ -54,7 +54,7 @@ def _answers(post: Column) -> Column:
     """By score, highest first, in the dump's order where equal."""
     kind = f"array<struct<{_attributes(ANSWER)}, comments struct<comment array<struct<{_attributes(COMMENT)}>>>>>"
     placed = F.transform(_list(post["answers"]["answer"], kind), lambda a, i: F.struct(-records.lenient_int(a[f"{MARK}Score"]), i, F.struct(*_plain(a, ANSWER), _comments(a).alias("comments")).alias("x")))
-    return F.transform(F.array_sort(placed), lambda p: p["x"])
+    return F.transform(F.sort_array(placed), lambda p: p["x"])
 
 
 def _links(post: Column, kind: str) -> Column:
@@ -66,15 +66,19 @@ def _links(post: Column, kind: str) -> Column:
 def questions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Questions (QUESTION, ``Tags`` as a sorted array, ``comments``, ``answers``, ``links`` as linked and duplicate, ``nb_answers``, ``deleted``), and the text
     of elements that can't be read. Dumps may have any number of files; elements may span lines."""
-    record = spark.read.text(path, lineSep="</post>").select(F.col("value").alias("_t"))
-    rest = F.regexp_replace("_t", BARE, "")
-    whole = F.when(F.locate("<post", rest) > 0, F.array(F.concat(rest.substr(F.locate("<post", rest), F.length(rest)), F.lit("</post>")))).otherwise(F.array().cast("array<string>"))
-    element = record.select(F.explode(F.concat(F.regexp_extract_all("_t", F.lit(BARE), F.lit(0)), whole)).alias("_x"))
-    raw = element.select(F.from_xml("_x", schema(), {"attributePrefix": MARK, "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_r")).select("_r.*")
-    post = F.struct(*[F.col(c) for c in raw.columns])
-    good = raw.where("_corrupt_record is null").withColumn("_p", post)
+    # Columns are made once each: an outer explode has no filter that the optimizer would write the array out for a second time, and the id
+    # keeps the one on parsed elements where it is. Most records are a single element with an end of its own.
+    value = F.col("value")
+    bare = F.when(value.rlike(BARE), F.struct(F.regexp_extract_all(value, F.lit(BARE), F.lit(0)).alias("x"), F.regexp_replace(value, BARE, "").alias("t")))
+    record = spark.read.text(path, lineSep="</post>").select(F.coalesce(bare, F.struct(F.array().cast("array<string>").alias("x"), value.alias("t"))).alias("_b"))
+    record = record.withColumn("_b", F.explode_outer(F.array("_b"))).withColumn("_at", F.locate("<post", F.col("_b.t")))
+    whole = F.when(F.col("_at") > 0, F.array(F.concat(F.expr("substr(_b.t, _at)"), F.lit("</post>")))).otherwise(F.array().cast("array<string>"))
+    element = record.select(F.explode_outer(F.concat("_b.x", whole)).alias("_x"))
+    parsed = F.from_xml("_x", schema(), {"attributePrefix": MARK, "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    raw = element.select("_x", F.explode_outer(F.array(parsed)).alias("_p")).where("_x is not null")
     p = F.col("_p")
+    good = raw.where("_p._corrupt_record is null")
     names = [n for n in QUESTION if n != "Tags"]
     out = good.select(*_plain(p, tuple(names)), records.split_tags(F.coalesce(p[f"{MARK}Tags"], F.lit(""))).alias("Tags"), _comments(p).alias("comments"), _answers(p).alias("answers"), F.struct(_links(p, LINKED).alias("linked"), _links(p, DUPLICATE).alias("duplicate")).alias("links"))
     out = out.withColumn("nb_answers", F.size("answers")).withColumn("deleted", F.coalesce(F.col("DeletionDate"), F.lit("")) != "")
-    return out, raw.where("_corrupt_record is not null").select("_corrupt_record")
+    return out, raw.where("_p._corrupt_record is not null").select("_p._corrupt_record")
