@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from threadloom.functions import records
 from threadloom.llm import collocations, line_dedup
 from threadloom.operators import audit, recovery
 from threadloom.plans import pictures
@@ -84,3 +85,15 @@ def test_elements_of_a_dump_are_parsed_once(spark, tmp_path):
     assert optimized.count("from_xml(") == 1 and optimized.count("regexp_replace(") == 1 and optimized.count("regexp_extract_all(") == 1
     assert {(r.Id, r.Score, tuple(a.Id for a in r.answers)) for r in good.collect()} == {(1, 0, ()), (2, 3, ()), (3, 0, (4, 5))}
     assert [r._corrupt_record for r in bad.collect()] == ['<post Id="4"><broken></post>']
+
+
+def test_titles_go_through_python_only_where_they_must(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        texts = [None, "", "ab", " a\tb \n c ", "x" * 700, "\x00ti  tle\x7f", "ﬁne  one", "été", "​ab", "é" * 700, "  ab  c"]
+        d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        out = d.select("doc_id", records.sanitize_title(spark, F.col("text"), "doc_id").alias("title"))
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= records.TITLE_ROWS
+        assert {r.doc_id: r.title for r in out.collect()} == {i: records.clean_title(x, f"Question {i}") for i, x in enumerate(texts)}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

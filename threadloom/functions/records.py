@@ -6,7 +6,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -109,6 +109,22 @@ def clean_title(title: str | None, fallback: str) -> str:
 
 
 @F.pandas_udf(StringType())
-def sanitize_title(title: pd.Series, post_id: pd.Series) -> pd.Series:
-    """A title fit for an index; there is no built-in for the compatibility form."""
+def _clean_title(title: pd.Series, post_id: pd.Series) -> pd.Series:
     return pd.Series([clean_title(t, f"Question {i}") for t, i in zip(title, post_id)])
+
+
+#: Rows of a batch of titles: one can be as long as a text, so a worker's memory is that of so many of them.
+TITLE_ROWS = 500
+
+
+def sanitize_title(spark: SparkSession, title: Column, post_id: Column | str) -> Column:
+    """A title fit for an index. There is no built-in for the compatibility form, so titles that aren't ASCII go through Python, in batches of
+    TITLE_ROWS at most (set in the session); of ASCII that form is itself."""
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(conf)) <= TITLE_ROWS:
+        spark.conf.set(conf, str(TITLE_ROWS))
+    text, number = F.coalesce(title, F.lit("")), F.col(post_id) if isinstance(post_id, str) else post_id
+    plain = F.octet_length(text) == F.length(text)
+    flat = F.trim(F.regexp_replace(F.regexp_replace(text, "[\\x00-\\x1F\\x7F]+", ""), " +", " "))
+    own = F.when(F.length(flat) >= 3, F.substring(flat, 1, 500)).otherwise(F.concat(F.lit("Question "), number))
+    return F.when(plain, own).otherwise(_clean_title(F.when(~plain, text), number))

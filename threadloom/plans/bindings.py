@@ -544,7 +544,7 @@ def fetch_outcomes(spark, d):
 @query("title_sanitize", """
 SELECT doc_id, CASE WHEN length(t) < 3 THEN 'Question ' || doc_id ELSE substr(t, 1, 500) END AS title FROM (SELECT doc_id, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\\x00-\\x1F\\x7F]', '', 'g'), '[ ]+', ' ', 'g')) AS t FROM documents)""")
 def title_sanitize(spark, d):
-    return t(spark, d, "documents").select("doc_id", records.sanitize_title(F.col("text"), "doc_id").alias("title"))
+    return t(spark, d, "documents").select("doc_id", records.sanitize_title(spark, F.col("text"), "doc_id").alias("title"))
 
 
 HOSTS = ["i.stack.imgur.com", "commons.wikimedia.org", "m.imgur.io", "i.sstatic.net", "elsewhere.org"]
