@@ -1,5 +1,8 @@
 """Steps whose share of one process must not grow with the tables."""
 
+import time
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from threadloom.functions import records
@@ -7,6 +10,7 @@ from threadloom.llm import collocations, line_dedup
 from threadloom.operators import audit, recovery
 from threadloom.plans import pictures
 from threadloom.sources import nested, packed
+from threadloom.streaming import fetching
 
 
 def plan(df) -> str:
@@ -97,3 +101,61 @@ def test_titles_go_through_python_only_where_they_must(spark):
         assert {r.doc_id: r.title for r in out.collect()} == {i: records.clean_title(x, f"Question {i}") for i, x in enumerate(texts)}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+class Kept:
+    """Map and value state of one key, which counts the items that are read."""
+
+    def __init__(self):
+        self.map, self.value, self.read = {}, None, 0
+
+    def getMapState(self, *_):
+        return Kept()
+
+    getValueState = getMapState
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def containsKey(self, k):
+        return k in self.map
+
+    def updateValue(self, k, v):
+        self.map[k] = v
+
+    def getValue(self, k):
+        self.read += len(self.map[k][0])
+        return self.map[k]
+
+    def removeKey(self, k):
+        del self.map[k]
+
+    def iterator(self):
+        self.read += len(self.map)
+        return iter(list(self.map.items()))
+
+    def listTimers(self):
+        return []
+
+    def registerTimer(self, _):
+        pass
+
+    def getCurrentProcessingTimeInMs(self):
+        return int(time.time() * 1000) + 1000
+
+
+def test_a_host_s_open_items_are_not_read_in_every_batch():
+    tried = []
+    f = fetching.Fetching(lambda url, k: tried.append((url, k)) or ((200 if k == 2 or url == "u7" else 503), b"", None), 2, 0.001, 0.0, False, 10)
+    state = Kept()
+    f.init(state)
+    rows = [SimpleNamespace(hash=f"h{i % 400}", url=f"u{i % 400}") for i in range(800)]
+    out = list(f.handleInputRows(("host",), iter(rows), state))
+    for _ in range(200):
+        out += list(f.handleExpiredTimer(("host",), state, None))
+    assert sorted(r.hash for r in out) == sorted(f"h{i}" for i in range(400)) and all(r.status == "ok" and r.attempts == (1 if r.url == "u7" else 3) for r in out)
+    assert len(tried) == 1 + 399 * 3 and tried[:400] == [(f"u{i}", 0) for i in range(400)]
+    assert sum(x.read for x in vars(f).values() if isinstance(x, Kept)) < 4 * len(tried)

@@ -22,6 +22,7 @@ FOLDER = re.compile(r"(batch|upto)-(\d{12})")
 class Ledger:
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self._upto, self._total = -1, None
 
     def _store(self, name: str = ""):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
@@ -39,7 +40,9 @@ class Ledger:
 
     def put(self, batch: int, rows: DataFrame) -> None:
         """Writes a batch's rows, whatever an earlier attempt has left. Batches that are folded are done and stay as they are."""
-        if batch > self.folders()[0]:
+        store, folds = self._store("upto-*")
+        folded = [s.getPath().getName() for s in store.globStatus(folds) or []]
+        if batch > max((int(FOLDER.fullmatch(n)[2]) for n in folded if store.exists(self._store(f"{n}/_SUCCESS")[1])), default=-1):
             rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{BATCH.format(batch)}")
 
     def rows(self, before: int | None = None) -> DataFrame:
@@ -51,6 +54,22 @@ class Ledger:
         reader = self.spark.read.schema(self.schema)
         return reader.parquet(*[f"{self.path}/{n}" for n in names]) if names else self.spark.createDataFrame([], self.schema)
 
+    def total(self, aggs: list, add: Callable[[tuple, tuple], tuple], none: tuple) -> tuple:
+        """Aggregates of all rows, ``add`` being how those of two parts add up. Finished batches that others follow don't change while a
+        run goes on: this object reads each of them once."""
+        read = lambda names: tuple(self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{n}" for n in names]).agg(*aggs).first()) if names else none
+        done = lambda k: self._store()[0].exists(self._store(f"{BATCH.format(k)}/_SUCCESS")[1])
+        if self._total is not None and done(self._upto + 1):
+            new = [self._upto + 1]
+            while done(new[-1] + 1):
+                new.append(new[-1] + 1)
+        else:  # at first, and where batches were folded
+            folded, new = self.folders()
+            self._upto, self._total = folded, read([FOLDED.format(folded)] * (folded >= 0))
+        if len(new) > 1:
+            self._upto, self._total = new[-2], add(self._total, read([BATCH.format(k) for k in new[:-1]]))
+        return add(self._total, read([BATCH.format(k) for k in new[-1:]]))
+
     def compact(self, fold: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
         """Folds all finished batches but the last (the run that wrote it may not have committed it) into one folder, by ``fold``, which must give the same
         for its own results and later rows as for all rows."""
