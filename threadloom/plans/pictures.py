@@ -69,12 +69,12 @@ def rescue_rounds(spark, d):
     """Three candidates of each hash, one of which may be a page with a fourth; outcomes and pages come from tables."""
     k = F.col("p_partkey")
     at = lambda i: F.concat(F.lit("https://x.org/"), k.cast("string"), F.lit("/"), i)
-    part = t(spark, d, "part")
+    part = t(spark, d, "part").select("p_partkey").repartition("p_partkey")  # one small file of many rows would be one task's work
     candidates = part.select(k.cast("string").alias("hash"), F.explode(F.expr("sequence(0, 2)")).alias("rank"), k).select("hash", "rank", at(F.col("rank").cast("string")).alias("url"), F.lit("stage").alias("source_class"))
     ok = lambda n, other: F.when(k % n == 0, "ok").otherwise(other)
     first = F.when(k % 2 == 0, "invalid_content").otherwise("http_error")
     answers = part.select(k, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), s.alias("status")) for i, s in [("0", first), ("1", ok(3, "too_large")), ("2", ok(5, "http_error")), ("9", ok(7, "http_error"))]])).alias("a")).select(at(F.col("a.i")).alias("url"), "a.status")
     pages = part.select(at(F.lit("0")).alias("url"), F.concat(F.lit('<img src="/'), k.cast("string"), F.lit('/9"><img src="/'), k.cast("string"), F.lit('/1">')).alias("html"))
-    attempts, states = rescue.rescue(candidates, lambda u: u.join(answers, "url"), lambda u: u.join(pages, "url"), ahead=8)
+    attempts, states = rescue.rescue(candidates, lambda u: u.join(answers.hint("merge"), "url"), lambda u: u.join(pages.hint("merge"), "url"), ahead=8)
     seen = attempts.groupBy("hash").agg(F.count(F.lit(1)).alias("attempts"), F.max_by("url", "rank").alias("last_url"))
-    return states.join(seen, "hash")
+    return states.join(seen.hint("merge"), "hash")
