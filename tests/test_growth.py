@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import records
 from threadloom.llm import collocations, line_dedup
-from threadloom.operators import audit, recovery
+from threadloom.operators import audit, recovery, rescue
 from threadloom.plans import pictures
 from threadloom.sources import nested, packed
 from threadloom.streaming import fetching
@@ -159,3 +159,12 @@ def test_a_host_s_open_items_are_not_read_in_every_batch():
     assert sorted(r.hash for r in out) == sorted(f"h{i}" for i in range(400)) and all(r.status == "ok" and r.attempts == (1 if r.url == "u7" else 3) for r in out)
     assert len(tried) == 1 + 399 * 3 and tried[:400] == [(f"u{i}", 0) for i in range(400)]
     assert sum(x.read for x in vars(f).values() if isinstance(x, Kept)) < 4 * len(tried)
+
+
+def test_addresses_are_not_broadcast(spark):
+    rows = [("a", 0, "u0"), ("a", 1, "u1"), ("b", 0, "u2")]
+    open_ = spark.createDataFrame([(h, p, u, "x", None, False) for h, p, u in rows], "hash string, pos long, url string, source_class string, status string, page boolean")
+    answers = spark.createDataFrame([("u0", "http_error"), ("u1", "ok")], "url string, status string")
+    tried = rescue._tried(open_, lambda urls: answers, 2)
+    assert "BroadcastHashJoin" not in plan(tried) + plan(rescue._with_pages(open_, tried, 3))
+    assert {(r.hash, r.url, r.status) for r in tried.collect()} == {("a", "u0", "http_error"), ("a", "u1", "ok"), ("b", "u2", "failed")}
