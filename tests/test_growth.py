@@ -1,5 +1,6 @@
 """Steps whose share of one process must not grow with the tables."""
 
+import json
 import time
 from types import SimpleNamespace
 
@@ -168,3 +169,10 @@ def test_addresses_are_not_broadcast(spark):
     tried = rescue._tried(open_, lambda urls: answers, 2)
     assert "BroadcastHashJoin" not in plan(tried) + plan(rescue._with_pages(open_, tried, 3))
     assert {(r.hash, r.url, r.status) for r in tried.collect()} == {("a", "u0", "http_error"), ("a", "u1", "ok"), ("b", "u2", "failed")}
+
+
+def test_escapes_are_looked_for_once_and_backslashes_are_text(spark):
+    texts = [None, "", "a\x1f\x1fb", "\\u001F", "\\\x1f", "\\\\u001F\x0b", '\x00\x0e"\n\x7f\u2028 é', "\\" * 20001 + "\x1a", "u00 \\u00"]
+    d = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", records.canonical_json(F.struct("t")).alias("j"))
+    assert {r.i: r.j for r in d.collect()} == {i: json.dumps({"t": t}, separators=(",", ":"), ensure_ascii=False) for i, t in enumerate(texts)}
+    assert "CASE WHEN Contains(" in plan(d)

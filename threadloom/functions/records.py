@@ -42,11 +42,13 @@ def shard_of(post_id: Column) -> Column:
 def canonical_json(struct: Column) -> Column:
     """Compact JSON, nulls kept; control characters in small hex. The caller orders the fields."""
     out = F.to_json(struct, {"ignoreNullFields": "false"})
+    small = out
     for n in (*range(0x00, 0x08), 0x0B, *range(0x0E, 0x20)):
-        up = f"\\u{n:04X}"
-        if up != f"\\u{n:04x}":
-            out = F.replace(out, F.lit(up), F.lit(f"\\u{n:04x}"))
-    return out
+        if f"{n:04X}" != f"{n:04x}":
+            # An even number of backslashes before it is text: backslashes that are escaped themselves.
+            small = F.regexp_replace(small, f"(?<!\\\\)((?:\\\\\\\\)*)\\\\u{n:04X}", f"$1\\\\u{n:04x}")
+    # Few texts have control characters; the others are looked through once, not once for each of these.
+    return F.when(F.contains(out, F.lit("\\u00")), small).otherwise(out)
 
 
 def by_id(array: Column) -> Column:
