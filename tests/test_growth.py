@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import records
 from threadloom.llm import collocations, line_dedup
 from threadloom.operators import audit, recovery, rescue
-from threadloom.plans import pictures
+from threadloom.plans import bindings, pictures
 from threadloom.sources import nested, packed
 from threadloom.streaming import fetching
 
@@ -176,3 +176,12 @@ def test_escapes_are_looked_for_once_and_backslashes_are_text(spark):
     d = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", records.canonical_json(F.struct("t")).alias("j"))
     assert {r.i: r.j for r in d.collect()} == {i: json.dumps({"t": t}, separators=(",", ":"), ensure_ascii=False) for i, t in enumerate(texts)}
     assert "CASE WHEN Contains(" in plan(d)
+
+
+def test_answers_of_a_post_are_shuffled_once(spark, tmp_path):
+    spark.createDataFrame([(k, k, "O", 1.5, "p") for k in range(4)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 2, 0.5), (1, 2, 0.75), (1, 1, 0.25), (3, 1, 2.0)], "l_orderkey long, l_linenumber int, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    posts = bindings.posts(spark, str(tmp_path))
+    assert plan(posts.select("answers")).count("Exchange hashpartitioning(post") == 1 and "l_linenumber#" not in "".join(x for x in plan(posts).splitlines() if "Exchange" in x)
+    answers = {r.Id: sorted((a.Id, a.Score, a.Body, a.comments) for a in r.answers or []) for r in posts.collect()}
+    assert answers == {0: [], 1: [("1", "25", "a", []), ("2", "75", "a", [])], 2: [], 3: [("1", "200", "a", [])]}

@@ -348,10 +348,11 @@ def posts(spark, d, edited: bool = False):
         F.expr("cast(array() as array<struct<Id:string,PostId:string,UserId:string,Score:string,Text:string,CreationDate:string,ContentLicense:string>>)").alias("comments"),
         F.expr("cast(array() as array<struct<Id:bigint,Name:string>>)").alias("links"),
     )
-    a = t(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max(cents("l_extendedprice")).alias("Score"))
-    a = a.select(F.col("l_orderkey").alias("post"), F.col("l_linenumber").cast("long").alias("Id"), F.col("Score").cast("string").alias("Score"))
-    a = a.select("post", F.struct(F.col("Id").cast("string").alias("Id"), "Score", F.lit("a").alias("Body"), *[none.alias(f) for f in ("OwnerUserId", "OwnerDisplayName", "CreationDate", "LastEditDate", "LastEditorUserId")], F.expr("cast(array() as array<struct<Id:string,PostId:string,UserId:string,Score:string,Text:string,CreationDate:string,ContentLicense:string>>)").alias("comments")).alias("a"))
-    lists = a.groupBy(F.col("post").alias("Id")).agg(F.collect_list("a").alias("answers"))
+    # Dealt by post at once, so that answers and their lists need no further shuffle; what all answers share joins them after it.
+    a = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("post"), F.col("l_linenumber").cast("long").alias("Id"), cents("l_extendedprice").alias("Score")).repartition("post")
+    a = a.groupBy("post", "Id").agg(F.max("Score").alias("Score"))
+    full = lambda x: F.struct(x["Id"].cast("string").alias("Id"), x["Score"].cast("string").alias("Score"), F.lit("a").alias("Body"), *[none.alias(f) for f in ("OwnerUserId", "OwnerDisplayName", "CreationDate", "LastEditDate", "LastEditorUserId")], F.expr("cast(array() as array<struct<Id:string,PostId:string,UserId:string,Score:string,Text:string,CreationDate:string,ContentLicense:string>>)").alias("comments"))
+    lists = a.groupBy(F.col("post").alias("Id")).agg(F.collect_list(F.struct("Id", "Score")).alias("_a")).select("Id", F.transform("_a", full).alias("answers"))
     return q.join(lists, "Id", "left")
 
 
