@@ -648,6 +648,28 @@ def test_quality_references(spark):
     assert sorted(key(dict(zip(names, row))) for row in cur.fetchall()) == sorted(key(x.asDict()) for rows_ in got.values() for x in rows_)
 
 
+def test_quality_references_of_all_rows(spark, tmp_path):
+    """References count all rows of a language, also beyond REFERENCE_ROWS; the query learns from the rows of its SQL."""
+    r = random.Random(8)
+    texts = [" ".join(r.choice("aa bb cc dd ee ff".split() if k < 400 else "gg hh ii jj kk".split()) for _ in range(40)).capitalize() + "." for k in range(900)]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)] + [(900 + k, t, "y") for k, t in enumerate(texts[:60])] + [(990, None, "x"), (None, "zz", "x")], "doc_id long, text string, lang string")
+    x, y = quality.references(docs.selectExpr("doc_id _id", "text _text", "lang _lang"))
+    c = collections.Counter(w for t in texts for w in fold(t).split())
+    top = sorted(c, key=lambda w: (-c[w], w))[: quality.COMMON]
+    first, second = sum(c[w] for w in top[: quality.TOP]), sum(c[w] for w in top[quality.TOP :])
+    assert x.words == tuple(top) and x.bins == (first, second, 36_000 - first - second) and sum(x.classes) == sum(map(len, texts)) and x.classes[1] == 900
+    assert (y.lang, sum(y.bins), y.classes[1]) == ("y", 2400, 60)
+    some = quality.references(docs.selectExpr("doc_id _id", "text _text", "lang _lang"), quality.REFERENCE_ROWS)
+    assert [sum(z.bins) for z in some] == [40 * quality.REFERENCE_ROWS, 2400]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    cur = con.execute(quality.sql())
+    names = [z[0] for z in cur.description]
+    got = quality.op10_quality_rules(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, cur.fetchall()))
+
+
 def test_decontamination(spark):
     words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", fold(t))
     span = prose(12, 1)
