@@ -131,3 +131,38 @@ def test_a_quota_stops_its_host(spark, tmp_path):
     fetching.run(source, f"file://{tmp_path}/out", f"file://{tmp_path}/check", answers, lambda ledger: fetching.settled(ledger, 3), retries=0, base=0.01, pace=0.0)
     got = {r.hash: r.status for r in fetching.results(spark, f"file://{tmp_path}/out").collect()}
     assert got == {"a1": "stop", "b1": "ok"}  # a2 is still open
+
+
+def lists(spark, tmp_path, items, name="in"):
+    spark.createDataFrame(items, "hash string, url string, host string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+    return spark.readStream.schema("hash string, url string, host string").parquet(f"{tmp_path}/{name}")
+
+
+def test_a_large_host_takes_few_micro_batches_and_few_stores(spark, tmp_path):
+    items = [(f"h{i}", f"https://a/{i}/{['200', '503-200'][i % 2]}", "a") for i in range(300)]
+    out, check = f"file://{tmp_path}/out", f"file://{tmp_path}/check"
+    dealt = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        fetching.run(lists(spark, tmp_path, items), out, check, answers, lambda ledger: fetching.settled(ledger, 300), retries=3, base=0.001, pace=0.0, per_batch=5)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", dealt)
+    ledger = Ledger(spark, out, fetching.OUTCOMES)
+    assert {r.hash: (r.status, r.attempts) for r in ledger.rows().collect()} == {h: sequential(u, 3) for h, u, _ in items}
+    assert len(ledger.folders()[1]) <= 12  # 450 attempts; with 5 in a micro-batch these were 90
+    assert len([x for x in (tmp_path / "check/state/0").iterdir() if x.name.isdigit()]) == fetching.PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_a_spell_of_nothing_ends_after_one_block_and_later_copies_are_not_fetched(spark, tmp_path):
+    items = [(f"h{i}", f"https://a/{i}/200", "a") for i in range(12)]
+    out, check = f"file://{tmp_path}/out", f"file://{tmp_path}/check"
+    options = {"retries": 3, "base": 0.01, "pace": 0.0, "per_batch": 4, "spell": 0.0}
+    source = lists(spark, tmp_path, items)
+    fetching.run(source, out, check, answers, lambda ledger: ledger.rows().count() >= 4, **options)
+    lists(spark, tmp_path, [*items[:6], ("h0", "https://b/0/200", "b"), ("h12", "https://a/12/404", "a")] * 2)
+    fetching.run(source, out, check, answers, lambda ledger: fetching.settled(ledger, 14), **options)
+    rows = Ledger(spark, out, fetching.OUTCOMES).rows().withColumn("batch", F.input_file_name()).collect()
+    assert sorted((r.host, r.hash, r.status) for r in rows) == sorted([("a", f"h{i}", "fail" if i == 12 else "ok") for i in range(13)] + [("b", "h0", "ok")])
+    files = [r.batch.rsplit("/", 2)[1] for r in rows if r.host == "a"]
+    assert max(map(files.count, files)) <= 4
