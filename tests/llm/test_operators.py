@@ -670,6 +670,25 @@ def test_quality_references_of_all_rows(spark, tmp_path):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, cur.fetchall()))
 
 
+def test_quality_references_with_repeated_ids(spark, tmp_path):
+    """Rows count, not ids: exactly REFERENCE_ROWS of a language teach, also where all its ids have high hashes."""
+    r = random.Random(9)
+    text = lambda words: " ".join(r.choice(words.split()) for _ in range(40)).capitalize() + "."
+    high = next(k for k in range(20, 999) if hashlib.md5(str(k).encode()).hexdigest() > "f8")
+    data = [(k, t, "x") for k in range(10) for t in [text("aa bb cc dd ee ff" if k % 2 else "gg hh ii jj kk")] * 70]
+    data += [(high, text("lll mmm nnn ooo"), "y")] * 1300
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    some = quality.references(docs.selectExpr("doc_id _id", "text _text", "lang _lang"), quality.REFERENCE_ROWS)
+    assert [(z.lang, sum(z.bins)) for z in some] == [("x", 40 * quality.REFERENCE_ROWS), ("y", 40 * quality.REFERENCE_ROWS)]
+    docs.coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    cur = con.execute(quality.sql())
+    names = [z[0] for z in cur.description]
+    got = quality.op10_quality_rules(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, cur.fetchall()))
+
+
 def test_decontamination(spark):
     words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", fold(t))
     span = prose(12, 1)
